@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankfold.operators import keyed, people, popularity, tags, text
+from rankfold.operators import graph, keyed, people, popularity, similarity, tags, text
 from rankfold.plans import testmap as tm
 from rankfold.plans.testmap import with_ctes
 
@@ -228,3 +228,94 @@ SELECT row_number() OVER (ORDER BY r.n_ratings DESC, r.tag) AS rank, r.tag, r.n_
 FROM r JOIN c USING (tag)""", [("t", _exploded_tags_sql()), ("r", _TAG_RATINGS), ("c", _TAG_ITEMS)]))
 def q_tag_popularity(spark, d):
     return tags.tag_popularity(tm.purchases_df(spark, d), tm.items_df(spark, d), SEP)
+
+
+# ---------------------------------------------------------------- similarity
+
+SIM_ITEM = 0
+SIM_MIN_SCORE = 0.5
+SIM_MIN_PAIRS = 30
+
+_PAIRS_SQL = """SELECT CAST(a.item_id AS BIGINT) AS item1, CAST(b.item_id AS BIGINT) AS item2,
+       sum(a.rating * b.rating) AS sxy, sum(a.rating * a.rating) AS sxx, sum(b.rating * b.rating) AS syy,
+       count(*) AS n_pairs
+FROM ratings_unique a JOIN ratings_unique b ON a.user_id = b.user_id AND a.item_id < b.item_id
+GROUP BY a.item_id, b.item_id"""
+_SCORE_SQL = ("round(CASE WHEN sqrt(sxx) * sqrt(syy) <> 0 THEN sxy / (sqrt(sxx) * sqrt(syy)) "
+              "ELSE 0.0 END, 6)")
+
+
+@register("item_similarity", with_ctes(["ratings_unique"],
+          f"SELECT item1, item2, {_SCORE_SQL} AS score, n_pairs FROM p", [("p", _PAIRS_SQL)]))
+def q_item_similarity(spark, d):
+    return similarity.item_similarity(tm.ratings_unique_df(spark, d))
+
+
+@register("similar_items", with_ctes(["ratings_unique", "items"], f"""
+SELECT CAST(s.item_id AS BIGINT) AS item_id, i.name, s.score, s.n_pairs FROM
+  (SELECT CASE WHEN item1 = {SIM_ITEM} THEN item2 ELSE item1 END AS item_id, {_SCORE_SQL} AS score, n_pairs
+   FROM p WHERE (item1 = {SIM_ITEM} OR item2 = {SIM_ITEM}) AND {_SCORE_SQL} > {SIM_MIN_SCORE}
+     AND n_pairs > {SIM_MIN_PAIRS}
+   ORDER BY score DESC, n_pairs DESC, item_id LIMIT {TOP_N}) s
+JOIN items i ON i.item_id = s.item_id""", [("p", _PAIRS_SQL)]))
+def q_similar_items(spark, d):
+    return similarity.similar_items(tm.ratings_unique_df(spark, d), tm.items_df(spark, d), SIM_ITEM,
+                                    SIM_MIN_SCORE, SIM_MIN_PAIRS, TOP_N)
+
+
+# ---------------------------------------------------------------- graph
+
+BFS_START = 0
+BFS_TARGET = 1
+
+_DEGREE_SQL = """SELECT m.node, CAST(count(e.dst) AS BIGINT) AS degree
+FROM (SELECT DISTINCT node FROM incidence) m LEFT JOIN entries e ON e.src = m.node GROUP BY m.node"""
+_BFS_CTES = [
+    ("e", "SELECT DISTINCT src, dst FROM entries"),
+    ("bfs(node, d)", f"SELECT CAST({BFS_START} AS BIGINT), 0 UNION "
+                     "SELECT e.dst, bfs.d + 1 FROM bfs JOIN e ON e.src = bfs.node WHERE bfs.d < 10"),
+    ("dist", "SELECT node, min(d) AS dist FROM bfs GROUP BY node"),
+]
+
+
+@register("node_degree", with_ctes(["entries"], _DEGREE_SQL))
+def q_node_degree(spark, d):
+    return graph.cooccurrence_degree(tm.incidence_df(spark, d))
+
+
+@register("most_connected", with_ctes(["entries", "node_names"], """
+SELECT g.node, n.name, g.degree FROM
+  (SELECT node, degree FROM g ORDER BY degree DESC, node DESC LIMIT 1) g JOIN node_names n USING (node)""",
+          [("g", _DEGREE_SQL)]))
+def q_most_connected(spark, d):
+    return graph.most_connected(graph.cooccurrence_degree(tm.incidence_df(spark, d)), tm.node_names_df(spark, d))
+
+
+@register("top_connected", with_ctes(["entries", "node_names"], f"""
+SELECT g.node, n.name, g.degree FROM
+  (SELECT node, degree FROM g ORDER BY degree DESC, node DESC LIMIT {TOP_N}) g JOIN node_names n USING (node)""",
+          [("g", _DEGREE_SQL)]))
+def q_top_connected(spark, d):
+    return graph.top_connected(graph.cooccurrence_degree(tm.incidence_df(spark, d)),
+                               tm.node_names_df(spark, d), TOP_N)
+
+
+@register("least_connected", with_ctes(["entries"],
+          f"SELECT node, degree FROM g ORDER BY degree ASC, node ASC LIMIT {TOP_N}", [("g", _DEGREE_SQL)]))
+def q_least_connected(spark, d):
+    return graph.least_connected(graph.cooccurrence_degree(tm.incidence_df(spark, d)), TOP_N)
+
+
+@register("degrees_of_separation", with_ctes(["entries"], f"""
+SELECT CAST(lvl + 1 AS INTEGER) AS degree, CAST(hits AS BIGINT) AS hits FROM
+  (SELECT dd.dist AS lvl, count(*) AS hits FROM entries en JOIN dist dd ON en.src = dd.node
+   WHERE en.dst = {BFS_TARGET} AND dd.dist < 10 GROUP BY dd.dist)
+ORDER BY lvl LIMIT 1""", _BFS_CTES, recursive=True))
+def q_degrees_of_separation(spark, d):
+    return graph.cooccurrence_degrees_of_separation(tm.incidence_df(spark, d), BFS_START, BFS_TARGET)
+
+
+@register("bfs_distances", with_ctes(["entries"],
+          "SELECT node, CAST(dist AS INTEGER) AS dist FROM dist", _BFS_CTES, recursive=True))
+def q_bfs_distances(spark, d):
+    return graph.cooccurrence_bfs_distances(tm.incidence_df(spark, d), BFS_START)

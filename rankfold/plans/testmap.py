@@ -127,7 +127,8 @@ CTE = {
 CTE_DEPS = {"ratings_unique": ["ratings"], "entries": ["incidence"]}
 
 
-def with_ctes(names: list[str], body: str, extra: list[tuple[str, str]] | None = None) -> str:
+def with_ctes(names: list[str], body: str, extra: list[tuple[str, str]] | None = None,
+              recursive: bool = False) -> str:
     """Prefix ``body`` with the canonical CTEs it needs (dependencies first)."""
     ordered: list[str] = []
 
@@ -140,4 +141,5 @@ def with_ctes(names: list[str], body: str, extra: list[tuple[str, str]] | None =
     for n in names:
         add(n)
     parts = [f"{n} AS ({CTE[n]})" for n in ordered] + [f"{n} AS ({q})" for n, q in (extra or [])]
-    return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return (head + ",\n".join(parts) + "\n" + body) if parts else body

@@ -12,7 +12,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankfold.operators import graph, keyed, people, popularity, similarity, tags, text
+from pyspark.sql import functions as F
+
+from rankfold.operators import graph, keyed, people, popularity, recommend, similarity, tags, text
 from rankfold.plans import testmap as tm
 from rankfold.plans.testmap import with_ctes
 
@@ -319,3 +321,166 @@ def q_degrees_of_separation(spark, d):
           "SELECT node, CAST(dist AS INTEGER) AS dist FROM dist", _BFS_CTES, recursive=True))
 def q_bfs_distances(spark, d):
     return graph.cooccurrence_bfs_distances(tm.incidence_df(spark, d), BFS_START)
+
+
+# ---------------------------------------------------------------- recommendation
+
+POOL_N = 50
+SAMPLE_FRACTION = 0.2
+SAMPLE_SEED = 0
+HISTORY_USER = 8
+RECS_N = 10
+UNSEEN_N = 50
+GRID = dict(ranks=(8, 12), regs=(0.1, 10.0), iters=(10, 20))
+
+_POOL_SQL = (f"SELECT item_id, count(*) AS n_ratings FROM ratings GROUP BY item_id "
+             f"ORDER BY n_ratings DESC, item_id ASC LIMIT {POOL_N}")
+_SAMPLE_SQL = (f"SELECT item_id FROM pool WHERE ('0x' || substr(md5(CAST(item_id AS VARCHAR) || ':{SAMPLE_SEED}'), 1, 8))"
+               f"::BIGINT % 100 < {int(round(SAMPLE_FRACTION * 100))} "
+               "AND item_id IN (SELECT item_id FROM items)")
+_BUCKET = "(CAST(floor(epoch(ts)) AS BIGINT) % 10)"
+_REC_CTES = [
+    ("pool", _POOL_SQL),
+    ("sample", _SAMPLE_SQL),
+    ("supplied", "SELECT (SELECT max(user_id) + 1 FROM ratings_unique) AS user_id, item_id, "
+                 "CAST(item_id % 6 AS DOUBLE) AS rating FROM sample"),
+    ("train", f"SELECT user_id, item_id, rating FROM ratings_unique WHERE {_BUCKET} < 6 UNION ALL "
+              "SELECT user_id, item_id, rating FROM supplied WHERE rating BETWEEN 1 AND 5"),
+    ("validation", f"SELECT user_id, item_id, rating FROM ratings_unique WHERE {_BUCKET} BETWEEN 6 AND 7"),
+    ("test", f"SELECT user_id, item_id, rating FROM ratings_unique WHERE {_BUCKET} >= 8"),
+]
+
+
+def _pool(spark, d):
+    return recommend.most_rated_pool(tm.ratings_df(spark, d), POOL_N)
+
+
+def _sample(spark, d):
+    return recommend.elicitation_sample(_pool(spark, d), tm.items_df(spark, d), SAMPLE_FRACTION,
+                                        SAMPLE_SEED, POOL_N)
+
+
+def _supplied(spark, d):
+    """The new user's answers, derived from the data: the sampled items rated item_id % 6
+    (0 = not seen) under a fresh user id."""
+    uid = recommend.next_user_id(tm.ratings_unique_df(spark, d))
+    return _sample(spark, d).select(F.lit(uid).cast("long").alias("user_id"), "item_id",
+                                    (F.col("item_id") % 6).cast("double").alias("rating"))
+
+
+def _splits(spark, d):
+    labelled = recommend.with_split(tm.ratings_unique_df(spark, d), "68")
+    part = {s: labelled.filter(F.col("split") == s).select("user_id", "item_id", "rating")
+            for s in (recommend.TRAIN, recommend.VALIDATION, recommend.TEST)}
+    train = recommend.add_user_ratings(part[recommend.TRAIN], _supplied(spark, d))
+    return train, part[recommend.VALIDATION], part[recommend.TEST]
+
+
+@register("rating_summary", with_ctes(["ratings"],
+          "SELECT count(*) AS n_ratings, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items "
+          "FROM ratings"))
+def q_rating_summary(spark, d):
+    return recommend.rating_summary(tm.ratings_df(spark, d))
+
+
+@register("most_rated_pool", with_ctes(["ratings"], _POOL_SQL))
+def q_most_rated_pool(spark, d):
+    return _pool(spark, d)
+
+
+@register("elicitation_sample", with_ctes(["ratings", "items"],
+          "SELECT CAST(s.item_id AS BIGINT) AS item_id, i.name FROM sample s JOIN items i ON i.item_id = s.item_id",
+          _REC_CTES[:2]))
+def q_elicitation_sample(spark, d):
+    return _sample(spark, d)
+
+
+def _split_sql(train: str, val: str) -> str:
+    return with_ctes(["ratings_unique"], f"""
+SELECT CASE WHEN {train} THEN 'train' WHEN {val} THEN 'validation' ELSE 'test' END AS split, count(*) AS n
+FROM ratings_unique GROUP BY 1""")
+
+
+@register("split_counts_68", _split_sql(f"{_BUCKET} < 6", f"{_BUCKET} < 8"))
+def q_split_counts_68(spark, d):
+    return recommend.split_counts(tm.ratings_unique_df(spark, d), "68")
+
+
+@register("split_counts_24", _split_sql(f"{_BUCKET} >= 4", f"{_BUCKET} >= 2"))
+def q_split_counts_24(spark, d):
+    return recommend.split_counts(tm.ratings_unique_df(spark, d), "24")
+
+
+@register("add_user_ratings", with_ctes(["ratings_unique", "items"],
+          "SELECT user_id, item_id, rating FROM train", _REC_CTES))
+def q_add_user_ratings(spark, d):
+    return _splits(spark, d)[0]
+
+
+@register("user_history", with_ctes(["ratings_unique", "items"],
+          f"SELECT r.item_id, i.name, r.rating FROM ratings_unique r JOIN items i ON i.item_id = r.item_id "
+          f"WHERE r.user_id = {HISTORY_USER}"))
+def q_user_history(spark, d):
+    return recommend.user_history(tm.ratings_unique_df(spark, d), tm.items_df(spark, d), HISTORY_USER)
+
+
+@register("mean_baseline_rmse", with_ctes(["ratings_unique", "items"], """
+SELECT round(sqrt(avg(power((SELECT avg(rating) FROM (SELECT rating FROM train UNION ALL
+                                                       SELECT rating FROM validation)) - rating, 2))), 6)
+       AS baseline_rmse FROM test""", _REC_CTES))
+def q_mean_baseline_rmse(spark, d):
+    train, val, test = _splits(spark, d)
+    return recommend.mean_baseline_rmse(train, val, test).select(F.round("baseline_rmse", 6).alias("baseline_rmse"))
+
+
+# ALS results are not bitwise comparable with another engine: rows-only checks here,
+# properties in tests/test_recommend.py. One grid search per (application, scale).
+_GRID_MEMO: dict = {}
+
+
+def _grid(spark, d):
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _GRID_MEMO:
+        train, val, test = _splits(spark, d)
+        _GRID_MEMO[key] = (recommend.als_grid_search(train, val, **GRID), train, val, test)
+    return _GRID_MEMO[key]
+
+
+@register("als_grid_search")
+def q_als_grid_search(spark, d):
+    return recommend.grid_frame(spark, _grid(spark, d)[0])
+
+
+@register("als_predict")
+def q_als_predict(spark, d):
+    result, _, _, test = _grid(spark, d)
+    return recommend.als_predict(result.model, test)
+
+
+@register("als_rmse")
+def q_als_rmse(spark, d):
+    result, _, _, test = _grid(spark, d)
+    return spark.createDataFrame([(recommend.rmse_value(result.model, test),)], "test_rmse double")
+
+
+@register("als_improvement")
+def q_als_improvement(spark, d):
+    result, train, val, test = _grid(spark, d)
+    model_rmse = recommend.rmse_value(result.model, test)
+    base = recommend.mean_baseline_rmse(train, val, test).first()[0]
+    return spark.createDataFrame([(base, model_rmse, recommend.improvement_pct(base, model_rmse))],
+                                 "baseline_rmse double, test_rmse double, improvement_pct double")
+
+
+@register("als_recommend_unseen")
+def q_als_recommend_unseen(spark, d):
+    result, train, _, _ = _grid(spark, d)
+    uid = recommend.next_user_id(tm.ratings_unique_df(spark, d))
+    return recommend.recommend_unseen(result.model, tm.items_df(spark, d), train, uid, UNSEEN_N)
+
+
+@register("als_recommend_user")
+def q_als_recommend_user(spark, d):
+    ratings = tm.ratings_unique_df(spark, d)
+    model = recommend.fit_als(ratings, rank=8, max_iter=20, reg=0.01)
+    return recommend.recommend_for_user(model, tm.items_df(spark, d), HISTORY_USER, RECS_N)

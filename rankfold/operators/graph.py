@@ -29,6 +29,12 @@ MAX_LEVELS = 10
 
 # ------------------------------------------------------------------ connectivity
 
+def adjacency_degree(adjacency: DataFrame) -> DataFrame:
+    """P19 over adjacency lines ``(node, neighbours)``: summed list lengths per node;
+    a line without neighbours counts 0."""
+    return adjacency.groupBy("node").agg(F.sum(F.size("neighbours")).cast("long").alias("degree"))
+
+
 def entry_degree(entries: DataFrame) -> DataFrame:
     """P19 over adjacency entries: number of listed neighbours per node (all lines)."""
     return entries.groupBy("node").agg(F.count("neighbour").alias("degree"))

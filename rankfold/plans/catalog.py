@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankfold.operators import graph, keyed, people, popularity, recommend, similarity, tags, text
+from rankfold.session import scratch_path
+from rankfold.sources import readers, sinks
+from rankfold.functions import epoch_seconds
 from rankfold.plans import testmap as tm
 from rankfold.plans.testmap import with_ctes
 
@@ -484,3 +487,153 @@ def q_als_recommend_user(spark, d):
     ratings = tm.ratings_unique_df(spark, d)
     model = recommend.fit_als(ratings, rank=8, max_iter=20, reg=0.01)
     return recommend.recommend_for_user(model, tm.items_df(spark, d), HISTORY_USER, RECS_N)
+
+
+# ---------------------------------------------------------------- sources and sinks
+# Each query writes a projection of the test tables in the source format to the shared
+# scratch folder (under spark.checkpoint.dir) and reads it back through our reader.
+
+ADJ_CHUNK = 1000  # bounds the length of one adjacency line; a node then spans lines
+
+
+def _ratings_out(spark, d):
+    r = tm.ratings_df(spark, d)
+    return r.select(F.col("user_id").cast("int").alias("user_id"), "item_id", "rating",
+                    epoch_seconds("ts").alias("ts"))
+
+
+_RATINGS_OUT_SQL = ("SELECT CAST(user_id AS INTEGER) AS user_id, item_id, rating, "
+                    "CAST(floor(epoch(ts)) AS BIGINT) AS ts FROM ratings")
+
+
+def _csv(df, path, **opts):
+    w = df.write.mode("overwrite")
+    for k, v in opts.items():
+        w = w.option(k, v)
+    w.csv(path)
+    return path
+
+
+@register("src_lines", with_ctes(["lines"], "SELECT line FROM lines"))
+def q_src_lines(spark, d):
+    path = sinks.write_lines(tm.lines_df(spark, d), scratch_path(spark, "lines"))
+    return readers.read_lines(spark, path)
+
+
+@register("src_ratings_tab", with_ctes(["ratings"], _RATINGS_OUT_SQL))
+def q_src_ratings_tab(spark, d):
+    path = _csv(_ratings_out(spark, d), scratch_path(spark, "ratings_tab"), sep="\t")
+    return readers.read_ratings(spark, path, "\t")
+
+
+@register("src_ratings_colons", with_ctes(["ratings"], _RATINGS_OUT_SQL))
+def q_src_ratings_colons(spark, d):
+    path = _csv(_ratings_out(spark, d), scratch_path(spark, "ratings_colons"), sep="::")
+    return readers.read_ratings(spark, path, "::")
+
+
+@register("src_ratings_comma", with_ctes(["ratings"], _RATINGS_OUT_SQL))
+def q_src_ratings_comma(spark, d):
+    path = _csv(_ratings_out(spark, d), scratch_path(spark, "ratings_comma"), sep=",", header=True)
+    return readers.read_ratings(spark, path, ",", header=True)
+
+
+@register("src_items_pipe", with_ctes(["items"], "SELECT CAST(item_id AS INTEGER) AS item_id, name FROM items"))
+def q_src_items_pipe(spark, d):
+    items = tm.items_df(spark, d)
+    path = _csv(items, scratch_path(spark, "items_pipe"), sep="|", quote="\u0000")
+    return readers.read_items(spark, path, "|")
+
+
+@register("src_items_colons", with_ctes(["items"],
+          "SELECT CAST(item_id AS INTEGER) AS item_id, name, replace(tags, ' ', '|') AS tags, "
+          "name || ' <' || replace(tags, ' ', '|') || '>' AS label FROM items"))
+def q_src_items_colons(spark, d):
+    items = tm.items_df(spark, d).withColumn("tags", F.regexp_replace("tags", " ", "|"))
+    path = _csv(items, scratch_path(spark, "items_colons"), sep="::", quote="\u0000")
+    return readers.read_items(spark, path, "::")
+
+
+@register("src_items_quoted", with_ctes(["items"],
+          "SELECT CAST(i.item_id AS INTEGER) AS item_id, i.name || ', ' || p.p_brand || ' \"' || p.p_type || '\"' AS name, "
+          "replace(i.tags, ' ', '|') AS tags FROM items i JOIN part p ON p.p_partkey = i.item_id"))
+def q_src_items_quoted(spark, d):
+    # names carrying commas and quotes, so the writer must quote and double quotes
+    part = tm.table(spark, d, "part")
+    items = part.select(F.col("p_partkey").alias("item_id"),
+                        F.format_string('%s, %s "%s"', "p_name", "p_brand", "p_type").alias("name"),
+                        F.regexp_replace("p_name", " ", "|").alias("tags"))
+    path = _csv(items, scratch_path(spark, "items_quoted"), sep=",", quote='"', escape='"')
+    return readers.read_items(spark, path, ",")
+
+
+@register("src_people", with_ctes(["people"], "SELECT * FROM people"))
+def q_src_people(spark, d):
+    path = _csv(tm.people_df(spark, d), scratch_path(spark, "people"), lineSep="\r\n")
+    return readers.read_people(spark, path)
+
+
+@register("src_readings", with_ctes(["readings"], "SELECT station, type, value FROM readings"))
+def q_src_readings(spark, d):
+    ev = tm.table(spark, d, "events")
+    kind = (F.when(F.col("event_type") == "purchase", "TMIN").when(F.col("event_type") == "view", "TMAX")
+            .otherwise(F.col("event_type")))
+    out = ev.select(F.col("user_id").cast("string").alias("station"),
+                    F.date_format("ts", "yyyyMMdd").alias("day"), kind.alias("type"), "value")
+    path = _csv(out, scratch_path(spark, "readings"))
+    return readers.read_readings(spark, path)
+
+
+@register("src_spend", with_ctes(["spend"], "SELECT customer, amount FROM spend"))
+def q_src_spend(spark, d):
+    o = tm.table(spark, d, "orders")
+    out = o.select(F.col("o_custkey").alias("customer"), F.col("o_orderkey").alias("item"),
+                   F.col("o_totalprice").alias("amount"))
+    path = _csv(out, scratch_path(spark, "spend"))
+    return readers.read_spend(spark, path)
+
+
+@register("src_adjacency", with_ctes(["incidence"],
+          "SELECT grp AS node, CAST(count(*) AS BIGINT) AS degree FROM incidence GROUP BY grp"))
+def q_src_adjacency(spark, d):
+    inc = tm.incidence_df(spark, d)
+    # one line per (group, id range): bounded lines; a group spanning ranges spans lines
+    lines = (inc.groupBy("grp", F.floor(F.col("node") / ADJ_CHUNK).alias("chunk"))
+             .agg(F.array_sort(F.collect_list("node")).alias("members"))
+             .select(F.concat_ws(" ", F.col("grp").cast("string"),
+                                 F.array_join(F.col("members").cast("array<string>"), " ")).alias("line")))
+    path = sinks.write_lines(lines, scratch_path(spark, "adjacency"))
+    return graph.adjacency_degree(readers.read_adjacency(spark, path))
+
+
+@register("src_node_names", with_ctes(["node_names"], "SELECT node, name FROM node_names"))
+def q_src_node_names(spark, d):
+    names = tm.node_names_df(spark, d)
+    lines = sinks.format_lines(names, '%d "%s"', "node", "name")
+    path = sinks.write_lines(lines, scratch_path(spark, "node_names"))
+    return readers.read_node_names(spark, path)
+
+
+@register("sink_tag_report", ORACLE["tag_popularity"])
+def q_sink_tag_report(spark, d):
+    report = tags.tag_popularity(tm.purchases_df(spark, d), tm.items_df(spark, d), SEP)
+    path = sinks.write_tag_report(report, scratch_path(spark, "tag_report"))
+    return sinks.read_tag_report(spark, path)
+
+
+@register("sink_similarities", ORACLE["item_similarity"])
+def q_sink_similarities(spark, d):
+    sims = similarity.item_similarity(tm.ratings_unique_df(spark, d))
+    path = sinks.write_similarities(sims, scratch_path(spark, "similarities"))
+    return spark.read.parquet(path)
+
+
+@register("formatted_min_readings", _MIN_READ_SQL.replace(
+    "SELECT station, CAST(h AS DOUBLE) / CAST(100 AS DOUBLE) AS min_temp,\n       printf('%s%d.%02d F'",
+    "SELECT printf('%s minimum temperature: %s', station, printf('%s%d.%02d F'", 1).replace(
+    "abs(h) % 100) AS label", "abs(h) % 100)) AS line", 1))
+def q_formatted_min_readings(spark, d):
+    mins = keyed.min_reading_by_station(tm.readings_df(spark, d))
+    lines = sinks.format_lines(mins, "%s minimum temperature: %s", "station", "label")
+    path = sinks.write_lines(lines, scratch_path(spark, "min_readings"))
+    return readers.read_lines(spark, path)

@@ -43,6 +43,31 @@ def hash_percent(key: Column | str, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
 
 
+def literal_rows(spark, columns: list[tuple[str, str]], rows: list[tuple]) -> DataFrame:
+    """A small result built JVM-side from driver scalars (no Python rows to deserialize).
+    ``columns`` are (name, Spark SQL type) pairs."""
+    def one(values):
+        return spark.range(1).select(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(columns, values)])
+    if not rows:
+        return one([None] * len(columns)).limit(0)
+    out = one(rows[0])
+    for r in rows[1:]:
+        out = out.unionByName(one(r))
+    return out
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin rows over the cluster when the input has fewer partitions than cores.
+
+    CPU-heavy per-row work (regex tokenizing) otherwise runs in as many tasks as the scan
+    has splits. A large input already has many splits; then this is a no-op and adds no
+    shuffle."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast a side whose row count is bounded by construction (e.g. after ``limit``)."""
     if max_rows > 1_000_000:

@@ -10,10 +10,10 @@ Two graph forms are supported:
   keeps every step linear in the memberships: the member pairs of a group are never
   emitted, which matters when one group holds a large share of all rows.
 
-BFS is an iterative frontier expansion. Frontier and visited sets carry ids only; each
-level is checkpointed (reliable checkpoint in ``spark.checkpoint.dir``) so lineage stays
-short and a lost executor recomputes at most one level. One count per level decides the
-hit and the stop.
+BFS is an iterative frontier expansion. Frontier and visited sets carry ids only. The
+graph and each level's new nodes are written as tables under ``spark.checkpoint.dir``
+(a shared folder), which cuts lineage and means a lost executor costs at most the
+current level. One count per level decides the hit, one small probe the stop.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankfold.functions import bounded_broadcast
-from rankfold.session import checkpoint_dir
+from rankfold.session import scratch_path
 
 MAX_LEVELS = 10
 
@@ -76,29 +76,43 @@ def least_connected(degrees: DataFrame, n: int = 10) -> DataFrame:
 
 # ------------------------------------------------------------------ breadth-first search
 
+def _materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared scratch folder and read it back: one job,
+    lineage cut, and the table outlives any executor."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 class _Edges:
     """Directed entries (node -> neighbour); duplicates are separate entries."""
 
     def __init__(self, entries: DataFrame):
-        self.e = entries.select(F.col("node").cast("long").alias("src"),
-                                F.col("neighbour").cast("long").alias("dst"))
+        e = entries.select(F.col("node").cast("long").alias("src"),
+                           F.col("neighbour").cast("long").alias("dst"))
+        self.e = _materialize(e, "bfs-edges")
 
     def hits(self, frontier: DataFrame, target: int) -> int:
         into = self.e.filter(F.col("dst") == target)
         return into.join(frontier.select(F.col("node").alias("src")), "src", "left_semi").count()
 
-    def expand(self, frontier: DataFrame) -> DataFrame:
+    def expand(self, frontier: DataFrame, previous: DataFrame | None) -> DataFrame:
         return (self.e.join(frontier.select(F.col("node").alias("src")), "src")
                 .select(F.col("dst").alias("node")).distinct())
 
 
 class _Incidence:
-    """Co-occurrence groups; a group is expanded once, when first touched."""
+    """Co-occurrence groups: frontier -> its groups -> their members. Member pairs are
+    never formed. A group may be expanded again one level later (its members are at
+    most one level apart); those members are already visited and drop out in the
+    anti join, so the extra work is bounded by one more pass over the touched groups,
+    cheaper than another scan of the incidence to filter them."""
 
     def __init__(self, incidence: DataFrame):
-        self.m = incidence.select(F.col("node").cast("long").alias("node"),
-                                  F.col("grp").cast("long").alias("grp"))
-        self.seen_groups: DataFrame | None = None
+        m = incidence.select(F.col("node").cast("long").alias("node"),
+                             F.col("grp").cast("long").alias("grp"))
+        self.m = _materialize(m, "bfs-incidence")
 
     def hits(self, frontier: DataFrame, target: int) -> int:
         # entries p -> target: one per group shared by frontier node p and the target
@@ -107,41 +121,51 @@ class _Incidence:
                          .filter(F.col("node") != target))
         return from_frontier.join(target_groups, "grp", "left_semi").count()
 
-    def expand(self, frontier: DataFrame) -> DataFrame:
+    def expand(self, frontier: DataFrame, previous: DataFrame | None) -> DataFrame:
         groups = self.m.join(frontier.select("node"), "node", "left_semi").select("grp").distinct()
-        if self.seen_groups is not None:
-            groups = groups.join(self.seen_groups, "grp", "left_anti")
-        groups = groups.checkpoint(eager=True)
-        self.seen_groups = groups if self.seen_groups is None else self.seen_groups.unionByName(groups)
         return self.m.join(groups, "grp", "left_semi").select("node").distinct()
 
 
 def _start(spark: SparkSession, start: int) -> DataFrame:
-    return spark.createDataFrame([(int(start), 0)], "node long, dist int")
+    # built JVM-side (no Python rows), one row
+    return spark.range(1).select(F.lit(int(start)).cast("long").alias("node"), F.lit(0).alias("dist"))
 
 
 def _search(graph, spark: SparkSession, start: int, target: int | None, max_levels: int):
-    """Run BFS levels; returns (visited DataFrame, (degree, hits) or None)."""
-    checkpoint_dir(spark)
-    frontier = _start(spark, start)
+    """Run BFS levels; returns (visited DataFrame, (degree, hits) or None). Each level's
+    new nodes are written as a table; ``visited`` is the union of those tables.
+
+    For target != start the first level with hits is the level at which the target is
+    discovered, so each level costs one write plus one small aggregate over the written
+    level (its size and whether it holds the target); hits are counted once, at that
+    level. For target == start (found again through a cycle) hits are probed per level."""
+    frontier, previous = _start(spark, start), None
     visited = frontier
+    probe_each_level = target is not None and target == start
     for level in range(1, max_levels + 1):
-        if target is not None:
+        if probe_each_level:
             hits = graph.hits(frontier, target)
             if hits > 0:
                 return visited, (level, hits)
-        new = (graph.expand(frontier).join(visited.select("node"), "node", "left_anti")
-               .withColumn("dist", F.lit(level)).checkpoint(eager=True))
-        if new.isEmpty():
+        new = (graph.expand(frontier, previous).join(visited.select("node"), "node", "left_anti")
+               .withColumn("dist", F.lit(level)))
+        new = _materialize(new, f"bfs-level{level}")
+        has_target = F.max(F.col("node") == F.lit(target)) if target is not None else F.lit(False)
+        size, found = new.agg(F.count(F.lit(1)), has_target).first()
+        if target is not None and not probe_each_level and found:
+            return visited, (level, graph.hits(frontier, target))
+        if not size:
             break
         visited = visited.unionByName(new)
-        frontier = new
+        frontier, previous = new, frontier
     return visited, None
 
 
 def _result(spark: SparkSession, found) -> DataFrame:
-    rows = [found] if found else []
-    return spark.createDataFrame(rows, "degree int, hits long")
+    # built JVM-side: one row (degree, hits), or none when the target was not reached
+    level, hits = found if found else (0, 0)
+    row = spark.range(1).select(F.lit(level).cast("int").alias("degree"), F.lit(hits).cast("long").alias("hits"))
+    return row if found else row.limit(0)
 
 
 def degrees_of_separation(entries: DataFrame, start: int, target: int,

@@ -15,7 +15,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankfold.functions import bounded_broadcast, epoch_seconds, hash_percent
+from rankfold.functions import bounded_broadcast, epoch_seconds, hash_percent, literal_rows
 from rankfold.operators.popularity import item_counts
 from rankfold.session import checkpoint_dir
 
@@ -113,21 +113,28 @@ def als_predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
             .select("user_id", "item_id", F.col("prediction").cast("double").alias("prediction")))
 
 
-def rmse_value(model: ALSModel, data: DataFrame) -> float:
-    """sqrt(sum of squared errors over predictable pairs / number of rows in ``data``).
+def rmse_scored(scored: DataFrame) -> float:
+    """sqrt(sum of squared errors over rows with a prediction / number of all rows).
 
-    Cold-start rows count in the divisor but not in the numerator. One pass: predictions
-    are NaN for unknown ids and skipped in the sum."""
-    model.setColdStartStrategy("nan")
-    scored = model.transform(_als_input(data))
-    err = F.when(~F.isnan("prediction"), F.pow(F.col("prediction") - F.col("rating"), 2))
+    Rows whose ``prediction`` is NaN or null (cold start) count in the divisor only."""
+    ok = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    err = F.when(ok, F.pow(F.col("prediction") - F.col("rating"), 2))
     row = scored.agg(F.sum(err).alias("sse"), F.count(F.lit(1)).alias("n")).first()
-    model.setColdStartStrategy("drop")
     if not row["n"]:
         return float("nan")
     return float(((row["sse"] or 0.0) / row["n"]) ** 0.5)
 
 
+def rmse_value(model: ALSModel, data: DataFrame) -> float:
+    """RMSE of ``model`` on ``data`` with the whole split as divisor (one pass:
+    predictions are NaN for unknown ids)."""
+    model.setColdStartStrategy("nan")
+    try:
+        return rmse_scored(model.transform(_als_input(data)))
+    finally:
+        model.setColdStartStrategy("drop")
+
+
 @dataclass
 class GridResult:
     rows: list[tuple]            # (rank, reg, max_iter, validation_rmse)
@@ -158,7 +165,9 @@ def als_grid_search(train: DataFrame, validation: DataFrame, ranks=(8, 12), regs
 
 def grid_frame(spark, result: GridResult) -> DataFrame:
     data = [(r, g, i, v, (r, g, i, v) == result.best) for r, g, i, v in result.rows]
-    return spark.createDataFrame(data, "rank int, reg double, max_iter int, validation_rmse double, best boolean")
+    cols = [("rank", "int"), ("reg", "double"), ("max_iter", "int"), ("validation_rmse", "double"),
+            ("best", "boolean")]
+    return literal_rows(spark, cols, data)
 
 
 def mean_baseline_rmse(train: DataFrame, validation: DataFrame, test: DataFrame) -> DataFrame:
@@ -176,7 +185,7 @@ def improvement_pct(baseline_rmse: float, model_rmse: float) -> float:
 def recommend_for_user(model: ALSModel, items: DataFrame, user: int, n: int = 10) -> DataFrame:
     """Top-n items for a user, already-rated items included."""
     spark = items.sparkSession
-    who = spark.createDataFrame([(int(user),)], "user_id int")
+    who = spark.range(1).select(F.lit(int(user)).cast("int").alias("user_id"))
     recs = (model.recommendForUserSubset(who, n)
             .select(F.explode("recommendations").alias("r"))
             .select(F.col("r.item_id").cast("long").alias("item_id"),

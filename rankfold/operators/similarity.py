@@ -38,7 +38,7 @@ def _dense(codes_u, nu, pdf, mask):
     return np.asarray(item_ids, dtype="int64"), r, b
 
 
-def _cell_products(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _cell_products(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     lo, hi = int(key[1]), int(key[2])
     codes_u, users = pd.factorize(pdf["user_id"].to_numpy())
     blk = pdf["blk"].to_numpy()

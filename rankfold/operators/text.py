@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankfold.functions import java_split
+from rankfold.functions import java_split, spread
 
 # Stop words removed by the sorted word count, as in the reference.
 STOP_WORDS = ("is", "am", "are", "a", "the", "an", "and", "it", "of", "for", "on", "in", "or", "to")
@@ -28,7 +28,7 @@ def word_count(lines: DataFrame, pattern: str = SPACE, lower: bool = False,
                stop_words: tuple[str, ...] | None = None, sort: bool = False,
                line_col: str = "line") -> DataFrame:
     """P02 (space split), P03 (``\\W+`` split, lower-cased), P04 (+ stop words, sorted)."""
-    words = tokens(lines, pattern, lower, line_col)
+    words = tokens(spread(lines), pattern, lower, line_col)
     if stop_words:
         words = words.filter(~F.col("word").isin(list(stop_words)))
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))

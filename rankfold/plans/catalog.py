@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from rankfold.operators import graph, keyed, people, popularity, recommend, similarity, tags, text
 from rankfold.session import scratch_path
 from rankfold.sources import readers, sinks
-from rankfold.functions import epoch_seconds
+from rankfold.functions import epoch_seconds, literal_rows
 from rankfold.plans import testmap as tm
 from rankfold.plans.testmap import with_ctes
 
@@ -28,6 +28,8 @@ ORACLE: dict[str, str] = {}
 TOP_N = 10
 MIN_COUNT = 30
 TAG = "red"
+MIN_KIND = "purchase"   # plays TMIN
+MAX_KIND = "view"       # plays TMAX
 SEP = tm.TAG_SEPARATOR
 
 
@@ -59,22 +61,22 @@ def q_int_avg_by_key(spark, d):
     return keyed.int_avg_by_key(tm.people_df(spark, d), "name", "num_friends", "avg_friends")
 
 
-_MIN_READ_SQL = with_ctes(["readings"], """
+_MIN_READ_SQL = with_ctes(["readings"], f"""
 SELECT station, CAST(h AS DOUBLE) / CAST(100 AS DOUBLE) AS min_temp,
        printf('%s%d.%02d F', CASE WHEN h < 0 THEN '-' ELSE '' END, abs(h) // 100, abs(h) % 100) AS label
 FROM (SELECT station, CAST(round(min(value) * CAST(18 AS DOUBLE) + CAST(3200 AS DOUBLE)) AS BIGINT) AS h
-      FROM readings WHERE type = 'TMIN' GROUP BY station)""")
+      FROM readings WHERE type = '{MIN_KIND}' GROUP BY station)""")
 
 
 @register("min_reading_by_station", _MIN_READ_SQL)
 def q_min_reading_by_station(spark, d):
-    return keyed.min_reading_by_station(tm.readings_df(spark, d))
+    return keyed.min_reading_by_station(tm.readings_df(spark, d), MIN_KIND)
 
 
 @register("max_reading_by_station", with_ctes(["readings"],
-          "SELECT station, max(value) AS max_value FROM readings WHERE type = 'TMAX' GROUP BY station"))
+          f"SELECT station, max(value) AS max_value FROM readings WHERE type = '{MAX_KIND}' GROUP BY station"))
 def q_max_reading_by_station(spark, d):
-    return keyed.max_reading_by_station(tm.readings_df(spark, d))
+    return keyed.max_reading_by_station(tm.readings_df(spark, d), MAX_KIND)
 
 
 @register("spend_by_customer", with_ctes(["spend"],
@@ -367,7 +369,8 @@ def _supplied(spark, d):
     """The new user's answers, derived from the data: the sampled items rated item_id % 6
     (0 = not seen) under a fresh user id."""
     uid = recommend.next_user_id(tm.ratings_unique_df(spark, d))
-    return _sample(spark, d).select(F.lit(uid).cast("long").alias("user_id"), "item_id",
+    return _sample(spark, d).select(F.lit(uid).cast("long").alias("user_id"),
+                                    F.col("item_id").cast("int").alias("item_id"),
                                     (F.col("item_id") % 6).cast("double").alias("rating"))
 
 
@@ -463,7 +466,7 @@ def q_als_predict(spark, d):
 @register("als_rmse")
 def q_als_rmse(spark, d):
     result, _, _, test = _grid(spark, d)
-    return spark.createDataFrame([(recommend.rmse_value(result.model, test),)], "test_rmse double")
+    return literal_rows(spark, [("test_rmse", "double")], [(recommend.rmse_value(result.model, test),)])
 
 
 @register("als_improvement")
@@ -471,8 +474,8 @@ def q_als_improvement(spark, d):
     result, train, val, test = _grid(spark, d)
     model_rmse = recommend.rmse_value(result.model, test)
     base = recommend.mean_baseline_rmse(train, val, test).first()[0]
-    return spark.createDataFrame([(base, model_rmse, recommend.improvement_pct(base, model_rmse))],
-                                 "baseline_rmse double, test_rmse double, improvement_pct double")
+    return literal_rows(spark, [("baseline_rmse", "double"), ("test_rmse", "double"), ("improvement_pct", "double")],
+                        [(base, model_rmse, recommend.improvement_pct(base, model_rmse))])
 
 
 @register("als_recommend_unseen")
@@ -576,10 +579,8 @@ def q_src_people(spark, d):
 @register("src_readings", with_ctes(["readings"], "SELECT station, type, value FROM readings"))
 def q_src_readings(spark, d):
     ev = tm.table(spark, d, "events")
-    kind = (F.when(F.col("event_type") == "purchase", "TMIN").when(F.col("event_type") == "view", "TMAX")
-            .otherwise(F.col("event_type")))
     out = ev.select(F.col("user_id").cast("string").alias("station"),
-                    F.date_format("ts", "yyyyMMdd").alias("day"), kind.alias("type"), "value")
+                    F.date_format("ts", "yyyyMMdd").alias("day"), F.col("event_type").alias("type"), "value")
     path = _csv(out, scratch_path(spark, "readings"))
     return readers.read_readings(spark, path)
 
@@ -633,7 +634,7 @@ def q_sink_similarities(spark, d):
     "SELECT printf('%s minimum temperature: %s', station, printf('%s%d.%02d F'", 1).replace(
     "abs(h) % 100) AS label", "abs(h) % 100)) AS line", 1))
 def q_formatted_min_readings(spark, d):
-    mins = keyed.min_reading_by_station(tm.readings_df(spark, d))
+    mins = keyed.min_reading_by_station(tm.readings_df(spark, d), MIN_KIND)
     lines = sinks.format_lines(mins, "%s minimum temperature: %s", "station", "label")
     path = sinks.write_lines(lines, scratch_path(spark, "min_readings"))
     return readers.read_lines(spark, path)

@@ -15,6 +15,11 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "FLOAT": "float", "TIMESTAMP": "timestamp_ntz", "DATE": "date",
+                 "SMALLINT": "smallint", "HUGEINT": "hugeint"}
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
@@ -55,6 +60,12 @@ def compare(spark, queries: dict, oracle: dict, name: str, sf_dir: str, con=None
     o_cols = [c[0] for c in cur.description]
     o_rows = cur.fetchall()
     res.update(oracle_rows=len(o_rows), oracle_cols=sorted(o_cols))
+    s_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    o_types = {c[0]: str(c[1]) for c in cur.description}
+    diff = {c: (s_types.get(c), o_types.get(c)) for c in s_types
+            if DUCK_TO_SPARK.get(o_types.get(c), o_types.get(c)) != s_types.get(c)}
+    if diff:
+        res["type_diff"] = diff
     ok_cols = sorted(s_cols) == sorted(o_cols)
     a, b = _rows(s_cols, s_rows), _rows(o_cols, o_rows)
     ok_vals = a == b

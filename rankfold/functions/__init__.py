@@ -62,6 +62,8 @@ def spread(df: DataFrame) -> DataFrame:
     CPU-heavy per-row work (regex tokenizing) otherwise runs in as many tasks as the scan
     has splits. A large input already has many splits; then this is a no-op and adds no
     shuffle."""
+    if df.isStreaming:
+        return df
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
         return df

@@ -638,3 +638,13 @@ def q_formatted_min_readings(spark, d):
     lines = sinks.format_lines(mins, "%s minimum temperature: %s", "station", "label")
     path = sinks.write_lines(lines, scratch_path(spark, "min_readings"))
     return readers.read_lines(spark, path)
+
+
+@register("src_bad_utf8", with_ctes(["lines"], "SELECT line || chr(65533) AS line FROM lines"))
+def q_src_bad_utf8(spark, d):
+    # every document line gets a byte that is not valid UTF-8 (0xFF); the reader must
+    # replace it with U+FFFD instead of failing
+    lines = tm.lines_df(spark, d)
+    broken = lines.select(F.concat("line", F.unhex(F.lit("FF")).cast("string")).alias("line"))
+    path = sinks.write_lines(broken, scratch_path(spark, "bad_utf8"))
+    return readers.read_lines(spark, path)

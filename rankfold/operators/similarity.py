@@ -26,6 +26,17 @@ from pyspark.sql import functions as F
 
 from rankfold.functions import bounded_broadcast
 
+# The block-product function runs in Python workers. Pickle this module's functions by
+# value so executors need only numpy and pandas, not this package on their path.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # older cloudpickle: ship the package instead
+    pass
+
 PARTIAL_SCHEMA = "item1 long, item2 long, sxy double, sxx double, syy double, n long"
 
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.functions import text_lines
+from rankfold.functions import spread, text_lines
 
 TAG_SEPARATOR = " "
 GRAPH_MIN_QUANTITY = 40
@@ -81,7 +81,7 @@ def spend_df(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents").select("text"))
     return d.select(F.explode(text_lines("text")).alias("line"))
 
 

@@ -122,7 +122,8 @@ class _Incidence:
         return from_frontier.join(target_groups, "grp", "left_semi").count()
 
     def expand(self, frontier: DataFrame, previous: DataFrame | None) -> DataFrame:
-        groups = self.m.join(frontier.select("node"), "node", "left_semi").select("grp").distinct()
+        # a semi join ignores duplicate keys on its right side: no distinct needed there
+        groups = self.m.join(frontier.select("node"), "node", "left_semi").select("grp")
         return self.m.join(groups, "grp", "left_semi").select("node").distinct()
 
 
@@ -136,9 +137,8 @@ def _search(graph, spark: SparkSession, start: int, target: int | None, max_leve
     new nodes are written as a table; ``visited`` is the union of those tables.
 
     For target != start the first level with hits is the level at which the target is
-    discovered, so each level costs one write plus one small aggregate over the written
-    level (its size and whether it holds the target); hits are counted once, at that
-    level. For target == start (found again through a cycle) hits are probed per level."""
+    discovered, so each level costs one write plus two probes of the written level (does
+    it hold the target, is it empty); hits are counted once, at that level. For target == start (found again through a cycle) hits are probed per level."""
     frontier, previous = _start(spark, start), None
     visited = frontier
     probe_each_level = target is not None and target == start
@@ -150,11 +150,10 @@ def _search(graph, spark: SparkSession, start: int, target: int | None, max_leve
         new = (graph.expand(frontier, previous).join(visited.select("node"), "node", "left_anti")
                .withColumn("dist", F.lit(level)))
         new = _materialize(new, f"bfs-level{level}")
-        has_target = F.max(F.col("node") == F.lit(target)) if target is not None else F.lit(False)
-        size, found = new.agg(F.count(F.lit(1)), has_target).first()
-        if target is not None and not probe_each_level and found:
+        # probes on the written level (no shuffle): does it hold the target, is it empty
+        if target is not None and not probe_each_level and new.filter(F.col("node") == target).head(1):
             return visited, (level, graph.hits(frontier, target))
-        if not size:
+        if not new.head(1):
             break
         visited = visited.unionByName(new)
         frontier, previous = new, frontier

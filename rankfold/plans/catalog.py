@@ -648,3 +648,29 @@ def q_src_bad_utf8(spark, d):
     broken = lines.select(F.concat("line", F.unhex(F.lit("FF")).cast("string")).alias("line"))
     path = sinks.write_lines(broken, scratch_path(spark, "bad_utf8"))
     return readers.read_lines(spark, path)
+
+
+@register("similar_items_stored", ORACLE["similar_items"])
+def q_similar_items_stored(spark, d):
+    # P24 as the reference runs it: filter the full pair table (here read back from the K02 sink)
+    sims = similarity.item_similarity(tm.ratings_unique_df(spark, d))
+    stored = spark.read.parquet(sinks.write_similarities(sims, scratch_path(spark, "similarities")))
+    return similarity.similar_items_from(stored, tm.items_df(spark, d), SIM_ITEM, SIM_MIN_SCORE,
+                                         SIM_MIN_PAIRS, TOP_N)
+
+
+@register("formatted_word_counts", with_ctes(["lines"],
+          "SELECT printf('%s: %d', word, n) AS line FROM (SELECT word, count(*) AS n FROM (SELECT lower(w) AS word FROM "
+          f"(SELECT unnest({_WORD_TOKENS}) AS w FROM lines)) WHERE word NOT IN ({_STOP_SQL}) GROUP BY word)"))
+def q_formatted_word_counts(spark, d):
+    counts = text.word_count(tm.lines_df(spark, d), text.NON_WORD, lower=True, stop_words=text.STOP_WORDS,
+                             sort=True)
+    lines = sinks.format_lines(counts, "%s: %d", "word", "n")
+    return readers.read_lines(spark, sinks.write_lines(lines, scratch_path(spark, "word_counts")))
+
+
+@register("formatted_recommendations")
+def q_formatted_recommendations(spark, d):
+    recs = q_als_recommend_unseen(spark, d)
+    lines = sinks.format_lines(recs.orderBy("rank"), "%2d: %s", "rank", "name")
+    return readers.read_lines(spark, sinks.write_lines(lines, scratch_path(spark, "recommendations")))

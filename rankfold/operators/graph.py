@@ -18,6 +18,8 @@ current level. One count per level decides the hit, one small probe the stop.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,13 +87,40 @@ def _materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+class _Bucketed:
+    """The graph written once, bucketed on a join key, in the shared scratch folder.
+
+    Every BFS level joins the graph with the frontier (on the node) or with the touched
+    groups (on the group). Bucketing the graph on that key lets those sort-merge joins
+    shuffle only the small side; without it each level would shuffle the whole graph
+    twice. Falls back to a plain written table where the catalog cannot create tables."""
+
+    def __init__(self, df: DataFrame, key: str, name: str):
+        spark = df.sparkSession
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.table = None
+        try:
+            table = f"rankfold_{name}_{uuid.uuid4().hex}"
+            (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+             .option("path", scratch_path(spark, name)).saveAsTable(table))
+            self.table = table
+            self.df = spark.table(table)
+        except Exception:  # noqa: BLE001 - any catalog refusal: keep going without bucketing
+            self.df = _materialize(df, name)
+
+    def drop(self) -> None:
+        if self.table:
+            self.df.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
+
+
 class _Edges:
     """Directed entries (node -> neighbour); duplicates are separate entries."""
 
     def __init__(self, entries: DataFrame):
         e = entries.select(F.col("node").cast("long").alias("src"),
                            F.col("neighbour").cast("long").alias("dst"))
-        self.e = _materialize(e, "bfs-edges")
+        self.by_src = _Bucketed(e, "src", "bfs_edges")
+        self.e = self.by_src.df
 
     def hits(self, frontier: DataFrame, target: int) -> int:
         into = self.e.filter(F.col("dst") == target)
@@ -101,6 +130,9 @@ class _Edges:
         return (self.e.join(frontier.select(F.col("node").alias("src")), "src")
                 .select(F.col("dst").alias("node")).distinct())
 
+    def close(self) -> None:
+        self.by_src.drop()
+
 
 class _Incidence:
     """Co-occurrence groups: frontier -> its groups -> their members. Member pairs are
@@ -112,19 +144,24 @@ class _Incidence:
     def __init__(self, incidence: DataFrame):
         m = incidence.select(F.col("node").cast("long").alias("node"),
                              F.col("grp").cast("long").alias("grp"))
-        self.m = _materialize(m, "bfs-incidence")
+        self.by_node = _Bucketed(m, "node", "bfs_by_node")
+        self.by_grp = _Bucketed(m, "grp", "bfs_by_grp")
 
     def hits(self, frontier: DataFrame, target: int) -> int:
         # entries p -> target: one per group shared by frontier node p and the target
-        target_groups = self.m.filter(F.col("node") == target).select("grp")
-        from_frontier = (self.m.join(frontier.select("node"), "node", "left_semi")
+        target_groups = self.by_grp.df.filter(F.col("node") == target).select("grp")
+        from_frontier = (self.by_node.df.join(frontier.select("node"), "node", "left_semi")
                          .filter(F.col("node") != target))
         return from_frontier.join(target_groups, "grp", "left_semi").count()
 
     def expand(self, frontier: DataFrame, previous: DataFrame | None) -> DataFrame:
         # a semi join ignores duplicate keys on its right side: no distinct needed there
-        groups = self.m.join(frontier.select("node"), "node", "left_semi").select("grp")
-        return self.m.join(groups, "grp", "left_semi").select("node").distinct()
+        groups = self.by_node.df.join(frontier.select("node"), "node", "left_semi").select("grp")
+        return self.by_grp.df.join(groups, "grp", "left_semi").select("node").distinct()
+
+    def close(self) -> None:
+        self.by_node.drop()
+        self.by_grp.drop()
 
 
 def _start(spark: SparkSession, start: int) -> DataFrame:
@@ -138,7 +175,16 @@ def _search(graph, spark: SparkSession, start: int, target: int | None, max_leve
 
     For target != start the first level with hits is the level at which the target is
     discovered, so each level costs one write plus two probes of the written level (does
-    it hold the target, is it empty); hits are counted once, at that level. For target == start (found again through a cycle) hits are probed per level."""
+    it hold the target, is it empty); hits are counted once, at that level. For
+    target == start (found again through a cycle) hits are probed per level. The graph's
+    bucketed tables are dropped at the end; the visited levels do not depend on them."""
+    try:
+        return _levels(graph, spark, start, target, max_levels)
+    finally:
+        graph.close()
+
+
+def _levels(graph, spark: SparkSession, start: int, target: int | None, max_levels: int):
     frontier, previous = _start(spark, start), None
     visited = frontier
     probe_each_level = target is not None and target == start

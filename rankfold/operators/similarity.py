@@ -9,10 +9,13 @@ With R the (user x item) rating matrix, Q = R*R and B the 0/1 indicator, the fou
 are the matrix products R'R, Q'B, B'Q and B'B. A per-user self-join would emit every item
 pair of every user (quadratic in the items of a heavy user). Instead users are hashed
 into blocks and items into blocks; each (user block, item block, item block) cell is
-multiplied densely with numpy inside ``applyInPandas`` and already summed over the users
-of that block before the shuffle. A cell holds at most users_per_block x 2 x
-items_per_block ratings, whatever the skew, because ratings are one per (user, item).
-The final sum over user blocks is an ordinary partial aggregate.
+multiplied with numpy inside ``applyInPandas`` and already summed over the users of that
+block before the shuffle: densely (BLAS) when the cell is dense, otherwise by expanding
+each user's co-ratings in bounded chunks into (items x items) accumulators. A cell holds
+at most users_per_block x 2 x items_per_block ratings, whatever the skew, because
+ratings are one per (user, item). A rating is sent only to the cells of item blocks its
+user actually rated, so the copies per rating are at most min(items of the user, item
+blocks). The final sum over user blocks is an ordinary partial aggregate.
 """
 
 from __future__ import annotations
@@ -40,28 +43,79 @@ except (ImportError, AttributeError, ValueError):  # older cloudpickle: ship the
 PARTIAL_SCHEMA = "item1 long, item2 long, sxy double, sxx double, syy double, n long"
 
 
-def _dense(codes_u, nu, pdf, mask):
+PAIR_CHUNK = 1 << 22      # co-rating pairs expanded at once by the sparse cell product
+DENSE_SPEEDUP = 32        # BLAS multiply-adds per numpy scatter-add, roughly
+
+
+def _dense_products(users, left, right, ni, nj):
+    """Four block products with dense matrices over the users present in the cell."""
+    nu = len(users)
+    (lu, li, lr), (ru, rj, rr) = left, right
+    rl = np.zeros((nu, ni))
+    bl = np.zeros((nu, ni))
+    rl[lu, li] = lr
+    bl[lu, li] = 1.0
+    rr_m = np.zeros((nu, nj))
+    br = np.zeros((nu, nj))
+    rr_m[ru, rj] = rr
+    br[ru, rj] = 1.0
+    return rl.T @ rr_m, (rl * rl).T @ br, bl.T @ (rr_m * rr_m), bl.T @ br
+
+
+def _sparse_products(nu, left, right, ni, nj):
+    """Same sums from co-rating pairs, expanded user by user in bounded chunks and
+    scatter-added into the (ni x nj) accumulators; no pair leaves the task."""
+    (lu, li, lr), (ru, rj, rr) = left, right
+    order = np.argsort(ru, kind="stable")
+    rj_s, rr_s = rj[order], rr[order]
+    cnt = np.bincount(ru, minlength=nu)
+    off = np.concatenate(([0], np.cumsum(cnt)[:-1]))
+    rep = cnt[lu]                                   # partners of each left rating
+    size = ni * nj
+    acc = [np.zeros(size) for _ in range(4)]
+    cum = np.cumsum(rep)
+    start = 0
+    while start < len(rep):
+        done = int(cum[start - 1]) if start else 0
+        stop = max(int(np.searchsorted(cum, done + PAIR_CHUNK, side="right")), start + 1)
+        k = np.arange(start, stop)
+        reps = rep[k]
+        lidx = np.repeat(k, reps)
+        first = np.cumsum(reps) - reps
+        pos = np.arange(int(reps.sum())) - np.repeat(first, reps)
+        ridx = off[lu[lidx]] + pos
+        key = li[lidx] * nj + rj_s[ridx]
+        x, y = lr[lidx], rr_s[ridx]
+        acc[0] += np.bincount(key, weights=x * y, minlength=size)
+        acc[1] += np.bincount(key, weights=x * x, minlength=size)
+        acc[2] += np.bincount(key, weights=y * y, minlength=size)
+        acc[3] += np.bincount(key, minlength=size)
+        start = stop
+    return tuple(a.reshape(ni, nj) for a in acc)
+
+
+def _side(codes_u, pdf, mask):
     item_codes, item_ids = pd.factorize(pdf["item_id"].to_numpy()[mask])
-    r = np.zeros((nu, len(item_ids)))
-    b = np.zeros((nu, len(item_ids)))
-    r[codes_u[mask], item_codes] = pdf["rating"].to_numpy(dtype="float64")[mask]
-    b[codes_u[mask], item_codes] = 1.0
-    return np.asarray(item_ids, dtype="int64"), r, b
+    entries = (codes_u[mask], item_codes, pdf["rating"].to_numpy(dtype="float64")[mask])
+    return np.asarray(item_ids, dtype="int64"), entries
 
 
 def _cell_products(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     lo, hi = int(key[1]), int(key[2])
     codes_u, users = pd.factorize(pdf["user_id"].to_numpy())
     blk = pdf["blk"].to_numpy()
-    li, rl, bl = _dense(codes_u, len(users), pdf, blk == lo)
-    if lo == hi:
-        ri, rr, br = li, rl, bl
+    li, left = _side(codes_u, pdf, blk == lo)
+    ri, right = (li, left) if lo == hi else _side(codes_u, pdf, blk == hi)
+    ni, nj = len(li), len(ri)
+    if ni == 0 or nj == 0:
+        return pd.DataFrame({c: pd.Series(dtype=t) for c, t in
+                             [("item1", "int64"), ("item2", "int64"), ("sxy", "float64"),
+                              ("sxx", "float64"), ("syy", "float64"), ("n", "int64")]})
+    pairs = int(np.bincount(right[0], minlength=len(users))[left[0]].sum())
+    if pairs * DENSE_SPEEDUP < len(users) * ni * nj:
+        sxy, sxx, syy, n = _sparse_products(len(users), left, right, ni, nj)
     else:
-        ri, rr, br = _dense(codes_u, len(users), pdf, blk == hi)
-    sxy = rl.T @ rr
-    sxx = (rl * rl).T @ br
-    syy = bl.T @ (rr * rr)
-    n = bl.T @ br
+        sxy, sxx, syy, n = _dense_products(users, left, right, ni, nj)
     a, b = np.meshgrid(li, ri, indexing="ij")
     keep = (n > 0) & (a != b)
     if lo == hi:
@@ -94,10 +148,13 @@ def item_similarity(ratings: DataFrame, items_per_block: int = 1024, users_per_b
                   F.approx_count_distinct("item_id").alias("i")).first()
     n_ub = max(1, math.ceil((sizes["u"] or 0) / users_per_block))
     n_ib = max(1, math.ceil((sizes["i"] or 0) / items_per_block))
-    blk = F.pmod(F.xxhash64("item_id"), F.lit(n_ib)).cast("int")
-    cells = (r.withColumn("ub", F.pmod(F.xxhash64("user_id"), F.lit(n_ub)).cast("int"))
-             .withColumn("blk", blk)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n_ib - 1))))
+    r = (r.withColumn("ub", F.pmod(F.xxhash64("user_id"), F.lit(n_ub)).cast("int"))
+         .withColumn("blk", F.pmod(F.xxhash64("item_id"), F.lit(n_ib)).cast("int")))
+    # A rating is needed only by cells pairing its block with a block the same user also
+    # rated: replicate to the user's own block set (at most n_ib entries per user).
+    touched = r.groupBy("user_id").agg(F.collect_set("blk").alias("blks"))
+    cells = (r.join(touched, "user_id")
+             .withColumn("other", F.explode("blks"))
              .withColumn("lo", F.least("blk", "other"))
              .withColumn("hi", F.greatest("blk", "other"))
              .select("ub", "lo", "hi", "blk", "user_id", "item_id", "rating"))

@@ -125,3 +125,36 @@ def test_spread_keeps_rows(spark):
     df = spark.range(100).coalesce(1)
     assert spread(df).rdd.getNumPartitions() >= 1
     assert spread(df).agg(F.sum("id")).first()[0] == 4950
+
+
+def test_sparse_cell_products_equal_dense(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for trial in range(20):
+        nu, ni, nj = rng.integers(1, 30), rng.integers(1, 12), rng.integers(1, 12)
+        def side(n_items):
+            mask = rng.random((nu, n_items)) < rng.uniform(0.05, 0.9)
+            u, i = np.nonzero(mask)
+            return u, i, rng.integers(0, 6, len(u)).astype(float)
+        left, right = side(ni), side(nj)
+        monkeypatch.setattr(similarity, "PAIR_CHUNK", int(rng.integers(1, 50)))
+        dense = similarity._dense_products(np.arange(nu), left, right, ni, nj)
+        sparse = similarity._sparse_products(nu, left, right, ni, nj)
+        for a, b in zip(dense, sparse):
+            assert np.allclose(a, b), trial
+
+
+def test_block_similarity_sparse_path(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "DENSE_SPEEDUP", 0)   # always take the sparse path
+    monkeypatch.setattr(similarity, "PAIR_CHUNK", 5)
+    rng = random.Random(21)
+    rows = {(u, i): float(rng.randint(0, 5)) for u in range(30) for i in range(20) if rng.random() < 0.2}
+    data = [(u, i, r) for (u, i), r in rows.items()]
+    df = spark.createDataFrame(data, "user_id long, item_id long, rating double")
+    got = {(r["item1"], r["item2"]): (r["score"], r["n_pairs"])
+           for r in similarity.item_similarity(df, items_per_block=6, users_per_block=9).collect()}
+    want = _brute_cosine(data)
+    assert got.keys() == want.keys()
+    for k, (score, n) in want.items():
+        assert got[k][1] == n and abs(got[k][0] - score) <= 1e-6, k

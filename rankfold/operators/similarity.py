@@ -152,9 +152,12 @@ def item_similarity(ratings: DataFrame, items_per_block: int = 1024, users_per_b
          .withColumn("blk", F.pmod(F.xxhash64("item_id"), F.lit(n_ib)).cast("int")))
     # A rating is needed only by cells pairing its block with a block the same user also
     # rated: replicate to the user's own block set (at most n_ib entries per user).
-    touched = r.groupBy("user_id").agg(F.collect_set("blk").alias("blks"))
-    cells = (r.join(touched, "user_id")
-             .withColumn("other", F.explode("blks"))
+    if n_ib == 1:
+        tagged = r.withColumn("other", F.lit(0))
+    else:
+        touched = r.groupBy("user_id").agg(F.collect_set("blk").alias("blks"))
+        tagged = r.join(touched, "user_id").withColumn("other", F.explode("blks"))
+    cells = (tagged
              .withColumn("lo", F.least("blk", "other"))
              .withColumn("hi", F.greatest("blk", "other"))
              .select("ub", "lo", "hi", "blk", "user_id", "item_id", "rating"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +38,28 @@ def epoch_seconds(ts: Column | str) -> Column:
     return F.timestamp_diff("SECOND", epoch, c)
 
 
+def latest_first_key(ts: str = "ts", tiebreak: str = "event_id") -> Column:
+    """One exact DECIMAL(38,0) ordering key for (ts, tiebreak): microseconds * 2^64 +
+    (tiebreak + 2^63). Unlike a struct, a decimal maximum runs in a hash aggregate."""
+    d = "decimal(38,0)"
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", epoch, F.col(ts))
+    return (micros.cast(d) * F.lit(Decimal(2 ** 64)).cast(d)
+            + (F.col(tiebreak).cast(d) + F.lit(Decimal(2 ** 63)).cast(d)))
+
+
+def latest_per_key(df: DataFrame, keys: list[str], values: list[str], ts: str = "ts",
+                   tiebreak: str = "event_id") -> DataFrame:
+    """The row with the latest ``ts`` per key (ties: largest ``tiebreak``), as a partial
+    (map-side) hash aggregate: a hot key is combined before the shuffle instead of being
+    sorted inside one task as a window would do."""
+    key = latest_first_key(ts, tiebreak)
+    aggs = [F.max_by(v, key).alias(v) for v in values if v != ts] + [F.max_by(ts, key).alias(ts)]
+    latest = df.groupBy(*keys).agg(*aggs, F.max(key).alias("_rf_key"))
+    tb = (F.pmod(F.col("_rf_key"), F.lit(Decimal(2 ** 64))) - F.lit(Decimal(2 ** 63))).cast("long")
+    return latest.withColumn(tiebreak, tb).drop("_rf_key")
+
+
 def hash_percent(key: Column | str, seed: int) -> Column:
     """Deterministic value in [0, 100) from md5 of ``key:seed``; order and partition independent."""
     c = F.col(key) if isinstance(key, str) else key

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.functions import spread, text_lines
+from rankfold.functions import latest_per_key, spread, text_lines
 
 TAG_SEPARATOR = " "
 GRAPH_MIN_QUANTITY = 40
@@ -41,12 +41,8 @@ def ratings_df(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ratings_unique_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # max(struct) is an ordinary partial aggregate: a hot (user,item) cell is combined
-    # map-side instead of being sorted inside one task as a window would do.
-    latest = (ratings_df(spark, sf_dir).groupBy("user_id", "item_id")
-              .agg(F.max(F.struct("ts", "event_id", "rating")).alias("m")))
-    return latest.select("user_id", "item_id", F.col("m.rating").alias("rating"),
-                         F.col("m.ts").alias("ts"), F.col("m.event_id").alias("event_id"))
+    """Latest rating per (user, item); ties on ts go to the larger event_id."""
+    return latest_per_key(ratings_df(spark, sf_dir), ["user_id", "item_id"], ["rating", "ts"])
 
 
 def purchases_df(spark: SparkSession, sf_dir: str) -> DataFrame:

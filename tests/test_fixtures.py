@@ -168,3 +168,19 @@ def test_ordinal_matches_sorted_positions(spark):
     ranked = ordinal(df.repartition(5), [F.col("v").desc()])
     got = sorted((r["rank"], r["v"]) for r in ranked.collect())
     assert got == [(i + 1, 4999 - i) for i in range(5000)]
+
+
+def test_latest_per_key_tie_breaks_on_larger_event(spark):
+    from rankfold.functions import latest_per_key
+
+    df = spark.sql("""SELECT * FROM VALUES
+        (1, 1, timestamp_ntz'2024-01-01 00:00:05', 10L, 3.0),
+        (1, 1, timestamp_ntz'2024-01-01 00:00:05', 12L, 4.0),
+        (1, 1, timestamp_ntz'2024-01-01 00:00:04', 99L, 5.0),
+        (2, 1, timestamp_ntz'1969-12-31 23:59:59', -5L, 1.0),
+        (2, 1, timestamp_ntz'1969-12-31 23:59:59', -7L, 2.0)
+        AS t(user_id, item_id, ts, event_id, rating)""")
+    got = {(r["user_id"], r["item_id"]): (r["rating"], r["event_id"])
+           for r in latest_per_key(df, ["user_id", "item_id"], ["rating", "ts"]).collect()}
+    assert got == {(1, 1): (4.0, 12), (2, 1): (1.0, -5)}
+    assert "SortAggregate" not in latest_per_key(df, ["user_id", "item_id"], ["rating"])._jdf.queryExecution().executedPlan().toString()

@@ -112,9 +112,10 @@ def ordinal(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame
     from rankfold.session import checkpoint_dir
 
     checkpoint_dir(df.sparkSession)
-    tagged = (df.orderBy(*order)
-              .withColumn("_rf_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    # persisted so the checkpoint write reads the sorted rows instead of sorting again
+    sorted_rows = df.orderBy(*order).withColumn("_rf_mid", F.monotonically_increasing_id()).persist()
+    tagged = sorted_rows.checkpoint(eager=True)
+    sorted_rows.unpersist()
     part = F.shiftright(F.col("_rf_mid"), 33)
     sizes = tagged.groupBy(part.alias("_rf_part")).agg(F.count(F.lit(1)).alias("_rf_n"))
     w = Window.orderBy("_rf_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -92,17 +92,29 @@ def _als_input(df: DataFrame) -> DataFrame:
                      F.col("rating").cast("float").alias("rating"))
 
 
+RATINGS_PER_BLOCK = 25_000
+
+
+def als_blocks(train: DataFrame) -> int:
+    """User/item block count for ALS: about RATINGS_PER_BLOCK ratings per block, at most
+    the cluster's parallelism (fewer, larger blocks cost less per iteration when small)."""
+    spark = train.sparkSession
+    n = train.count()
+    return max(1, min(spark.sparkContext.defaultParallelism, -(-n // RATINGS_PER_BLOCK)))
+
+
 def fit_als(train: DataFrame, rank: int = 8, max_iter: int = 20, reg: float = 0.01, seed: int = 42,
             blocks: int | None = None) -> ALSModel:
-    """Block ALS; the number of user/item blocks follows the session parallelism.
-    Iteration state is checkpointed to the shared checkpoint folder every 10 iterations."""
+    """Block ALS. Iteration state is checkpointed to the shared checkpoint folder every
+    10 iterations (cuts lineage; without it long runs overflow the stack)."""
     spark = train.sparkSession
     checkpoint_dir(spark)
-    nb = blocks or max(1, spark.sparkContext.defaultParallelism)
+    data = _als_input(train)
+    nb = blocks or als_blocks(data)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user_id",
               itemCol="item_id", ratingCol="rating", coldStartStrategy="drop",
               numUserBlocks=nb, numItemBlocks=nb, checkpointInterval=10)
-    return als.fit(_als_input(train))
+    return als.fit(data)
 
 
 def als_predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
@@ -148,12 +160,13 @@ def als_grid_search(train: DataFrame, validation: DataFrame, ranks=(8, 12), regs
     (strict <, so the first setting wins ties). Inputs are persisted for the loop."""
     train = _als_input(train).persist()
     validation = validation.persist()
+    blocks = als_blocks(train)
     rows, best, best_model = [], None, None
     try:
         for rank in ranks:
             for reg in regs:
                 for it in iters:
-                    model = fit_als(train, rank, it, reg, seed)
+                    model = fit_als(train, rank, it, reg, seed, blocks)
                     v = rmse_value(model, validation)
                     rows.append((int(rank), float(reg), int(it), v))
                     if best is None or v < best[3]:

@@ -87,26 +87,52 @@ def _materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+MAX_SALTS = 64  # buckets one hot key is spread over
+
+
 class _Bucketed:
-    """The graph written once, bucketed on a join key, in the shared scratch folder.
+    """The graph written once in the shared scratch folder, bucketed on (join key, salt).
 
     Every BFS level joins the graph with the frontier (on the node) or with the touched
-    groups (on the group). Bucketing the graph on that key lets those sort-merge joins
-    shuffle only the small side; without it each level would shuffle the whole graph
-    twice. Falls back to a plain written table where the catalog cannot create tables."""
-
-    def __init__(self, df: DataFrame, key: str, name: str):
+    groups (on the group). Bucketing lets those sort-merge joins shuffle only the small
+    side; without it each level would shuffle the whole graph twice. AQE cannot split a
+    skewed bucket, so keys holding more than twice a bucket's share of the rows (at most
+    buckets / 2 of them, measured once) are salted: their rows are spread over MAX_SALTS
+    buckets by a hash of the other column, and only those keys are repeated MAX_SALTS
+    times on the small side. Other keys keep salt 0. Falls back to a plain written table
+    where the catalog cannot create tables."""
+
+    def __init__(self, df: DataFrame, key: str, other: str, name: str):
         spark = df.sparkSession
+        self.key = key
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
+        total, top = counts.agg(F.sum("c"), F.max("c")).first()
+        self.hot = []
+        if top is not None and top * buckets > 2 * total:
+            hot_keys = counts.filter(F.col("c") * buckets > 2 * total).select(key)
+            self.hot = [r[0] for r in hot_keys.collect()]   # at most buckets / 2 keys
+        is_hot = F.col(key).isin(self.hot) if self.hot else F.lit(False)
+        salt = F.when(is_hot, F.pmod(F.xxhash64(other), F.lit(MAX_SALTS))).otherwise(F.lit(0)).cast("int")
+        salted = df.withColumn("salt", salt)
         self.table = None
         try:
             table = f"rankfold_{name}_{uuid.uuid4().hex}"
-            (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
-             .option("path", scratch_path(spark, name)).saveAsTable(table))
+            (salted.repartition(buckets, key, "salt").write.bucketBy(buckets, key, "salt")
+             .sortBy(key, "salt").option("path", scratch_path(spark, name)).saveAsTable(table))
             self.table = table
             self.df = spark.table(table)
         except Exception:  # noqa: BLE001 - any catalog refusal: keep going without bucketing
-            self.df = _materialize(df, name)
+            self.df = _materialize(salted, name)
+
+    def semi(self, keys: DataFrame) -> DataFrame:
+        """Rows of the graph whose key is in ``keys`` (one column named like the key)."""
+        if self.hot:
+            salts = F.when(F.col(self.key).isin(self.hot), F.sequence(F.lit(0), F.lit(MAX_SALTS - 1)))
+            salted = keys.select(self.key).withColumn("salt", F.explode(salts.otherwise(F.array(F.lit(0)))))
+        else:
+            salted = keys.select(self.key).withColumn("salt", F.lit(0))
+        return self.df.join(salted, [self.key, "salt"], "left_semi").drop("salt")
 
     def drop(self) -> None:
         if self.table:
@@ -117,18 +143,17 @@ class _Edges:
     """Directed entries (node -> neighbour); duplicates are separate entries."""
 
     def __init__(self, entries: DataFrame):
-        e = entries.select(F.col("node").cast("long").alias("src"),
-                           F.col("neighbour").cast("long").alias("dst"))
-        self.by_src = _Bucketed(e, "src", "bfs_edges")
-        self.e = self.by_src.df
+        e = _materialize(entries.select(F.col("node").cast("long").alias("src"),
+                                        F.col("neighbour").cast("long").alias("dst")), "bfs-edges")
+        self.by_src = _Bucketed(e, "src", "dst", "bfs_edges")
 
     def hits(self, frontier: DataFrame, target: int) -> int:
-        into = self.e.filter(F.col("dst") == target)
-        return into.join(frontier.select(F.col("node").alias("src")), "src", "left_semi").count()
+        out = self.by_src.semi(frontier.select(F.col("node").alias("src")))
+        return out.filter(F.col("dst") == target).count()
 
     def expand(self, frontier: DataFrame, previous: DataFrame | None) -> DataFrame:
-        return (self.e.join(frontier.select(F.col("node").alias("src")), "src")
-                .select(F.col("dst").alias("node")).distinct())
+        out = self.by_src.semi(frontier.select(F.col("node").alias("src")))
+        return out.select(F.col("dst").alias("node")).distinct()
 
     def close(self) -> None:
         self.by_src.drop()
@@ -142,22 +167,21 @@ class _Incidence:
     cheaper than another scan of the incidence to filter them."""
 
     def __init__(self, incidence: DataFrame):
-        m = incidence.select(F.col("node").cast("long").alias("node"),
-                             F.col("grp").cast("long").alias("grp"))
-        self.by_node = _Bucketed(m, "node", "bfs_by_node")
-        self.by_grp = _Bucketed(m, "grp", "bfs_by_grp")
+        m = _materialize(incidence.select(F.col("node").cast("long").alias("node"),
+                                          F.col("grp").cast("long").alias("grp")), "bfs-incidence")
+        self.by_node = _Bucketed(m, "node", "grp", "bfs_by_node")
+        self.by_grp = _Bucketed(m, "grp", "node", "bfs_by_grp")
 
     def hits(self, frontier: DataFrame, target: int) -> int:
         # entries p -> target: one per group shared by frontier node p and the target
         target_groups = self.by_grp.df.filter(F.col("node") == target).select("grp")
-        from_frontier = (self.by_node.df.join(frontier.select("node"), "node", "left_semi")
-                         .filter(F.col("node") != target))
+        from_frontier = self.by_node.semi(frontier).filter(F.col("node") != target)
         return from_frontier.join(target_groups, "grp", "left_semi").count()
 
     def expand(self, frontier: DataFrame, previous: DataFrame | None) -> DataFrame:
         # a semi join ignores duplicate keys on its right side: no distinct needed there
-        groups = self.by_node.df.join(frontier.select("node"), "node", "left_semi").select("grp")
-        return self.by_grp.df.join(groups, "grp", "left_semi").select("node").distinct()
+        groups = self.by_node.semi(frontier).select("grp")
+        return self.by_grp.semi(groups).select("node").distinct()
 
     def close(self) -> None:
         self.by_node.drop()

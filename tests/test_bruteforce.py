@@ -158,3 +158,18 @@ def test_block_similarity_sparse_path(spark, monkeypatch):
     assert got.keys() == want.keys()
     for k, (score, n) in want.items():
         assert got[k][1] == n and abs(got[k][0] - score) <= 1e-6, k
+
+
+def test_bfs_with_hot_group_matches_brute_force(spark, monkeypatch):
+    # one group holds a third of all memberships; it is salted over several buckets
+    monkeypatch.setattr(graph, "MAX_SALTS", 4)
+    rng = random.Random(17)
+    inc = {(rng.randrange(90), g) for g in range(1, 60) for _ in range(rng.randint(1, 3))}
+    inc |= {(n, 0) for n in range(0, 90, 1) if rng.random() < 0.8}
+    inc = sorted(inc)
+    inc_df = spark.createDataFrame(inc, "node long, grp long")
+    ent_df = spark.createDataFrame(_entries(inc), "node long, neighbour long")
+    start = inc[-1][0]
+    a = {tuple(r) for r in graph.cooccurrence_bfs_distances(inc_df, start, 5).collect()}
+    b = {tuple(r) for r in graph.bfs_distances(ent_df, start, 5).collect()}
+    assert a == b

@@ -88,6 +88,7 @@ def _materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 MAX_SALTS = 64  # buckets one hot key is spread over
+ROWS_PER_BUCKET = 4_000_000
 
 
 class _Bucketed:
@@ -105,9 +106,12 @@ class _Bucketed:
     def __init__(self, df: DataFrame, key: str, other: str, name: str):
         spark = df.sparkSession
         self.key = key
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
         total, top = counts.agg(F.sum("c"), F.max("c")).first()
+        # about ROWS_PER_BUCKET rows per bucket, at most the shuffle width (a bucketed
+        # scan is never coalesced by AQE, so small graphs get few buckets)
+        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(1, min(width, -(-(total or 0) // ROWS_PER_BUCKET)))
         self.hot = []
         if top is not None and top * buckets > 2 * total:
             hot_keys = counts.filter(F.col("c") * buckets > 2 * total).select(key)

@@ -163,6 +163,7 @@ def test_block_similarity_sparse_path(spark, monkeypatch):
 def test_bfs_with_hot_group_matches_brute_force(spark, monkeypatch):
     # one group holds a third of all memberships; it is salted over several buckets
     monkeypatch.setattr(graph, "MAX_SALTS", 4)
+    monkeypatch.setattr(graph, "ROWS_PER_BUCKET", 10)   # several buckets even for a small graph
     rng = random.Random(17)
     inc = {(rng.randrange(90), g) for g in range(1, 60) for _ in range(rng.randint(1, 3))}
     inc |= {(n, 0) for n in range(0, 90, 1) if rng.random() < 0.8}
@@ -170,6 +171,9 @@ def test_bfs_with_hot_group_matches_brute_force(spark, monkeypatch):
     inc_df = spark.createDataFrame(inc, "node long, grp long")
     ent_df = spark.createDataFrame(_entries(inc), "node long, neighbour long")
     start = inc[-1][0]
+    probe = graph._Bucketed(inc_df, "grp", "node", "probe")
+    assert probe.hot == [0]
+    probe.drop()
     a = {tuple(r) for r in graph.cooccurrence_bfs_distances(inc_df, start, 5).collect()}
     b = {tuple(r) for r in graph.bfs_distances(ent_df, start, 5).collect()}
     assert a == b

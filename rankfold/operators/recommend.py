@@ -173,6 +173,7 @@ def als_grid_search(train: DataFrame, validation: DataFrame, ranks=(8, 12), regs
                         best, best_model = rows[-1], model
     finally:
         validation.unpersist()
+        train.unpersist()   # fitted models keep their own factor tables
     return GridResult(rows, best, best_model)
 
 

@@ -184,3 +184,15 @@ def test_latest_per_key_tie_breaks_on_larger_event(spark):
            for r in latest_per_key(df, ["user_id", "item_id"], ["rating", "ts"]).collect()}
     assert got == {(1, 1): (4.0, 12), (2, 1): (1.0, -5)}
     assert "SortAggregate" not in latest_per_key(df, ["user_id", "item_id"], ["rating"])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_similarity_text_dump_sorted(spark, tmp_path):
+    from rankfold.sources import sinks
+
+    sims = spark.createDataFrame([(1, 2, 0.5, 3), (1, 3, 0.9, 2), (2, 3, 0.9, 5)],
+                                 "item1 long, item2 long, score double, n_pairs long")
+    path = sinks.write_similarities(sims.repartition(3), str(tmp_path / "dump"), fmt="text")
+    # part files in name order hold the global sort order
+    parts = sorted(p for p in (tmp_path / "dump").iterdir() if p.name.startswith("part-"))
+    lines = [line for p in parts for line in p.read_text().splitlines()]
+    assert lines == ["(2,3)\t(0.9,5)", "(1,3)\t(0.9,2)", "(1,2)\t(0.5,3)"]

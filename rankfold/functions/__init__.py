@@ -101,6 +101,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df)
 
 
+def bounded_sort(df: DataFrame, max_rows: int, *order) -> DataFrame:
+    """Final ordering of a result bounded by construction (a top-n): its rows are moved to
+    one partition and sorted there, instead of a range exchange with its sampling job.
+    ``repartition`` (not ``coalesce``) keeps everything upstream, such as the scan of a
+    large dimension, running in parallel; only the n result rows meet in one task."""
+    if max_rows > 1_000_000:
+        return df.orderBy(*order)
+    return df.repartition(1).sortWithinPartitions(*order)
+
+
 def ordinal(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     """Attach 1-based positions of a total order without moving all rows to one task.
 

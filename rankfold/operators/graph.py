@@ -23,7 +23,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.functions import bounded_broadcast
+from rankfold.functions import bounded_broadcast, bounded_sort
 from rankfold.session import scratch_path
 
 MAX_LEVELS = 10
@@ -68,7 +68,7 @@ def top_connected(degrees: DataFrame, names: DataFrame, n: int = 10) -> DataFram
     """The n most connected nodes with names (degree, then id, descending)."""
     order = (F.col("degree").desc(), F.col("node").desc())
     top = degrees.orderBy(*order).limit(n)
-    return _named(top, names, n).select("node", "name", "degree").orderBy(*order)
+    return bounded_sort(_named(top, names, n).select("node", "name", "degree"), n, *order)
 
 
 def least_connected(degrees: DataFrame, n: int = 10) -> DataFrame:

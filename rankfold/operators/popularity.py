@@ -12,7 +12,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankfold.functions import bounded_broadcast
+from rankfold.functions import bounded_broadcast, bounded_sort
 
 
 def item_counts(ratings: DataFrame) -> DataFrame:
@@ -41,8 +41,7 @@ def _top(counts: DataFrame, n: int, *order) -> DataFrame:
 
 def _named(top: DataFrame, items: DataFrame, n: int, cols: list[str], *order) -> DataFrame:
     names = items.select("item_id", "name")
-    return (names.join(bounded_broadcast(top, n), "item_id")
-            .select(*cols).orderBy(*order))
+    return bounded_sort(names.join(bounded_broadcast(top, n), "item_id").select(*cols), n, *order)
 
 
 def top_items(ratings: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankfold.functions import bounded_broadcast, epoch_seconds, hash_percent, literal_rows
+from rankfold.functions import bounded_broadcast, bounded_sort, epoch_seconds, hash_percent, literal_rows
 from rankfold.operators.popularity import item_counts
 from rankfold.session import checkpoint_dir
 
@@ -42,8 +42,8 @@ def elicitation_sample(pool: DataFrame, items: DataFrame, fraction: float = 0.2,
     """A seeded fraction of the pool with names. The draw is a hash of (item, seed),
     so it does not depend on row order or partitioning."""
     chosen = pool.filter(hash_percent("item_id", seed) < F.lit(int(round(fraction * 100))))
-    return (items.select("item_id", "name").join(bounded_broadcast(chosen.select("item_id"), pool_size),
-                                                 "item_id").orderBy("item_id"))
+    named = items.select("item_id", "name").join(bounded_broadcast(chosen.select("item_id"), pool_size), "item_id")
+    return bounded_sort(named, pool_size, "item_id")
 
 
 def with_split(ratings: DataFrame, scheme: str = "68") -> DataFrame:

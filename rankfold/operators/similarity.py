@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankfold.functions import bounded_broadcast
+from rankfold.functions import bounded_broadcast, bounded_sort
 
 # The block-product function runs in Python workers. Pickle this module's functions by
 # value so executors need only numpy and pandas, not this package on their path.
@@ -194,8 +194,8 @@ def similar_items(ratings: DataFrame, items: DataFrame, x: int, min_score: float
     top = (similarity_to(ratings, x, decimals)
            .filter((F.col("score") > min_score) & (F.col("n_pairs") > min_pairs))
            .orderBy(*order).limit(n))
-    return (items.select("item_id", "name").join(bounded_broadcast(top, n), "item_id")
-            .select("item_id", "name", "score", "n_pairs").orderBy(*order))
+    named = items.select("item_id", "name").join(bounded_broadcast(top, n), "item_id")
+    return bounded_sort(named.select("item_id", "name", "score", "n_pairs"), n, *order)
 
 
 def similar_items_from(sims: DataFrame, items: DataFrame, x: int, min_score: float, min_pairs: int,
@@ -207,5 +207,5 @@ def similar_items_from(sims: DataFrame, items: DataFrame, x: int, min_score: flo
     top = (sims.filter(((F.col("item1") == x) | (F.col("item2") == x))
                        & (F.col("score") > min_score) & (F.col("n_pairs") > min_pairs))
            .select(other.alias("item_id"), "score", "n_pairs").orderBy(*order).limit(n))
-    return (items.select("item_id", "name").join(bounded_broadcast(top, n), "item_id")
-            .select("item_id", "name", "score", "n_pairs").orderBy(*order))
+    named = items.select("item_id", "name").join(bounded_broadcast(top, n), "item_id")
+    return bounded_sort(named.select("item_id", "name", "score", "n_pairs"), n, *order)

@@ -61,11 +61,11 @@ def q_int_avg_by_key(spark, d):
     return keyed.int_avg_by_key(tm.people_df(spark, d), "name", "num_friends", "avg_friends")
 
 
-_MIN_READ_SQL = with_ctes(["readings"], f"""
-SELECT station, CAST(h AS DOUBLE) / CAST(100 AS DOUBLE) AS min_temp,
-       printf('%s%d.%02d F', CASE WHEN h < 0 THEN '-' ELSE '' END, abs(h) // 100, abs(h) % 100) AS label
-FROM (SELECT station, CAST(round(min(value) * CAST(18 AS DOUBLE) + CAST(3200 AS DOUBLE)) AS BIGINT) AS h
-      FROM readings WHERE type = '{MIN_KIND}' GROUP BY station)""")
+_MIN_H_SQL = (f"SELECT station, CAST(round(min(value) * CAST(18 AS DOUBLE) + CAST(3200 AS DOUBLE)) AS BIGINT) AS h "
+              f"FROM readings WHERE type = '{MIN_KIND}' GROUP BY station")
+_LABEL_SQL = "printf('%s%d.%02d F', CASE WHEN h < 0 THEN '-' ELSE '' END, abs(h) // 100, abs(h) % 100)"
+_MIN_READ_SQL = with_ctes(["readings"], f"SELECT station, CAST(h AS DOUBLE) / CAST(100 AS DOUBLE) AS min_temp, "
+                          f"{_LABEL_SQL} AS label FROM h", [("h", _MIN_H_SQL)])
 
 
 @register("min_reading_by_station", _MIN_READ_SQL)
@@ -115,14 +115,14 @@ def q_people_teens_sql(spark, d):
 
 # ---------------------------------------------------------------- text
 
-def _split_sql(line: str, strip_re: str, split_expr: str) -> str:
+def _tokens_sql(line: str, strip_re: str, split_expr: str) -> str:
     stripped = f"regexp_replace({line}, '{strip_re}', '')"
     return (f"CASE WHEN {line} <> '' AND {stripped} = '' THEN []::VARCHAR[] "
             f"ELSE {split_expr.format(s=stripped)} END")
 
 
-_SPACE_TOKENS = _split_sql("line", r"(?: )+\z", "string_split({s}, ' ')")
-_WORD_TOKENS = _split_sql("line", r"\W+\z", r"regexp_split_to_array({s}, '\W+')")
+_SPACE_TOKENS = _tokens_sql("line", r"(?: )+\z", "string_split({s}, ' ')")
+_WORD_TOKENS = _tokens_sql("line", r"\W+\z", r"regexp_split_to_array({s}, '\W+')")
 _STOP_SQL = ", ".join(f"'{w}'" for w in text.STOP_WORDS)
 
 
@@ -401,18 +401,18 @@ def q_elicitation_sample(spark, d):
     return _sample(spark, d)
 
 
-def _split_sql(train: str, val: str) -> str:
+def _split_counts_sql(train: str, val: str) -> str:
     return with_ctes(["ratings_unique"], f"""
 SELECT CASE WHEN {train} THEN 'train' WHEN {val} THEN 'validation' ELSE 'test' END AS split, count(*) AS n
 FROM ratings_unique GROUP BY 1""")
 
 
-@register("split_counts_68", _split_sql(f"{_BUCKET} < 6", f"{_BUCKET} < 8"))
+@register("split_counts_68", _split_counts_sql(f"{_BUCKET} < 6", f"{_BUCKET} < 8"))
 def q_split_counts_68(spark, d):
     return recommend.split_counts(tm.ratings_unique_df(spark, d), "68")
 
 
-@register("split_counts_24", _split_sql(f"{_BUCKET} >= 4", f"{_BUCKET} >= 2"))
+@register("split_counts_24", _split_counts_sql(f"{_BUCKET} >= 4", f"{_BUCKET} >= 2"))
 def q_split_counts_24(spark, d):
     return recommend.split_counts(tm.ratings_unique_df(spark, d), "24")
 
@@ -629,10 +629,8 @@ def q_sink_similarities(spark, d):
     return spark.read.parquet(path)
 
 
-@register("formatted_min_readings", _MIN_READ_SQL.replace(
-    "SELECT station, CAST(h AS DOUBLE) / CAST(100 AS DOUBLE) AS min_temp,\n       printf('%s%d.%02d F'",
-    "SELECT printf('%s minimum temperature: %s', station, printf('%s%d.%02d F'", 1).replace(
-    "abs(h) % 100) AS label", "abs(h) % 100)) AS line", 1))
+@register("formatted_min_readings", with_ctes(["readings"],
+          f"SELECT printf('%s minimum temperature: %s', station, {_LABEL_SQL}) AS line FROM h", [("h", _MIN_H_SQL)]))
 def q_formatted_min_readings(spark, d):
     mins = keyed.min_reading_by_station(tm.readings_df(spark, d), MIN_KIND)
     lines = sinks.format_lines(mins, "%s minimum temperature: %s", "station", "label")

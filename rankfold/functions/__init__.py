@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LINE_BREAK = r"\r\n|\r|\n"
@@ -115,10 +115,10 @@ def ordinal(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame
     """Attach 1-based positions of a total order without moving all rows to one task.
 
     The rows are range-partitioned and sorted, tagged with their position inside the
-    partition, and written to the checkpoint folder so both uses below see the same
-    partitioning. Per-partition counts (one row per partition) give each partition's
-    offset; that tiny table is broadcast back.
-    """
+    partition, and checkpointed (reliable, in the shared folder) so every later use sees
+    the same partitioning. The row count of each partition (one value per partition,
+    bounded by the partition count) gives each partition's offset; the offsets enter the
+    plan as a literal array indexed by partition, so no join or window is needed."""
     from rankfold.session import checkpoint_dir
 
     checkpoint_dir(df.sparkSession)
@@ -127,11 +127,12 @@ def ordinal(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame
     tagged = sorted_rows.checkpoint(eager=True)
     sorted_rows.unpersist()
     part = F.shiftright(F.col("_rf_mid"), 33)
-    sizes = tagged.groupBy(part.alias("_rf_part")).agg(F.count(F.lit(1)).alias("_rf_n"))
-    w = Window.orderBy("_rf_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_rf_part", F.coalesce(F.sum("_rf_n").over(w), F.lit(0)).alias("_rf_off"))
-    within = F.col("_rf_mid") - F.shiftleft(F.col("_rf_part"), 33)
-    return (tagged.withColumn("_rf_part", part)
-            .join(F.broadcast(offsets), "_rf_part")
-            .withColumn(name, (F.col("_rf_off") + within + 1).cast("bigint"))
-            .drop("_rf_part", "_rf_mid", "_rf_off"))
+    sizes = {int(r[0]): int(r[1]) for r in tagged.groupBy(part).count().collect()}
+    offsets, running = [], 0
+    for p in range(max(sizes, default=-1) + 1):
+        offsets.append(running)
+        running += sizes.get(p, 0)
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (part + 1).cast("int")) if offsets else F.lit(0)
+    within = F.col("_rf_mid") - F.shiftleft(part, 33)
+    return (tagged.withColumn(name, (offset + within + 1).cast("bigint"))
+            .drop("_rf_mid"))

@@ -368,7 +368,7 @@ def _sample(spark, d):
 def _supplied(spark, d):
     """The new user's answers, derived from the data: the sampled items rated item_id % 6
     (0 = not seen) under a fresh user id."""
-    uid = recommend.next_user_id(tm.ratings_unique_df(spark, d))
+    uid = recommend.next_user_id(tm.ratings_df(spark, d))
     return _sample(spark, d).select(F.lit(uid).cast("long").alias("user_id"),
                                     F.col("item_id").cast("int").alias("item_id"),
                                     (F.col("item_id") % 6).cast("double").alias("rating"))
@@ -481,7 +481,7 @@ def q_als_improvement(spark, d):
 @register("als_recommend_unseen")
 def q_als_recommend_unseen(spark, d):
     result, train, _, _ = _grid(spark, d)
-    uid = recommend.next_user_id(tm.ratings_unique_df(spark, d))
+    uid = recommend.next_user_id(tm.ratings_df(spark, d))
     return recommend.recommend_unseen(result.model, tm.items_df(spark, d), train, uid, UNSEEN_N)
 
 

@@ -1,4 +1,8 @@
-"""CLI: compare every registered query with its oracle. Usage: python tests/run_oracle.py [sf_dir] [names...]"""
+"""CLI: compare every registered query with its oracle.
+
+Usage: python tests/run_oracle.py [--plain] [sf_dir] [names...]
+``--plain`` uses a session with Spark's defaults (200 shuffle partitions, no checkpoint
+folder set), as a foreign driver might."""
 
 from __future__ import annotations
 
@@ -16,9 +20,19 @@ from rankfold.session import get_session  # noqa: E402
 
 
 def main() -> int:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:]
-    spark = get_session("local[8]")
+    args = sys.argv[1:]
+    plain = "--plain" in args
+    args = [a for a in args if a != "--plain"]
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:]
+    if plain:
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = get_session("local[8]")
     qs, orc = entry.queries(), entry.oracle_sql()
     con = duck(sf_dir)
     bad = 0

@@ -120,6 +120,10 @@ class _Bucketed:
         salt = F.when(is_hot, F.pmod(F.xxhash64(other), F.lit(MAX_SALTS))).otherwise(F.lit(0)).cast("int")
         salted = df.withColumn("salt", salt)
         self.table = None
+        if buckets == 1:
+            # a graph this small gains nothing from bucketing: use the written table as is
+            self.df = salted
+            return
         try:
             table = f"rankfold_{name}_{uuid.uuid4().hex}"
             (salted.repartition(buckets, key, "salt").write.bucketBy(buckets, key, "salt")

@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import mix_threshold, simhash_trie
+from rankfold.llm import mix_threshold, simhash_trie, toxicity_mil
 from rankfold.llm.common import table
 
 
+def op1_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_mil.fit(docs, table(spark, sf_dir, "labels"))
+    out = toxicity_mil.toxicity(docs, model, threshold=0.7)
+    return out.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
+
+
 def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4).select(
         "doc_id", "fingerprint", "component_id")
@@ -19,6 +26,6 @@ def op10_mix_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op9_simhash_trie, op10_mix_threshold)}
+QUERIES = {f.__name__: f for f in (op1_toxicity_mil, op9_simhash_trie, op10_mix_threshold)}
 
 ORACLE: dict[str, str] = {}

@@ -49,3 +49,25 @@ def word_count(text: Column) -> Column:
     """Number of ``space_words`` as a long."""
     body = F.btrim(F.coalesce(text, F.lit("")), F.lit(WHITE_SPACE))
     return F.when(body == "", F.lit(0)).otherwise(F.size(F.split(body, WHITE_SPACE_RUN))).cast("long")
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once: a column used inside a lambda would be
+    computed again for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
+def plain_words(text: Column) -> Column:
+    """A-Z lowered, then maximal runs of letters a-z, digits and non-ASCII characters."""
+    body = F.btrim(F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "), F.lit(" "))
+    return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, " "))
+
+
+def shingle_hashes(words: Column, n: int) -> Column:
+    """xxhash64 of every run of ``n`` of the words."""
+    def runs(w):
+        first = F.sequence(F.lit(0), F.size(w) - n)
+        return F.when(F.size(w) >= n, F.transform(first, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(n)]))
+                      ).otherwise(F.array().cast("array<bigint>"))
+
+    return let(words, runs)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import mix_threshold, simhash_trie, toxicity_mil
+from rankfold.llm import decontaminate, mix_threshold, simhash_trie, toxicity_mil
 from rankfold.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op1_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                         threshold=0.8, shingle=5).drop("text_hash")
+
+
 def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4).select(
         "doc_id", "fingerprint", "component_id")
@@ -26,6 +31,6 @@ def op10_mix_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity_mil, op9_simhash_trie, op10_mix_threshold)}
+QUERIES = {f.__name__: f for f in (op1_toxicity_mil, op5_decontaminate, op9_simhash_trie, op10_mix_threshold)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_decontaminate": decontaminate.ORACLE_SQL}

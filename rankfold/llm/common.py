@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import string
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,12 @@ WHITE_SPACE = " \t\n\x0b\x0c\r"
 WHITE_SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 
+def ship_by_value(module: str) -> None:
+    """Pickle the module's functions with the tasks, so that workers need only the public
+    libraries the module uses and not this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

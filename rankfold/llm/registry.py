@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import decontaminate, mix_threshold, simhash_trie, toxicity_mil
+from rankfold.llm import decontaminate, mix_threshold, simhash_trie, token_pfor, toxicity_mil
 from rankfold.llm.common import table
 
 
@@ -21,6 +21,16 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          threshold=0.8, shingle=5).drop("text_hash")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_token_pfor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_pfor.token_digest(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
+
+
 def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4).select(
         "doc_id", "fingerprint", "component_id")
@@ -31,6 +41,6 @@ def op10_mix_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity_mil, op5_decontaminate, op9_simhash_trie, op10_mix_threshold)}
+QUERIES = {f.__name__: f for f in (op1_toxicity_mil, op5_decontaminate, op6_token_pfor, op9_simhash_trie, op10_mix_threshold)}
 
 ORACLE: dict[str, str] = {"op5_decontaminate": decontaminate.ORACLE_SQL}

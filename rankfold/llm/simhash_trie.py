@@ -36,9 +36,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankfold.llm.common import written
+from rankfold.llm.common import ship_by_value, written
 from rankfold.llm.components import connected_components
 
+ship_by_value(__name__)
+
 SEED = 42
 THIRDS = (0, 22, 43)  # first bit of each third
 LEADING = 21  # bits of the shortest third

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,6 +29,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankfold.llm.common import ship_by_value
+
+ship_by_value(__name__)
+
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"\w+")
 RUN = 40  # words; a longer sentence counts as several
@@ -91,7 +96,7 @@ def _marks_toxic(col: np.ndarray, bag: np.ndarray, y: np.ndarray, n: int) -> np.
 def train(texts: list[str], toxic: list[int], steps: int = 300, rate: float = 0.2, decay: float = 1e-5) -> Model:
     """Adam on the noisy-or likelihood of document labels (both labels weigh the same)."""
     known: dict[str, list[int]] = {}
-    ids, sentence_of, bag_of, seen, y = [], [], [], set(), []
+    ids, sentence_of, bag_of, seen, y = array("i"), array("i"), [], set(), []
     n = 0
     for text, label in zip(texts, toxic):
         sketch = _sketch(text)

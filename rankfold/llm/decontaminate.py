@@ -29,6 +29,7 @@ THRESHOLD = 0.8
 EXTRA = 2  # sketch hashes beyond those that may be missing; so many must be found
 BROADCAST_SKETCH = 2_000_000
 BROADCAST_PAIRS = 200_000
+BROADCAST_ITEMS = 10_000
 
 
 def _at_least(n, threshold: float):
@@ -87,10 +88,10 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESH
     few = pairs.count()
     names = pairs.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "item_id")
     full = sketch.select(F.col("item_id").alias("_i"), F.col("words").alias("item_words"), "len")
-    asked = names.join(full, F.col("item_id").eqNullSafe(F.col("_i"))).drop("_i")
     texts = docs.withColumn("text_hash", F.xxhash64("text"))
-    both = texts.join(broadcast_if_small(asked, few, BROADCAST_PAIRS),
+    both = texts.join(broadcast_if_small(names, few, BROADCAST_PAIRS),
                       (F.col("text_hash") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_d")))
+    both = both.join(broadcast_if_small(full, sketch.count(), BROADCAST_ITEMS), F.col("item_id").eqNullSafe(F.col("_i")))
 
     def shingles(words, n):
         first = F.sequence(F.lit(1), F.size(words) - n + 1)

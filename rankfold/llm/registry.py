@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import decontaminate, mix_threshold, quality_jsd, simhash_trie, token_pfor, toxicity_mil
+from rankfold.llm import decontaminate, license_rules, mix_threshold, quality_jsd, simhash_trie, token_pfor, toxicity_mil
 from rankfold.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op2_quality_jsd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_jsd.quality(table(spark, sf_dir, "documents"))
 
 
+def op4_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.licenses(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
                                          threshold=0.8, shingle=5).drop("text_hash")
@@ -45,6 +49,6 @@ def op10_mix_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity_mil, op2_quality_jsd, op5_decontaminate, op6_token_pfor, op9_simhash_trie, op10_mix_threshold)}
+QUERIES = {f.__name__: f for f in (op1_toxicity_mil, op2_quality_jsd, op4_license_rules, op5_decontaminate, op6_token_pfor, op9_simhash_trie, op10_mix_threshold)}
 
 ORACLE: dict[str, str] = {"op5_decontaminate": decontaminate.ORACLE_SQL}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import decontaminate, license_rules, mix_threshold, quality_jsd, simhash_trie, token_pfor, toxicity_mil
+from rankfold.llm import decontaminate, license_rules, mix_threshold, quality_jsd, simhash_trie, token_pfor, toxicity_mil, url_redirects
 from rankfold.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op6_token_pfor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_pfor.token_digest(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
 
 
+def op8_url_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_redirects.url_filter(table(spark, sf_dir, "pages"), url_redirects.rules_from(spark, url_redirects.RULES))
+
+
 def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4).select(
         "doc_id", "fingerprint", "component_id")
@@ -49,6 +53,6 @@ def op10_mix_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity_mil, op2_quality_jsd, op4_license_rules, op5_decontaminate, op6_token_pfor, op9_simhash_trie, op10_mix_threshold)}
+QUERIES = {f.__name__: f for f in (op1_toxicity_mil, op2_quality_jsd, op4_license_rules, op5_decontaminate, op6_token_pfor, op8_url_redirects, op9_simhash_trie, op10_mix_threshold)}
 
-ORACLE: dict[str, str] = {"op5_decontaminate": decontaminate.ORACLE_SQL}
+ORACLE: dict[str, str] = {"op5_decontaminate": decontaminate.ORACLE_SQL, "op8_url_redirects": url_redirects.ORACLE_SQL}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import decontaminate, license_rules, mix_threshold, quality_jsd, simhash_trie, token_pfor, toxicity_mil, url_redirects
+from rankfold.llm import decontaminate, html_wrapper, license_rules, mix_threshold, quality_jsd, simhash_trie, token_pfor, toxicity_mil, url_redirects
 from rankfold.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op2_quality_jsd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_jsd.quality(table(spark, sf_dir, "documents"))
 
 
+def op3_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.page_text(table(spark, sf_dir, "pages"))
+
+
 def op4_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.licenses(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,6 @@ def op10_mix_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity_mil, op2_quality_jsd, op4_license_rules, op5_decontaminate, op6_token_pfor, op8_url_redirects, op9_simhash_trie, op10_mix_threshold)}
+QUERIES = {f.__name__: f for f in (op1_toxicity_mil, op2_quality_jsd, op3_html_wrapper, op4_license_rules, op5_decontaminate, op6_token_pfor, op8_url_redirects, op9_simhash_trie, op10_mix_threshold)}
 
 ORACLE: dict[str, str] = {"op5_decontaminate": decontaminate.ORACLE_SQL, "op8_url_redirects": url_redirects.ORACLE_SQL}

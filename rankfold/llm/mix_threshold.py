@@ -131,3 +131,27 @@ def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeat
     times = (F.col("_mx_copies") + (F.col("_mx_h") < F.col("_mx_below")).cast("long")).cast("int")
     return (rows.withColumn("_mx_times", times).filter("_mx_times > 0")
             .withColumn("_mx_copy", F.explode(F.sequence(F.lit(1), F.col("_mx_times")))).select(*docs.columns))
+
+
+# The registered query: weights 1, 2, 3, at most three times each source, seed 0.
+ORACLE_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':0:' || coalesce(text, '')), 1, 15))::BIGINT AS h FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source),
+c AS (SELECT *, 3 * source_size AS most,
+  coalesce(sum(3 * source_size) OVER w, 0) AS full_size, sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS open_weight,
+  sum(source_size) OVER () AS total FROM s
+  WINDOW w AS (ORDER BY 3 * source_size / weight, weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+share AS (SELECT min_by((total - full_size)::DOUBLE / open_weight::DOUBLE, full_size) AS share
+  FROM c WHERE weight * ((total - full_size)::DOUBLE / open_weight::DOUBLE) <= most),
+t AS (SELECT source, source_size, least(most::DOUBLE, weight * share) AS target FROM c, share),
+r AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS copies FROM t),
+g AS (SELECT source, h, sum(size)::BIGINT AS words FROM d GROUP BY ALL),
+u AS (SELECT g.*, r.target - r.copies * r.source_size AS rest, sum(words) OVER (PARTITION BY g.source ORDER BY h) AS upto
+  FROM g JOIN r ON g.source IS NOT DISTINCT FROM r.source),
+b AS (SELECT source, min_by(CASE WHEN upto - rest < rest - (upto - words) THEN h + 1 ELSE h END, h) AS below FROM u WHERE upto > rest GROUP BY source)
+SELECT doc_id, size, r.source_size, r.target,
+  size * (r.copies + (r.target - r.copies * r.source_size > 0 AND h < coalesce(b.below, 1152921504606846976))::BIGINT) AS taken
+FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source LEFT JOIN b ON d.source IS NOT DISTINCT FROM b.source
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import decontaminate, html_wrapper, license_rules, mix_threshold, quality_jsd, simhash_trie, token_pfor, toxicity_mil, url_redirects
+from rankfold.llm import chat_rotation, decontaminate, html_wrapper, license_rules, mix_threshold, quality_jsd, simhash_trie, token_pfor, toxicity_mil, url_redirects
 from rankfold.llm.common import table
 
 
@@ -47,6 +47,11 @@ def op8_url_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_redirects.url_filter(table(spark, sf_dir, "pages"), url_redirects.rules_from(spark, url_redirects.RULES))
 
 
+def op7_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat_rotation.rotate(table(spark, sf_dir, "conversations"))
+    return out.withColumn("mask", chat_rotation.mask_text("spans")).drop("spans")
+
+
 def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4).select(
         "doc_id", "fingerprint", "component_id")
@@ -57,6 +62,15 @@ def op10_mix_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity_mil, op2_quality_jsd, op3_html_wrapper, op4_license_rules, op5_decontaminate, op6_token_pfor, op8_url_redirects, op9_simhash_trie, op10_mix_threshold)}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity_mil, op2_quality_jsd, op3_html_wrapper, op4_license_rules, op5_decontaminate,
+    op6_token_pfor, op7_chat_rotation, op8_url_redirects, op9_simhash_trie, op10_mix_threshold)}
 
-ORACLE: dict[str, str] = {"op5_decontaminate": decontaminate.ORACLE_SQL, "op8_url_redirects": url_redirects.ORACLE_SQL}
+# The others hold trained models, XXH64 or hundreds of patterns that SQL on plain
+# tables cannot express; tests/llm compares them with brute-force versions.
+ORACLE: dict[str, str] = {
+    "op5_decontaminate": decontaminate.ORACLE_SQL,
+    "op7_chat_rotation": chat_rotation.ORACLE_SQL,
+    "op8_url_redirects": url_redirects.ORACLE_SQL,
+    "op10_mix_threshold": mix_threshold.ORACLE_SQL,
+}

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LINE_BREAK = r"\r\n|\r|\n"
 
@@ -15,13 +17,14 @@ def java_split(col: Column | str, pattern: str) -> Column:
 
     Leading empty tokens are kept, trailing ones dropped; an empty string gives ``[""]``
     and a string made only of delimiters gives ``[]``. Spark's ``split`` keeps trailing
-    empties, so the trailing delimiter run is stripped first.
-    """
+    empties; they are cut from the array, so a run of delimiters costs linear time."""
     c = F.col(col) if isinstance(col, str) else col
-    # possessive run + absolute end: linear time, and "$" would also match before a final newline
-    stripped = F.regexp_replace(c, f"(?:{pattern})++\\z", "")
-    return (F.when((c != F.lit("")) & (stripped == F.lit("")), F.array().cast("array<string>"))
-            .otherwise(F.split(stripped, pattern)))
+    if pattern == " ":  # the trailing run is cut before it becomes tokens
+        body = F.rtrim(c)
+        return F.when((c != "") & (body == ""), F.array().cast("array<string>")).otherwise(F.split(body, pattern))
+    parts = F.split(c, pattern)
+    filled = F.array_max(F.transform(parts, lambda x, i: F.when(x != "", i + 1).otherwise(0)))
+    return F.when((c == "") | (F.element_at(parts, -1) != ""), parts).otherwise(F.slice(parts, 1, filled))
 
 
 def text_lines(col: Column | str) -> Column:
@@ -31,40 +34,51 @@ def text_lines(col: Column | str) -> Column:
     return F.when(c == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK))
 
 
-def epoch_seconds(ts: Column | str) -> Column:
-    """Whole seconds since 1970-01-01 for a TIMESTAMP_NTZ or epoch-long column."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("SECOND", epoch, c)
+EPOCH = "1970-01-01 00:00:00"
 
 
-def latest_first_key(ts: str = "ts", tiebreak: str = "event_id") -> Column:
-    """One exact DECIMAL(38,0) ordering key for (ts, tiebreak): microseconds * 2^64 +
-    (tiebreak + 2^63). Unlike a struct, a decimal maximum runs in a hash aggregate."""
+def epoch_seconds(df: DataFrame, ts: str = "ts") -> Column:
+    """Whole seconds since 1970-01-01 of ``df``'s column ``ts``: a timestamp, or an integer
+    that holds epoch seconds already (as the ratings readers give)."""
+    if isinstance(df.schema[ts].dataType, T.IntegralType):
+        return F.col(ts).cast("bigint")
+    return F.timestamp_diff("SECOND", F.lit(EPOCH).cast("timestamp_ntz"), F.col(ts))
+
+
+def latest_first_key(df: DataFrame, ts: str = "ts", tiebreak: str | None = "event_id") -> Column:
+    """One exact DECIMAL(38,0) ordering key for (ts, tiebreak): time * 2^64 +
+    (tiebreak + 2^63). Unlike a struct, a decimal maximum runs in a hash aggregate. Time is
+    in microseconds for a timestamp and as it stands for an integer."""
     d = "decimal(38,0)"
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    micros = F.timestamp_diff("MICROSECOND", epoch, F.col(ts))
-    return (micros.cast(d) * F.lit(Decimal(2 ** 64)).cast(d)
-            + (F.col(tiebreak).cast(d) + F.lit(Decimal(2 ** 63)).cast(d)))
+    time = (F.col(ts) if isinstance(df.schema[ts].dataType, T.IntegralType)
+            else F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast("timestamp_ntz"), F.col(ts)))
+    last = F.col(tiebreak).cast(d) if tiebreak else F.lit(0).cast(d)
+    return time.cast(d) * F.lit(Decimal(2 ** 64)).cast(d) + (last + F.lit(Decimal(2 ** 63)).cast(d))
 
 
 def latest_per_key(df: DataFrame, keys: list[str], values: list[str], ts: str = "ts",
-                   tiebreak: str = "event_id") -> DataFrame:
-    """The row with the latest ``ts`` per key (ties: largest ``tiebreak``), as a partial
-    (map-side) hash aggregate: a hot key is combined before the shuffle instead of being
-    sorted inside one task as a window would do."""
-    key = latest_first_key(ts, tiebreak)
-    aggs = [F.max_by(v, key).alias(v) for v in values if v != ts] + [F.max_by(ts, key).alias(ts)]
+                   tiebreak: str | None = "event_id") -> DataFrame:
+    """The row with the latest ``ts`` per key (ties: largest ``tiebreak``; without that
+    column the largest values), as a partial (map-side) hash aggregate: a hot key is
+    combined before the shuffle instead of being sorted inside one task as a window would do."""
+    others = [v for v in values if v != ts]
+    if tiebreak is None or tiebreak not in df.columns:
+        # tied rows: the largest values together, so they stay one row
+        best = F.max(F.struct(F.col(ts), *others)).alias("_rf_best")
+        return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_rf_best.{v}").alias(v) for v in [*others, ts]])
+    key = latest_first_key(df, ts, tiebreak)
+    aggs = [F.max_by(v, key).alias(v) for v in others] + [F.max_by(ts, key).alias(ts)]
     latest = df.groupBy(*keys).agg(*aggs, F.max(key).alias("_rf_key"))
     tb = (F.pmod(F.col("_rf_key"), F.lit(Decimal(2 ** 64))) - F.lit(Decimal(2 ** 63))).cast("long")
     return latest.withColumn(tiebreak, tb).drop("_rf_key")
 
 
-def hash_percent(key: Column | str, seed: int) -> Column:
-    """Deterministic value in [0, 100) from md5 of ``key:seed``; order and partition independent."""
+def hash_below(key: Column | str, seed: int, fraction: float) -> Column:
+    """True for about ``fraction`` of the keys: the first 32 bits of md5 of ``key:seed``
+    against ``fraction * 2^32``; independent of order and partitions."""
     c = F.col(key) if isinstance(key, str) else key
     digest = F.md5(F.concat_ws(":", c.cast("string"), F.lit(str(seed))))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") < F.lit(int(round(fraction * 2 ** 32)))
 
 
 def literal_rows(spark, columns: list[tuple[str, str]], rows: list[tuple]) -> DataFrame:
@@ -80,18 +94,20 @@ def literal_rows(spark, columns: list[tuple[str, str]], rows: list[tuple]) -> Da
     return out
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin rows over the cluster when the input has fewer partitions than cores.
+BYTES_PER_SPLIT = 4 << 20  # Spark cuts scans no finer (spark.sql.files.openCostInBytes)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal a scan over the cluster if its files are too small to give every core a split.
 
     CPU-heavy per-row work (regex tokenizing) otherwise runs in as many tasks as the scan
-    has splits. A large input already has many splits; then this is a no-op and adds no
-    shuffle."""
-    if df.isStreaming:
-        return df
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots)
+    has splits. Call it on the scan itself: the decision uses the optimizer's size of the
+    files, so no job runs, and a large input is not shuffled."""
+    if scan.isStreaming:
+        return scan
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    size = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return scan.repartition(slots) if size < slots * BYTES_PER_SPLIT * 8 else scan
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
@@ -132,7 +148,9 @@ def ordinal(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame
     for p in range(max(sizes, default=-1) + 1):
         offsets.append(running)
         running += sizes.get(p, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (part + 1).cast("int")) if offsets else F.lit(0)
+    # one literal whatever the number of partitions
+    known = F.from_json(F.lit(json.dumps(offsets)), "array<bigint>")
+    offset = F.element_at(known, (part + 1).cast("int")) if offsets else F.lit(0)
     within = F.col("_rf_mid") - F.shiftleft(part, 33)
     return (tagged.withColumn(name, (offset + within + 1).cast("bigint"))
             .drop("_rf_mid"))

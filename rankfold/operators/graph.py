@@ -13,22 +13,23 @@ Two graph forms are supported:
 BFS is an iterative frontier expansion. Frontier and visited sets carry ids only. The
 graph and each level's new nodes are written as tables under ``spark.checkpoint.dir``
 (a shared folder), which cuts lineage and means a lost executor costs at most the
-current level. One count per level decides the hit, one small probe the stop.
+current level. One small probe a level decides the hit, one the stop; a search runs until
+its frontier is empty unless the caller names a largest level.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.functions import bounded_broadcast, bounded_sort
+from rankfold.functions import bounded_sort
+from rankfold.operators.popularity import with_names
 from rankfold.session import scratch_path
 
-MAX_LEVELS = 10
-
-
 # ------------------------------------------------------------------ connectivity
 
 def adjacency_degree(adjacency: DataFrame) -> DataFrame:
@@ -53,9 +54,8 @@ def cooccurrence_degree(incidence: DataFrame) -> DataFrame:
 
 
 def _named(top: DataFrame, names: DataFrame, n: int) -> DataFrame:
-    # ``lookup(key)(0)``: one name per node; the smallest name if a key repeats.
-    joined = names.join(bounded_broadcast(top, n), "node")
-    return joined.groupBy("node", "degree").agg(F.min("name").alias("name"))
+    # ``lookup(key)(0)``: one name per node, null for a node without one
+    return with_names(top, names, n, "node")
 
 
 def most_connected(degrees: DataFrame, names: DataFrame) -> DataFrame:
@@ -84,10 +84,9 @@ def _materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-MAX_SALTS = 64  # buckets one hot key is spread over
 ROWS_PER_BUCKET = 4_000_000
 
 
@@ -96,70 +95,61 @@ class _Bucketed:
 
     Every BFS level joins the graph with the frontier (on the node) or with the touched
     groups (on the group). Bucketing lets those sort-merge joins shuffle only the small
-    side; without it each level would shuffle the whole graph twice. AQE cannot split a
-    skewed bucket, so keys holding more than twice a bucket's share of the rows (at most
-    buckets / 2 of them, measured once) are salted: their rows are spread over MAX_SALTS
-    buckets by a hash of the other column, and only those keys are repeated MAX_SALTS
-    times on the small side. Other keys keep salt 0. Falls back to a plain written table
-    where the catalog cannot create tables."""
-
-    def __init__(self, df: DataFrame, key: str, other: str, name: str):
+    side; without it each level would shuffle the whole graph twice. There is a bucket for
+    every ``rows_per_bucket`` rows, and for a small graph one for every core. AQE cannot split a skewed bucket, so a key with more rows
+    than that (measured once) gets as many salts as its rows fill buckets: its rows are
+    spread by a hash of the other column, and only such keys are repeated on the small side.
+    Other keys have salt 0."""
+
+    def __init__(self, df: DataFrame, key: str, other: str, name: str, rows_per_bucket: int):
         spark = df.sparkSession
         self.key = key
         counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
-        total, top = counts.agg(F.sum("c"), F.max("c")).first()
-        # about ROWS_PER_BUCKET rows per bucket, at most the shuffle width (a bucketed
-        # scan is never coalesced by AQE, so small graphs get few buckets)
-        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        buckets = max(1, min(width, -(-(total or 0) // ROWS_PER_BUCKET)))
-        self.hot = []
-        if top is not None and top * buckets > 2 * total:
-            hot_keys = counts.filter(F.col("c") * buckets > 2 * total).select(key)
-            self.hot = [r[0] for r in hot_keys.collect()]   # at most buckets / 2 keys
-        is_hot = F.col(key).isin(self.hot) if self.hot else F.lit(False)
-        salt = F.when(is_hot, F.pmod(F.xxhash64(other), F.lit(MAX_SALTS))).otherwise(F.lit(0)).cast("int")
-        salted = df.withColumn("salt", salt)
-        self.table = None
-        if buckets == 1:
-            # a graph this small gains nothing from bucketing: use the written table as is
-            self.df = salted
-            return
-        try:
-            table = f"rankfold_{name}_{uuid.uuid4().hex}"
-            (salted.repartition(buckets, key, "salt").write.bucketBy(buckets, key, "salt")
-             .sortBy(key, "salt").option("path", scratch_path(spark, name)).saveAsTable(table))
-            self.table = table
-            self.df = spark.table(table)
-        except Exception:  # noqa: BLE001 - any catalog refusal: keep going without bucketing
-            self.df = _materialize(salted, name)
+        total = df.count()
+        cores = spark.sparkContext.defaultParallelism
+        buckets = max(1, -(-total // rows_per_bucket), min(cores, -(-total // 50_000)))
+        # fewer than ``buckets`` keys can hold a bucket's rows; a table, as that grows with the graph
+        salts = F.ceil(F.col("c") / rows_per_bucket).cast("int").alias("salts")
+        self.hot = _materialize(counts.filter(F.col("c") > rows_per_bucket).select(key, salts), f"{name}-hot")
+        self.has_hot = not self.hot.isEmpty()
+        salted = self._with_salts(df)
+        salted = salted.withColumn("salt", F.pmod(F.xxhash64(other), F.col("salts")).cast("int")).drop("salts")
+        table = f"rankfold_{name}_{uuid.uuid4().hex}"
+        (salted.repartition(buckets, key, "salt").write.bucketBy(buckets, key, "salt")
+         .sortBy(key, "salt").option("path", scratch_path(spark, name)).saveAsTable(table))
+        self.table = table
+        self.df = spark.table(table)
+
+    def _with_salts(self, df: DataFrame) -> DataFrame:
+        if not self.has_hot:
+            return df.withColumn("salts", F.lit(1))
+        return df.join(self.hot, self.key, "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
 
     def semi(self, keys: DataFrame) -> DataFrame:
         """Rows of the graph whose key is in ``keys`` (one column named like the key)."""
-        if self.hot:
-            salts = F.when(F.col(self.key).isin(self.hot), F.sequence(F.lit(0), F.lit(MAX_SALTS - 1)))
-            salted = keys.select(self.key).withColumn("salt", F.explode(salts.otherwise(F.array(F.lit(0)))))
-        else:
-            salted = keys.select(self.key).withColumn("salt", F.lit(0))
+        salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)) if self.has_hot else F.lit(0)
+        salted = self._with_salts(keys.select(self.key)).withColumn("salt", salt).drop("salts")
         return self.df.join(salted, [self.key, "salt"], "left_semi").drop("salt")
 
     def drop(self) -> None:
-        if self.table:
-            self.df.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
+        self.df.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
 class _Edges:
     """Directed entries (node -> neighbour); duplicates are separate entries."""
 
-    def __init__(self, entries: DataFrame):
+    symmetric = False
+
+    def __init__(self, entries: DataFrame, rows_per_bucket: int):
         e = _materialize(entries.select(F.col("node").cast("long").alias("src"),
                                         F.col("neighbour").cast("long").alias("dst")), "bfs-edges")
-        self.by_src = _Bucketed(e, "src", "dst", "bfs_edges")
+        self.by_src = _Bucketed(e, "src", "dst", "bfs_edges", rows_per_bucket)
 
     def hits(self, frontier: DataFrame, target: int) -> int:
         out = self.by_src.semi(frontier.select(F.col("node").alias("src")))
         return out.filter(F.col("dst") == target).count()
 
-    def expand(self, frontier: DataFrame, previous: DataFrame | None) -> DataFrame:
+    def expand(self, frontier: DataFrame) -> DataFrame:
         out = self.by_src.semi(frontier.select(F.col("node").alias("src")))
         return out.select(F.col("dst").alias("node")).distinct()
 
@@ -174,11 +164,13 @@ class _Incidence:
     anti join, so the extra work is bounded by one more pass over the touched groups,
     cheaper than another scan of the incidence to filter them."""
 
-    def __init__(self, incidence: DataFrame):
+    symmetric = True
+
+    def __init__(self, incidence: DataFrame, rows_per_bucket: int):
         m = _materialize(incidence.select(F.col("node").cast("long").alias("node"),
                                           F.col("grp").cast("long").alias("grp")), "bfs-incidence")
-        self.by_node = _Bucketed(m, "node", "grp", "bfs_by_node")
-        self.by_grp = _Bucketed(m, "grp", "node", "bfs_by_grp")
+        self.by_node = _Bucketed(m, "node", "grp", "bfs_by_node", rows_per_bucket)
+        self.by_grp = _Bucketed(m, "grp", "node", "bfs_by_grp", rows_per_bucket)
 
     def hits(self, frontier: DataFrame, target: int) -> int:
         # entries p -> target: one per group shared by frontier node p and the target
@@ -186,7 +178,7 @@ class _Incidence:
         from_frontier = self.by_node.semi(frontier).filter(F.col("node") != target)
         return from_frontier.join(target_groups, "grp", "left_semi").count()
 
-    def expand(self, frontier: DataFrame, previous: DataFrame | None) -> DataFrame:
+    def expand(self, frontier: DataFrame) -> DataFrame:
         # a semi join ignores duplicate keys on its right side: no distinct needed there
         groups = self.by_node.semi(frontier).select("grp")
         return self.by_grp.semi(groups).select("node").distinct()
@@ -201,7 +193,7 @@ def _start(spark: SparkSession, start: int) -> DataFrame:
     return spark.range(1).select(F.lit(int(start)).cast("long").alias("node"), F.lit(0).alias("dist"))
 
 
-def _search(graph, spark: SparkSession, start: int, target: int | None, max_levels: int):
+def _search(graph, spark: SparkSession, start: int, target: int | None, max_levels: int | None):
     """Run BFS levels; returns (visited DataFrame, (degree, hits) or None). Each level's
     new nodes are written as a table; ``visited`` is the union of those tables.
 
@@ -216,16 +208,18 @@ def _search(graph, spark: SparkSession, start: int, target: int | None, max_leve
         graph.close()
 
 
-def _levels(graph, spark: SparkSession, start: int, target: int | None, max_levels: int):
-    frontier, previous = _start(spark, start), None
-    visited = frontier
+def _levels(graph, spark: SparkSession, start: int, target: int | None, max_levels: int | None):
+    frontier = _start(spark, start)
+    levels, visited = [frontier], frontier
     probe_each_level = target is not None and target == start
-    for level in range(1, max_levels + 1):
+    for level in (count(1) if max_levels is None else range(1, max_levels + 1)):
         if probe_each_level:
             hits = graph.hits(frontier, target)
             if hits > 0:
                 return visited, (level, hits)
-        new = (graph.expand(frontier, previous).join(visited.select("node"), "node", "left_anti")
+        # neighbours are at most one level apart in a symmetric graph: two levels suffice
+        seen = visited if not graph.symmetric else reduce(DataFrame.unionByName, levels[-2:])
+        new = (graph.expand(frontier).join(seen.select("node"), "node", "left_anti")
                .withColumn("dist", F.lit(level)))
         new = _materialize(new, f"bfs-level{level}")
         # probes on the written level (no shuffle): does it hold the target, is it empty
@@ -233,8 +227,8 @@ def _levels(graph, spark: SparkSession, start: int, target: int | None, max_leve
             return visited, (level, graph.hits(frontier, target))
         if not new.head(1):
             break
-        visited = visited.unionByName(new)
-        frontier, previous = new, frontier
+        levels.append(new)
+        visited, frontier = visited.unionByName(new), new
     return visited, None
 
 
@@ -245,30 +239,32 @@ def _result(spark: SparkSession, found) -> DataFrame:
     return row if found else row.limit(0)
 
 
-def degrees_of_separation(entries: DataFrame, start: int, target: int,
-                          max_levels: int = MAX_LEVELS) -> DataFrame:
+def degrees_of_separation(entries: DataFrame, start: int, target: int, max_levels: int | None = None,
+                          rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """P25 over adjacency entries: (degree, hits) where degree is the BFS level at which
     a frontier node first lists the target and hits the number of such entries; no row
-    when the target is not reached within ``max_levels``."""
+    when the target cannot be reached (within ``max_levels``, if given)."""
     spark = entries.sparkSession
-    _, found = _search(_Edges(entries), spark, start, target, max_levels)
+    _, found = _search(_Edges(entries, rows_per_bucket), spark, start, target, max_levels)
     return _result(spark, found)
 
 
-def cooccurrence_degrees_of_separation(incidence: DataFrame, start: int, target: int,
-                                       max_levels: int = MAX_LEVELS) -> DataFrame:
+def cooccurrence_degrees_of_separation(incidence: DataFrame, start: int, target: int, max_levels: int | None = None,
+                                       rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """P25 over a co-occurrence incidence (same semantics as the entry form)."""
     spark = incidence.sparkSession
-    _, found = _search(_Incidence(incidence), spark, start, target, max_levels)
+    _, found = _search(_Incidence(incidence, rows_per_bucket), spark, start, target, max_levels)
     return _result(spark, found)
 
 
-def bfs_distances(entries: DataFrame, start: int, max_levels: int = MAX_LEVELS) -> DataFrame:
-    """(node, dist) of every node reached within ``max_levels``."""
-    visited, _ = _search(_Edges(entries), entries.sparkSession, start, None, max_levels)
+def bfs_distances(entries: DataFrame, start: int, max_levels: int | None = None,
+                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """(node, dist) of every node that can be reached (within ``max_levels``, if given)."""
+    visited, _ = _search(_Edges(entries, rows_per_bucket), entries.sparkSession, start, None, max_levels)
     return visited
 
 
-def cooccurrence_bfs_distances(incidence: DataFrame, start: int, max_levels: int = MAX_LEVELS) -> DataFrame:
-    visited, _ = _search(_Incidence(incidence), incidence.sparkSession, start, None, max_levels)
+def cooccurrence_bfs_distances(incidence: DataFrame, start: int, max_levels: int | None = None,
+                               rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    visited, _ = _search(_Incidence(incidence, rows_per_bucket), incidence.sparkSession, start, None, max_levels)
     return visited

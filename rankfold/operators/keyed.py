@@ -53,6 +53,8 @@ def max_reading_by_station(readings: DataFrame, kind: str = "TMAX") -> DataFrame
 
 
 def spend_by_customer(spend: DataFrame, decimals: int = 2) -> DataFrame:
-    """Total amount per customer, ascending by total."""
-    return (spend.groupBy("customer").agg(F.round(F.sum("amount"), decimals).alias("total"))
+    """Total amount per customer, ascending by total. Amounts are summed as decimals,
+    so the cents do not depend on the order of the rows."""
+    exact = F.sum(F.col("amount").cast(f"decimal(28,{decimals + 4})"))
+    return (spend.groupBy("customer").agg(F.round(exact, decimals).cast("double").alias("total"))
             .orderBy("total", "customer"))

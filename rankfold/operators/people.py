@@ -1,4 +1,4 @@
-"""People queries with the DataFrame API and SQL over a temp view."""
+"""People queries with the DataFrame API and SQL."""
 
 from __future__ import annotations
 
@@ -26,8 +26,8 @@ def age_plus(people: DataFrame, years: int = 10) -> DataFrame:
     return people.select("name", (F.col("age") + years).alias(f"age_plus_{years}"))
 
 
-def teens_sql(people: DataFrame, view: str = "people", low: int = 13, high: int = 19) -> DataFrame:
-    """The same filter written in SQL over a temp view."""
-    people.createOrReplaceTempView(view)
-    return people.sparkSession.sql(
-        f"SELECT * FROM {view} WHERE age >= {int(low)} AND age <= {int(high)}")
+def teens_sql(people: DataFrame, low: int = 13, high: int = 19) -> DataFrame:
+    """The same filter written in SQL. The table is passed to the statement by name, so
+    no view of the caller is replaced."""
+    return people.sparkSession.sql("SELECT * FROM {people} WHERE age >= {low} AND age <= {high}",
+                                   people=people, low=int(low), high=int(high))

@@ -2,7 +2,9 @@
 
 Aggregation always happens before any name lookup, so the join sees one row per item
 (or only the N rows of a top-k) instead of one row per rating. Ties are broken by the
-item id everywhere so results are deterministic.
+item id everywhere so results are deterministic. Names come from a dictionary that may miss
+keys or repeat them: a missing name is null, of repeated ones the smallest is taken, so a
+top-n has n rows; ``unmatched_items`` counts the misses.
 """
 
 from __future__ import annotations
@@ -28,8 +30,7 @@ def item_popularity_named(ratings: DataFrame, items: DataFrame) -> DataFrame:
     """P10: P09 with the item name. Both sides have one row per item after the
     aggregate; Spark broadcasts the name table only when its measured size is below the
     broadcast threshold (static statistics or AQE runtime statistics)."""
-    names = items.select("item_id", "name")
-    return (item_counts(ratings).join(names, "item_id")
+    return (item_counts(ratings).join(unique_names(items), "item_id", "left")
             .select("item_id", "name", "n_ratings").orderBy("n_ratings", "item_id"))
 
 
@@ -39,9 +40,26 @@ def _top(counts: DataFrame, n: int, *order) -> DataFrame:
     return counts.orderBy(*order).limit(n)
 
 
+def unique_names(items: DataFrame, key: str = "item_id") -> DataFrame:
+    """One name per key."""
+    return items.groupBy(key).agg(F.min("name").alias("name"))
+
+
+def with_names(top: DataFrame, items: DataFrame, n: int, key: str = "item_id") -> DataFrame:
+    """Add ``name`` to a result of at most ``n`` rows. The dictionary is cut to their keys
+    first, so its de-duplication handles a few rows."""
+    few = items.select(key, "name").join(bounded_broadcast(top.select(key), n), key, "left_semi")
+    return top.join(bounded_broadcast(unique_names(few, key), n), key, "left")
+
+
+def unmatched_items(ratings: DataFrame, items: DataFrame) -> DataFrame:
+    """One row: rated items that the dictionary does not hold, and their ratings."""
+    missing = item_counts(ratings).join(items.select("item_id"), "item_id", "left_anti")
+    return missing.agg(F.count(F.lit(1)).alias("n_items"), F.coalesce(F.sum("n_ratings"), F.lit(0)).alias("n_ratings"))
+
+
 def _named(top: DataFrame, items: DataFrame, n: int, cols: list[str], *order) -> DataFrame:
-    names = items.select("item_id", "name")
-    return bounded_sort(names.join(bounded_broadcast(top, n), "item_id").select(*cols), n, *order)
+    return bounded_sort(with_names(top, items, n).select(*cols), n, *order)
 
 
 def top_items(ratings: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:

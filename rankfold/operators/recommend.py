@@ -15,8 +15,8 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankfold.functions import bounded_broadcast, bounded_sort, epoch_seconds, hash_percent, literal_rows
-from rankfold.operators.popularity import item_counts
+from rankfold.functions import epoch_seconds, hash_below, literal_rows
+from rankfold.operators.popularity import item_counts, with_names
 from rankfold.session import checkpoint_dir
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
@@ -37,21 +37,19 @@ def most_rated_pool(ratings: DataFrame, n: int = 50) -> DataFrame:
             .limit(n))
 
 
-def elicitation_sample(pool: DataFrame, items: DataFrame, fraction: float = 0.2, seed: int = 0,
-                       pool_size: int = 50) -> DataFrame:
+def elicitation_sample(pool: DataFrame, items: DataFrame, fraction: float = 0.2, seed: int = 0) -> DataFrame:
     """A seeded fraction of the pool with names. The draw is a hash of (item, seed),
     so it does not depend on row order or partitioning."""
-    chosen = pool.filter(hash_percent("item_id", seed) < F.lit(int(round(fraction * 100))))
-    named = items.select("item_id", "name").join(bounded_broadcast(chosen.select("item_id"), pool_size), "item_id")
-    return bounded_sort(named, pool_size, "item_id")
+    chosen = pool.filter(hash_below("item_id", seed, fraction)).select("item_id")
+    return items.select("item_id", "name").join(chosen, "item_id").orderBy("item_id")
 
 
 def with_split(ratings: DataFrame, scheme: str = "68") -> DataFrame:
-    """Label each rating by ``epoch seconds % 10``.
+    """Label each rating by ``epoch seconds % 10`` (``ts``: timestamp or epoch seconds).
 
     scheme "68": train < 6, validation 6-7, test >= 8;
     scheme "24": train >= 4, validation 2-3, test < 2."""
-    b = epoch_seconds("ts") % 10
+    b = epoch_seconds(ratings, "ts") % 10
     if scheme == "68":
         label = F.when(b < 6, TRAIN).when(b < 8, VALIDATION).otherwise(TEST)
     elif scheme == "24":
@@ -93,28 +91,33 @@ def _als_input(df: DataFrame) -> DataFrame:
 
 
 RATINGS_PER_BLOCK = 25_000
+MIN_PER_BLOCK = 2_000_000
 
 
-def als_blocks(train: DataFrame) -> int:
-    """User/item block count for ALS: about RATINGS_PER_BLOCK ratings per block, at most
-    the cluster's parallelism (fewer, larger blocks cost less per iteration when small)."""
-    spark = train.sparkSession
-    n = train.count()
-    return max(1, min(spark.sparkContext.defaultParallelism, -(-n // RATINGS_PER_BLOCK)))
+def als_blocks(n: int, parallelism: int) -> int:
+    """User/item block count for ``n`` ratings: about RATINGS_PER_BLOCK ratings a block up to
+    one block per core (fewer, larger blocks cost less per iteration when small), and never
+    more than MIN_PER_BLOCK ratings a block, however many there are."""
+    return max(1, min(parallelism, -(-n // RATINGS_PER_BLOCK)), -(-n // MIN_PER_BLOCK))
 
 
 def fit_als(train: DataFrame, rank: int = 8, max_iter: int = 20, reg: float = 0.01, seed: int = 42,
             blocks: int | None = None) -> ALSModel:
     """Block ALS. Iteration state is checkpointed to the shared checkpoint folder every
-    10 iterations (cuts lineage; without it long runs overflow the stack)."""
+    10 iterations (cuts lineage; without it long runs overflow the stack). The input is
+    persisted, so its size and the fit share one computation. Ids must fit 32 bits, as
+    ``pyspark.ml`` requires; the cast raises beyond that."""
     spark = train.sparkSession
     checkpoint_dir(spark)
-    data = _als_input(train)
-    nb = blocks or als_blocks(data)
-    als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user_id",
-              itemCol="item_id", ratingCol="rating", coldStartStrategy="drop",
-              numUserBlocks=nb, numItemBlocks=nb, checkpointInterval=10)
-    return als.fit(data)
+    data = _als_input(train).persist()
+    try:
+        nb = blocks or als_blocks(data.count(), spark.sparkContext.defaultParallelism)
+        als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user_id",
+                  itemCol="item_id", ratingCol="rating", coldStartStrategy="drop",
+                  numUserBlocks=nb, numItemBlocks=nb, checkpointInterval=10)
+        return als.fit(data)
+    finally:
+        data.unpersist()
 
 
 def als_predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
@@ -125,16 +128,41 @@ def als_predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
             .select("user_id", "item_id", F.col("prediction").cast("double").alias("prediction")))
 
 
-def rmse_scored(scored: DataFrame) -> float:
-    """sqrt(sum of squared errors over rows with a prediction / number of all rows).
-
-    Rows whose ``prediction`` is NaN or null (cold start) count in the divisor only."""
+def rmse_frame(scored: DataFrame) -> DataFrame:
+    """One row ``rmse``: sqrt(sum of squared errors over rows with a prediction / number of
+    all rows); null without rows. Rows whose ``prediction`` is NaN or null (cold start) count
+    in the divisor only."""
     ok = F.col("prediction").isNotNull() & ~F.isnan("prediction")
     err = F.when(ok, F.pow(F.col("prediction") - F.col("rating"), 2))
-    row = scored.agg(F.sum(err).alias("sse"), F.count(F.lit(1)).alias("n")).first()
-    if not row["n"]:
-        return float("nan")
-    return float(((row["sse"] or 0.0) / row["n"]) ** 0.5)
+    n = F.count(F.lit(1))
+    return scored.agg(F.when(n > 0, F.sqrt(F.coalesce(F.sum(err), F.lit(0.0)) / n)).alias("rmse"))
+
+
+def rmse_scored(scored: DataFrame) -> float:
+    """``rmse_frame`` as a number (NaN without rows)."""
+    value = rmse_frame(scored).first()["rmse"]
+    return float("nan") if value is None else float(value)
+
+
+def item_mean_scored(train: DataFrame, rows: DataFrame, shrink: float = 0.0) -> DataFrame:
+    """``rows`` with ``prediction``, the item's mean in ``train`` with ``shrink`` imaginary
+    ratings at the mean of all of ``train``; null for items that train does not hold. A
+    deterministic stand-in for a model: everything downstream treats it like ALS."""
+    mean = train.agg(F.avg("rating").alias("_mean"))  # one row
+    per_item = train.groupBy("item_id").agg(F.sum("rating").alias("_s"), F.count(F.lit(1)).alias("_n"))
+    guess = (F.col("_s") + F.lit(float(shrink)) * F.col("_mean")) / (F.col("_n") + F.lit(float(shrink)))
+    per_item = per_item.join(F.broadcast(mean)).select(F.col("item_id"), guess.alias("prediction"))
+    return rows.join(per_item, "item_id", "left")
+
+
+def grid_choice(settings, score) -> tuple[list[tuple], int]:
+    """([(setting, score)], index of the smallest score; the first setting wins ties)."""
+    rows = [(s, score(s)) for s in settings]
+    best = 0
+    for i, (_, v) in enumerate(rows):
+        if v < rows[best][1]:
+            best = i
+    return rows, best
 
 
 def rmse_value(model: ALSModel, data: DataFrame) -> float:
@@ -160,9 +188,9 @@ def als_grid_search(train: DataFrame, validation: DataFrame, ranks=(8, 12), regs
     (strict <, so the first setting wins ties). Inputs are persisted for the loop."""
     train = _als_input(train).persist()
     validation = validation.persist()
-    blocks = als_blocks(train)
     rows, best, best_model = [], None, None
     try:
+        blocks = als_blocks(train.count(), train.sparkSession.sparkContext.defaultParallelism)
         for rank in ranks:
             for reg in regs:
                 for it in iters:
@@ -191,9 +219,20 @@ def mean_baseline_rmse(train: DataFrame, validation: DataFrame, test: DataFrame)
     return test.agg(F.sqrt(F.avg(F.pow(F.lit(mean) - F.col("rating"), 2))).alias("baseline_rmse"))
 
 
-def improvement_pct(baseline_rmse: float, model_rmse: float) -> float:
-    """(baseline - model) / baseline * 100, two decimals."""
-    return round((baseline_rmse - model_rmse) / baseline_rmse * 100.0, 2)
+def mean_baseline(labelled: DataFrame) -> DataFrame:
+    """P42 in one pass over ratings labelled by ``with_split``: with m the mean of the other
+    splits, the mean of (m - r)^2 over test is (n m^2 - 2 m sum r + sum r^2) / n."""
+    test = F.col("split") == TEST
+    r = F.col("rating")
+    sums = labelled.agg(F.avg(F.when(~test, r)).alias("m"), F.count(F.when(test, r)).alias("n"),
+                        F.sum(F.when(test, r)).alias("s"), F.sum(F.when(test, r * r)).alias("q"))
+    mse = (F.col("n") * F.col("m") * F.col("m") - 2 * F.col("m") * F.col("s") + F.col("q")) / F.col("n")
+    return sums.select(F.when(F.col("n") > 0, F.sqrt(F.greatest(mse, F.lit(0.0)))).alias("baseline_rmse"))
+
+
+def improvement_pct(baseline_rmse: float, model_rmse: float) -> float | None:
+    """(baseline - model) / baseline * 100, two decimals; None if the baseline is 0."""
+    return round((baseline_rmse - model_rmse) / baseline_rmse * 100.0, 2) if baseline_rmse else None
 
 
 def recommend_for_user(model: ALSModel, items: DataFrame, user: int, n: int = 10) -> DataFrame:
@@ -204,23 +243,26 @@ def recommend_for_user(model: ALSModel, items: DataFrame, user: int, n: int = 10
             .select(F.explode("recommendations").alias("r"))
             .select(F.col("r.item_id").cast("long").alias("item_id"),
                     F.col("r.rating").cast("double").alias("prediction")))
-    return _numbered(items, recs, n)
+    return top_scored(items, recs, n)
 
 
-def recommend_unseen(model: ALSModel, items: DataFrame, ratings: DataFrame, user: int,
-                     n: int = 50) -> DataFrame:
-    """Top-n catalogue items the user has not rated, numbered 1..n, with names."""
+def unseen_items(items: DataFrame, ratings: DataFrame, user: int) -> DataFrame:
+    """(item_id, user_id) of the catalogue items the user has not rated."""
     rated = ratings.filter(F.col("user_id") == user).select("item_id")
-    candidates = (items.select("item_id").join(rated, "item_id", "left_anti")
-                  .withColumn("user_id", F.lit(int(user))))
-    scored = als_predict(model, candidates)
-    top = (scored.select(F.col("item_id").cast("long").alias("item_id"), "prediction")
-           .orderBy(F.col("prediction").desc(), F.col("item_id").asc()).limit(n))
-    return _numbered(items, top, n)
+    return items.select("item_id").distinct().join(rated, "item_id", "left_anti").withColumn("user_id", F.lit(int(user)))
 
 
-def _numbered(items: DataFrame, top: DataFrame, n: int) -> DataFrame:
+def top_scored(items: DataFrame, scored: DataFrame, n: int) -> DataFrame:
+    """The n best predictions, numbered 1..n, with names (null if the catalogue has none)."""
+    top = (scored.select(F.col("item_id").cast("long").alias("item_id"), "prediction")
+           .orderBy(F.col("prediction").desc(), F.col("item_id").asc()).limit(n))
     # row_number over at most n rows (a top-n result), never over the raw data
-    named = items.select("item_id", "name").join(bounded_broadcast(top, n), "item_id")
     w = Window.orderBy(F.col("prediction").desc(), F.col("item_id").asc())
-    return named.withColumn("rank", F.row_number().over(w)).select("rank", "item_id", "name", "prediction")
+    ranked = top.withColumn("rank", F.row_number().over(w))
+    return with_names(ranked, items, n).select("rank", "item_id", "name", "prediction").orderBy("rank")
+
+
+def recommend_unseen(model: ALSModel, items: DataFrame, ratings: DataFrame, user: int,
+                     n: int = 50) -> DataFrame:
+    """Top-n catalogue items the user has not rated, numbered 1..n, with names."""
+    return top_scored(items, als_predict(model, unseen_items(items, ratings, user)), n)

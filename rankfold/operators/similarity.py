@@ -15,7 +15,10 @@ each user's co-ratings in bounded chunks into (items x items) accumulators. A ce
 at most users_per_block x 2 x items_per_block ratings, whatever the skew, because
 ratings are one per (user, item). A rating is sent only to the cells of item blocks its
 user actually rated, so the copies per rating are at most min(items of the user, item
-blocks). The final sum over user blocks is an ordinary partial aggregate.
+blocks). Users with few ratings would leave such cells nearly empty, one Python call for a
+handful of pairs, so their pairs (at most ``light_user`` / 2 per rating) are expanded and
+partially summed by a plain self-join in the JVM; blocks are for the heavy users only. The
+final sum over both is an ordinary partial aggregate.
 """
 
 from __future__ import annotations
@@ -27,7 +30,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankfold.functions import bounded_broadcast, bounded_sort
+from rankfold.functions import bounded_sort
+from rankfold.operators.popularity import with_names
+from rankfold.session import written
 
 # The block-product function runs in Python workers. Pickle this module's functions by
 # value so executors need only numpy and pandas, not this package on their path.
@@ -136,32 +141,54 @@ def cosine(sxy, sxx, syy):
     return F.when(den != 0, sxy / den).otherwise(F.lit(0.0))
 
 
-def item_similarity(ratings: DataFrame, items_per_block: int = 1024, users_per_block: int = 2048,
-                    decimals: int = 6) -> DataFrame:
-    """(item1 < item2, score, n_pairs) for every pair with at least one common rater.
+def _light_pairs(r: DataFrame) -> DataFrame:
+    """Partial sums of every item pair of every user, by a self-join on the user."""
+    a = r.select("user_id", F.col("item_id").alias("item1"), F.col("rating").alias("x"))
+    b = r.select("user_id", F.col("item_id").alias("item2"), F.col("rating").alias("y"))
+    x, y = F.col("x"), F.col("y")
+    return (a.join(b, "user_id").filter(F.col("item1") < F.col("item2")).groupBy("item1", "item2")
+            .agg(F.sum(x * y).alias("sxy"), F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.count(F.lit(1)).alias("n")))
+
 
-    ``ratings`` must hold one row per (user_id, item_id) (see ratings de-duplication)."""
-    r = ratings.select(F.col("user_id").cast("long").alias("user_id"),
-                       F.col("item_id").cast("long").alias("item_id"),
-                       F.col("rating").cast("double").alias("rating"))
-    sizes = r.agg(F.approx_count_distinct("user_id").alias("u"),
-                  F.approx_count_distinct("item_id").alias("i")).first()
-    n_ub = max(1, math.ceil((sizes["u"] or 0) / users_per_block))
-    n_ib = max(1, math.ceil((sizes["i"] or 0) / items_per_block))
+def _block_pairs(r: DataFrame, users: int, items: int, users_per_block: int, items_per_block: int) -> DataFrame:
+    """Partial sums from the block products of (user block, item block, item block) cells."""
+    n_ub, n_ib = max(1, math.ceil(users / users_per_block)), max(1, math.ceil(items / items_per_block))
     r = (r.withColumn("ub", F.pmod(F.xxhash64("user_id"), F.lit(n_ub)).cast("int"))
          .withColumn("blk", F.pmod(F.xxhash64("item_id"), F.lit(n_ib)).cast("int")))
     # A rating is needed only by cells pairing its block with a block the same user also
     # rated: replicate to the user's own block set (at most n_ib entries per user).
-    if n_ib == 1:
-        tagged = r.withColumn("other", F.lit(0))
-    else:
-        touched = r.groupBy("user_id").agg(F.collect_set("blk").alias("blks"))
-        tagged = r.join(touched, "user_id").withColumn("other", F.explode("blks"))
+    touched = r.groupBy("user_id").agg(F.collect_set("blk").alias("blks"))
+    tagged = r.join(touched, "user_id").withColumn("other", F.explode("blks"))
     cells = (tagged
              .withColumn("lo", F.least("blk", "other"))
              .withColumn("hi", F.greatest("blk", "other"))
              .select("ub", "lo", "hi", "blk", "user_id", "item_id", "rating"))
-    partial = cells.groupBy("ub", "lo", "hi").applyInPandas(_cell_products, PARTIAL_SCHEMA)
+    return cells.groupBy("ub", "lo", "hi").applyInPandas(_cell_products, PARTIAL_SCHEMA)
+
+
+LIGHT_USER = 32
+
+
+def item_similarity(ratings: DataFrame, items_per_block: int = 1024, users_per_block: int = 2048,
+                    decimals: int = 6, light_user: int = LIGHT_USER) -> DataFrame:
+    """(item1 < item2, score, n_pairs) for every pair with at least one common rater.
+
+    ``ratings`` must hold one row per (user_id, item_id) (see ratings de-duplication). Users
+    with at most ``light_user`` ratings are paired by a join, the others by block products."""
+    r = written(ratings.select(F.col("user_id").cast("long").alias("user_id"),
+                               F.col("item_id").cast("long").alias("item_id"),
+                               F.col("rating").cast("double").alias("rating")), "similarity-input")
+    counts = r.groupBy("user_id").agg(F.count(F.lit(1)).alias("c"))
+    sizes = counts.agg(F.count(F.when(F.col("c") > light_user, 1)).alias("heavy"), F.count(F.lit(1)).alias("u")).first()
+    marked = r.join(counts, "user_id")
+    parts = []
+    if sizes["heavy"] < sizes["u"] or not sizes["u"]:
+        parts.append(_light_pairs(marked.filter(F.col("c") <= light_user).drop("c")))
+    if sizes["heavy"]:
+        items = r.agg(F.approx_count_distinct("item_id")).first()[0]
+        parts.append(_block_pairs(marked.filter(F.col("c") > light_user).drop("c"), sizes["heavy"], items,
+                                  users_per_block, items_per_block))
+    partial = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     sums = partial.groupBy("item1", "item2").agg(
         F.sum("sxy").alias("sxy"), F.sum("sxx").alias("sxx"), F.sum("syy").alias("syy"),
         F.sum("n").alias("n_pairs"))
@@ -182,7 +209,7 @@ def similarity_to(ratings: DataFrame, x: int, decimals: int = 6) -> DataFrame:
         F.sum(F.col("rx") * F.col("rx")).alias("sxx"),
         F.sum(F.col("rating") * F.col("rating")).alias("syy"),
         F.count(F.lit(1)).alias("n_pairs")))
-    return sums.select("item_id", F.round(cosine(F.col("sxy"), F.col("sxx"), F.col("syy")), decimals)
+    return sums.select(F.col("item_id").cast("long").alias("item_id"), F.round(cosine(F.col("sxy"), F.col("sxx"), F.col("syy")), decimals)
                        .alias("score"), "n_pairs")
 
 
@@ -194,8 +221,7 @@ def similar_items(ratings: DataFrame, items: DataFrame, x: int, min_score: float
     top = (similarity_to(ratings, x, decimals)
            .filter((F.col("score") > min_score) & (F.col("n_pairs") > min_pairs))
            .orderBy(*order).limit(n))
-    named = items.select("item_id", "name").join(bounded_broadcast(top, n), "item_id")
-    return bounded_sort(named.select("item_id", "name", "score", "n_pairs"), n, *order)
+    return bounded_sort(with_names(top, items, n).select("item_id", "name", "score", "n_pairs"), n, *order)
 
 
 def similar_items_from(sims: DataFrame, items: DataFrame, x: int, min_score: float, min_pairs: int,
@@ -207,5 +233,4 @@ def similar_items_from(sims: DataFrame, items: DataFrame, x: int, min_score: flo
     top = (sims.filter(((F.col("item1") == x) | (F.col("item2") == x))
                        & (F.col("score") > min_score) & (F.col("n_pairs") > min_pairs))
            .select(other.alias("item_id"), "score", "n_pairs").orderBy(*order).limit(n))
-    named = items.select("item_id", "name").join(bounded_broadcast(top, n), "item_id")
-    return bounded_sort(named.select("item_id", "name", "score", "n_pairs"), n, *order)
+    return bounded_sort(with_names(top, items, n).select("item_id", "name", "score", "n_pairs"), n, *order)

@@ -14,11 +14,13 @@ from rankfold.functions import ordinal
 from rankfold.operators.popularity import item_counts, tag_list
 
 
-def rating_tag_pairs(ratings: DataFrame, items: DataFrame, sep: str = "|") -> DataFrame:
-    """One row per (rating, tag of the rated item). Items missing from the
-    dictionary have no tags and produce no row (inner join)."""
+def rating_tag_pairs(ratings: DataFrame, items: DataFrame, sep: str = "|", n: int | None = None) -> DataFrame:
+    """One row per (rating, tag of the rated item), or the first ``n`` of them by rating,
+    highest first, then tag. Items missing from the dictionary have no tags and produce no
+    row (``popularity.unmatched_items`` counts them)."""
     tagged = items.select("item_id", F.explode(tag_list("tags", sep)).alias("tag"))
-    return ratings.select("item_id", "rating").join(tagged, "item_id").select("rating", "tag")
+    pairs = ratings.select("item_id", "rating").join(tagged, "item_id").select("rating", "tag")
+    return pairs if n is None else pairs.orderBy(F.col("rating").desc(), "tag").limit(n)
 
 
 def tag_rating_totals(ratings: DataFrame, items: DataFrame, sep: str = "|") -> DataFrame:
@@ -36,13 +38,13 @@ def tag_item_totals(items: DataFrame, sep: str = "|") -> DataFrame:
 def tag_rating_counts(ratings: DataFrame, items: DataFrame, sep: str = "|") -> DataFrame:
     """Tags ranked by number of ratings."""
     totals = tag_rating_totals(ratings, items, sep)
-    return ordinal(totals, [F.col("n_ratings").desc(), F.col("tag").asc()]).orderBy("rank")
+    return ordinal(totals, [F.col("n_ratings").desc(), F.col("tag").asc()])  # in rank order
 
 
 def tag_item_counts(items: DataFrame, sep: str = "|") -> DataFrame:
     """Tags ranked by number of catalogue items."""
     totals = tag_item_totals(items, sep)
-    return ordinal(totals, [F.col("n_items").desc(), F.col("tag").asc()]).orderBy("rank")
+    return ordinal(totals, [F.col("n_items").desc(), F.col("tag").asc()])  # in rank order
 
 
 def tag_popularity(ratings: DataFrame, items: DataFrame, sep: str = "|") -> DataFrame:
@@ -50,4 +52,4 @@ def tag_popularity(ratings: DataFrame, items: DataFrame, sep: str = "|") -> Data
     joined = (tag_rating_totals(ratings, items, sep).join(tag_item_totals(items, sep), "tag")
               .withColumn("ratio", F.expr("n_ratings div n_items")))
     ranked = ordinal(joined, [F.col("n_ratings").desc(), F.col("tag").asc()])
-    return ranked.select("rank", "tag", "n_ratings", "n_items", "ratio").orderBy("rank")
+    return ranked.select("rank", "tag", "n_ratings", "n_items", "ratio")  # in rank order

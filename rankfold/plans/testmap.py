@@ -12,7 +12,7 @@ derivation in DuckDB SQL so oracle queries can be composed from identical inputs
 | readings(station,type,value)    | events: user_id, event_type (purchase = TMIN, view = TMAX)  |
 | spend(customer, amount)         | orders: o_custkey, o_totalprice                             |
 | lines(line)                     | documents.text split into lines                             |
-| incidence(node, grp)            | distinct (l_partkey, l_orderkey) with l_quantity >= 40      |
+| incidence(node, grp)            | distinct (l_partkey, l_orderkey)                            |
 | node_names(node, name)          | part: p_partkey, p_name                                     |
 """
 
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from rankfold.functions import latest_per_key, spread, text_lines
 
 TAG_SEPARATOR = " "
-GRAPH_MIN_QUANTITY = 40
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,9 +82,7 @@ def lines_df(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incidence_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    return (li.filter(F.col("l_quantity") >= GRAPH_MIN_QUANTITY)
-            .select(F.col("l_partkey").alias("node"), F.col("l_orderkey").alias("grp"))
-            .distinct())
+    return li.select(F.col("l_partkey").alias("node"), F.col("l_orderkey").alias("grp")).distinct()
 
 
 def node_names_df(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,8 +107,7 @@ CTE = {
     "lines": r"""SELECT unnest(CASE WHEN text = '' THEN []::VARCHAR[]
         ELSE regexp_split_to_array(regexp_replace(text, '(?:\r\n|\r|\n)$', ''), '\r\n|\r|\n') END) AS line
         FROM documents""",
-    "incidence": f"""SELECT DISTINCT l_partkey AS node, l_orderkey AS grp FROM lineitem
-        WHERE l_quantity >= {GRAPH_MIN_QUANTITY}""",
+    "incidence": "SELECT DISTINCT l_partkey AS node, l_orderkey AS grp FROM lineitem",
     "node_names": "SELECT p_partkey AS node, p_name AS name FROM part",
     # brute-force adjacency entries: one per (node, other node, shared group)
     "entries": "SELECT a.node AS src, b.node AS dst FROM incidence a JOIN incidence b ON a.grp = b.grp AND a.node <> b.node",

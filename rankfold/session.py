@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults for a laptop / CI session. On a cluster size shuffle partitions to the data
 # (about 128-256 MB per partition) and let AQE coalesce; see README "Scale".
@@ -49,13 +49,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="rankfold-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the scratch folder and read it back, so what is derived from it twice
+    is computed once and survives a lost executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written intermediate tables."""
     return f"{checkpoint_dir(spark)}/scratch/{name}-{uuid.uuid4().hex}"

@@ -1,9 +1,12 @@
 """Readers for the delimited and line formats (S01-S13). Every reader declares its
 schema, so nothing is inferred and Catalyst can prune columns and push filters into the
-scan. Paths may be any Hadoop URI (local, HDFS, object store)."""
+scan. Paths may be any Hadoop URI (local, HDFS, object store). A field that does not have
+its declared type fails the read; an empty text field stays an empty text."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,46 +27,50 @@ def read_ratings(spark: SparkSession, path: str, sep: str = "\t", header: bool =
             .option("mode", "FAILFAST").csv(path))
 
 
+def _typed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).option("mode", "FAILFAST").csv(path)
+
+
 def read_items(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
     """Item dictionaries.
 
     * ``|``  : ``id|name|...`` (rest unused), rows with a single field skipped;
-    * ``::`` : ``id::name::tags``, plus ``label`` = ``name <tags>``;
+    * ``::`` : ``id::name::tags``, plus ``label`` = ``name <tags>`` (tags empty if absent);
     * ``,``  : ``id,name,tags`` with names quoted when they hold commas, ``""`` inside quotes.
     """
     if sep == ",":
-        df = (spark.read.schema("item_id int, name string, tags string")
+        df = (spark.read.schema("item_id string, name string, tags string")
               .option("quote", '"').option("escape", '"').option("header", False).csv(path))
-        return df.filter(F.col("name").isNotNull())
-    schema = "item_id int, name string" if sep == "|" else "item_id int, name string, tags string"
-    df = (spark.read.schema(schema).option("sep", sep).option("quote", "\u0000")
-          .option("header", False).csv(path)).filter(F.col("name").isNotNull())
-    if sep == "::":
-        df = df.withColumn("label", F.concat(F.col("name"), F.lit(" <"), F.col("tags"), F.lit(">")))
-    return df
+        df = df.filter(F.col("name").isNotNull() | F.col("tags").isNotNull())  # a lone field is no item
+        return df.select(F.col("item_id").cast("int").alias("item_id"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("name", "tags")])
+    fields = F.split(F.regexp_replace("value", r"\r\z", ""), re.escape(sep))
+    df = spark.read.text(path).select(fields.alias("f")).filter(F.size("f") > 1)
+    item, name = F.get("f", F.lit(0)).cast("int").alias("item_id"), F.get("f", F.lit(1)).alias("name")
+    if sep == "|":
+        return df.select(item, name)
+    df = df.select(item, name, F.coalesce(F.get("f", F.lit(2)), F.lit("")).alias("tags"))
+    return df.withColumn("label", F.concat(F.col("name"), F.lit(" <"), F.col("tags"), F.lit(">")))
 
 
 def read_people(spark: SparkSession, path: str) -> DataFrame:
     """``id,name,age,num_friends`` (CRLF or LF line ends)."""
-    return spark.read.schema("id int, name string, age int, num_friends int").csv(path)
+    return _typed(spark, path, "id int, name string, age int, num_friends int")
 
 
 def read_readings(spark: SparkSession, path: str) -> DataFrame:
     """``station,day,type,value``; the day is not used."""
-    df = spark.read.schema("station string, day string, type string, value double").csv(path)
-    return df.select("station", "type", "value")
+    return _typed(spark, path, "station string, day string, type string, value double").select("station", "type", "value")
 
 
 def read_spend(spark: SparkSession, path: str) -> DataFrame:
     """``customer,item,amount``; the item is not used."""
-    df = spark.read.schema("customer long, item long, amount double").csv(path)
-    return df.select("customer", "amount")
+    return _typed(spark, path, "customer long, item long, amount double").select("customer", "amount")
 
 
 def read_adjacency(spark: SparkSession, path: str) -> DataFrame:
     """Lines ``node n1 n2 ...`` split on whitespace -> ``(node, neighbours array)``.
     A node may span several lines; blank lines are dropped."""
-    parts = F.split(F.trim(F.col("value")), r"\s+")
+    parts = F.split(F.btrim(F.col("value"), F.lit(" \t\r\f\v")), r"\s+")
     df = spark.read.text(path).select(parts.alias("p"))
     node = F.get(F.col("p"), 0).try_cast("long")
     rest = F.slice(F.col("p"), 2, F.greatest(F.size("p") - 1, F.lit(0))).cast("array<long>")

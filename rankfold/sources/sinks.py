@@ -12,7 +12,8 @@ TAG_REPORT_SCHEMA = "rank long, tag string, n_ratings long, n_items long, ratio
 
 def write_tag_report(report: DataFrame, path: str) -> str:
     """``rank,tag,ratings,items,ratio`` lines in rank order."""
-    (report.select("rank", "tag", "n_ratings", "n_items", "ratio").orderBy("rank")
+    # a report of ``tags.tag_popularity`` comes in rank order
+    (report.select("rank", "tag", "n_ratings", "n_items", "ratio")
      .write.mode("overwrite").option("header", False).csv(path))
     return path
 
@@ -22,10 +23,11 @@ def read_tag_report(spark, path: str) -> DataFrame:
 
 
 def write_similarities(sims: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """The pair table sorted by (score, n_pairs) descending, as parquet or text."""
-    ordered = sims.orderBy(F.col("score").desc(), F.col("n_pairs").desc(), "item1", "item2")
+    """The pair table sorted by (item1, item2), as parquet or as text lines
+    ``(item1,item2)<TAB>(score,n_pairs)`` with six decimals."""
+    ordered = sims.orderBy("item1", "item2")
     if fmt == "text":
-        line = F.format_string("(%d,%d)\t(%s,%d)", "item1", "item2", F.col("score").cast("string"), "n_pairs")
+        line = F.format_string("(%d,%d)\t(%.6f,%d)", "item1", "item2", "score", "n_pairs")
         ordered.select(line.alias("value")).write.mode("overwrite").text(path)
     else:
         ordered.write.mode("overwrite").parquet(path)

@@ -15,8 +15,13 @@ from pyspark.sql import DataFrame
 
 
 def incremental(stream: DataFrame, operator: Callable[[DataFrame], DataFrame], query_name: str,
-                checkpoint: str, sink: str = "memory"):
-    """Start ``operator(stream)`` as a streaming query that keeps the full result
-    up to date (complete mode). ``checkpoint`` must be a shared folder on a cluster."""
-    return (operator(stream).writeStream.outputMode("complete").format(sink)
+                checkpoint: str, path: str):
+    """Start ``operator(stream)`` as a streaming query that keeps the full result in the
+    Parquet folder ``path``, rewritten for every batch (complete mode). Executors write it;
+    nothing is held in the driver. ``checkpoint`` and ``path`` must be shared folders on a
+    cluster."""
+    def replace(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    return (operator(stream).writeStream.outputMode("complete").foreachBatch(replace)
             .queryName(query_name).option("checkpointLocation", checkpoint).start())

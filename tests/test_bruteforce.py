@@ -123,7 +123,6 @@ def test_spread_keeps_rows(spark):
     from rankfold.functions import spread
 
     df = spark.range(100).coalesce(1)
-    assert spread(df).rdd.getNumPartitions() >= 1
     assert spread(df).agg(F.sum("id")).first()[0] == 4950
 
 
@@ -153,17 +152,15 @@ def test_block_similarity_sparse_path(spark, monkeypatch):
     data = [(u, i, r) for (u, i), r in rows.items()]
     df = spark.createDataFrame(data, "user_id long, item_id long, rating double")
     got = {(r["item1"], r["item2"]): (r["score"], r["n_pairs"])
-           for r in similarity.item_similarity(df, items_per_block=6, users_per_block=9).collect()}
+           for r in similarity.item_similarity(df, items_per_block=6, users_per_block=9, light_user=0).collect()}
     want = _brute_cosine(data)
     assert got.keys() == want.keys()
     for k, (score, n) in want.items():
         assert got[k][1] == n and abs(got[k][0] - score) <= 1e-6, k
 
 
-def test_bfs_with_hot_group_matches_brute_force(spark, monkeypatch):
+def test_bfs_with_hot_group_matches_brute_force(spark):
     # one group holds a third of all memberships; it is salted over several buckets
-    monkeypatch.setattr(graph, "MAX_SALTS", 4)
-    monkeypatch.setattr(graph, "ROWS_PER_BUCKET", 10)   # several buckets even for a small graph
     rng = random.Random(17)
     inc = {(rng.randrange(90), g) for g in range(1, 60) for _ in range(rng.randint(1, 3))}
     inc |= {(n, 0) for n in range(0, 90, 1) if rng.random() < 0.8}
@@ -171,9 +168,33 @@ def test_bfs_with_hot_group_matches_brute_force(spark, monkeypatch):
     inc_df = spark.createDataFrame(inc, "node long, grp long")
     ent_df = spark.createDataFrame(_entries(inc), "node long, neighbour long")
     start = inc[-1][0]
-    probe = graph._Bucketed(inc_df, "grp", "node", "probe")
-    assert probe.hot == [0]
+    probe = graph._Bucketed(inc_df, "grp", "node", "probe", 20)
+    members = sum(g == 0 for _, g in inc)
+    assert [tuple(r) for r in probe.hot.collect()] == [(0, -(-members // 20))]
     probe.drop()
-    a = {tuple(r) for r in graph.cooccurrence_bfs_distances(inc_df, start, 5).collect()}
-    b = {tuple(r) for r in graph.bfs_distances(ent_df, start, 5).collect()}
+    a = {tuple(r) for r in graph.cooccurrence_bfs_distances(inc_df, start, rows_per_bucket=20).collect()}
+    b = {tuple(r) for r in graph.bfs_distances(ent_df, start, rows_per_bucket=20).collect()}
     assert a == b
+
+
+def test_bfs_reaches_the_end_of_a_long_chain(spark):
+    chain = [(i, i + 1) for i in range(13)]
+    ent = spark.createDataFrame(chain + [(b, a) for a, b in chain], "node long, neighbour long")
+    assert {r["node"]: r["dist"] for r in graph.bfs_distances(ent, 0).collect()} == {i: i for i in range(14)}
+    assert [tuple(r) for r in graph.degrees_of_separation(ent, 0, 13).collect()] == [(13, 1)]
+    assert graph.bfs_distances(ent, 0, max_levels=10).count() == 11
+    assert graph.degrees_of_separation(ent, 0, 99).count() == 0
+
+
+def test_light_and_heavy_users_together(spark):
+    rng = random.Random(4)
+    rows = {(u, i): float(rng.randint(1, 5)) for u in range(40) for i in range(25) if rng.random() < (0.9 if u % 5 == 0 else 0.15)}
+    data = [(u, i, r) for (u, i), r in rows.items()]
+    df = spark.createDataFrame(data, "user_id long, item_id long, rating double")
+    want = _brute_cosine(data)
+    for light in (0, 6, 1000):
+        got = {(r["item1"], r["item2"]): (r["score"], r["n_pairs"])
+               for r in similarity.item_similarity(df, items_per_block=6, users_per_block=9, light_user=light).collect()}
+        assert got.keys() == want.keys()
+        for k, (score, n) in want.items():
+            assert got[k][1] == n and abs(got[k][0] - score) <= 1e-6, k

@@ -100,8 +100,8 @@ def _edges(spark, edges):
     return spark.createDataFrame(edges, "node long, neighbour long")
 
 
-def _dos(spark, edges, target, start=0):
-    return [tuple(r) for r in graph.degrees_of_separation(_edges(spark, edges), start, target).collect()]
+def _dos(spark, edges, target, start=0, max_levels=None):
+    return [tuple(r) for r in graph.degrees_of_separation(_edges(spark, edges), start, target, max_levels).collect()]
 
 
 def test_bfs_two_parents(spark):
@@ -118,8 +118,9 @@ def test_bfs_unreachable(spark):
 
 def test_bfs_level_limit(spark):
     chain = [(i, i + 1) for i in range(12)]
-    assert _dos(spark, chain, 11) == []
-    assert _dos(spark, chain, 10) == [(10, 1)]
+    assert _dos(spark, chain, 11, max_levels=10) == []
+    assert _dos(spark, chain, 10, max_levels=10) == [(10, 1)]
+    assert _dos(spark, chain, 11) == [(11, 1)]
 
 
 def test_bfs_start_is_target_through_cycle(spark):
@@ -195,4 +196,100 @@ def test_similarity_text_dump_sorted(spark, tmp_path):
     # part files in name order hold the global sort order
     parts = sorted(p for p in (tmp_path / "dump").iterdir() if p.name.startswith("part-"))
     lines = [line for p in parts for line in p.read_text().splitlines()]
-    assert lines == ["(2,3)\t(0.9,5)", "(1,3)\t(0.9,2)", "(1,2)\t(0.5,3)"]
+    assert lines == ["(1,2)\t(0.500000,3)", "(1,3)\t(0.900000,2)", "(2,3)\t(0.900000,5)"]
+
+
+def _file(tmp_path, name, text):
+    (tmp_path / name).write_bytes(text.encode())
+    return str(tmp_path / name)
+
+
+def test_empty_names_are_kept(spark, tmp_path):
+    from rankfold.sources import readers
+
+    pipe = readers.read_items(spark, _file(tmp_path, "p", "1|a|x\n2||x\n3\n"), "|")
+    assert sorted(tuple(r) for r in pipe.collect()) == [(1, "a"), (2, "")]
+    colons = readers.read_items(spark, _file(tmp_path, "c", "2::::Drama\n3::b\n"), "::")
+    assert sorted(tuple(r) for r in colons.collect()) == [(2, "", "Drama", " <Drama>"), (3, "b", "", "b <>")]
+    comma = readers.read_items(spark, _file(tmp_path, "q", '2,,Drama\n4,"a, ""b""",X\n5\n'), ",")
+    assert sorted(tuple(r) for r in comma.collect()) == [(2, "", "Drama"), (4, 'a, "b"', "X")]
+
+
+def test_malformed_fields_fail(spark, tmp_path):
+    import pytest
+    from rankfold.sources import readers
+
+    with pytest.raises(Exception, match="(?i)malformed|CAST_INVALID|thirty"):
+        readers.read_people(spark, _file(tmp_path, "ppl", "1,a,thirty,4\n")).collect()
+    with pytest.raises(Exception, match="(?i)malformed|CAST_INVALID|x9"):
+        readers.read_items(spark, _file(tmp_path, "it", "x9|name\n"), "|").collect()
+
+
+def test_adjacency_with_trailing_tab(spark, tmp_path):
+    from rankfold.sources import readers
+
+    rows = readers.read_adjacency(spark, _file(tmp_path, "adj", "1 2 3\t\n\t4 1 \r\n\n"))
+    assert sorted((r.node, list(r.neighbours)) for r in rows.collect()) == [(1, [2, 3]), (4, [1])]
+
+
+def test_split_of_a_million_delimiters_is_linear(spark):
+    import time
+
+    from pyspark.sql import functions as F
+    from rankfold.functions import java_split
+
+    df = spark.range(1).select(F.concat(F.lit("a"), F.repeat(F.lit(" "), 1_000_000), F.lit("b"), F.repeat(F.lit(" "), 1_000_000)).alias("s"))
+    df.select(F.size(java_split("s", r"\W+"))).first()
+    t = time.perf_counter()
+    assert df.select(F.size(java_split("s", r"\W+"))).first()[0] == 2
+    assert time.perf_counter() - t < 2
+    assert df.select(F.size(java_split("s", " "))).first()[0] == 1_000_001
+
+
+def test_file_ratings_to_split_and_rmse(spark, tmp_path):
+    from rankfold.functions import latest_per_key
+    from rankfold.operators import recommend
+    from rankfold.sources import readers
+
+    text = "".join(f"{u}::{i}::{(u * i) % 5 + 1}::{100 + u + i}\n" for u in range(5) for i in range(6)) + "0::0::5::200\n"
+    r = latest_per_key(readers.read_ratings(spark, _file(tmp_path, "r", text), "::"), ["user_id", "item_id"], ["rating", "ts"])
+    rows = recommend.with_split(r, "68").collect()
+    assert len(rows) == 30 and {(x.user_id, x.item_id): (x.rating, x.split) for x in rows}[(0, 0)] == (5.0, "train")
+    by = {s: [x.rating for x in rows if x.split == s] for s in ("train", "validation", "test")}
+    mean = sum(by["train"] + by["validation"]) / len(by["train"] + by["validation"])
+    want = (sum((mean - x) ** 2 for x in by["test"]) / len(by["test"])) ** 0.5
+    assert abs(recommend.mean_baseline(recommend.with_split(r, "68")).first()[0] - want) < 1e-9
+    model = recommend.fit_als(r, rank=2, max_iter=2, reg=0.1)
+    assert recommend.rmse_value(model, r) >= 0
+
+
+def test_names_missing_and_repeated(spark):
+    from rankfold.operators import popularity
+
+    ratings = spark.createDataFrame([(1, 5.0), (1, 4.0), (2, 3.0), (3, 1.0)], "item_id long, rating double")
+    items = spark.createDataFrame([(1, "b", "x"), (1, "a", "x"), (3, "c", "x")], "item_id long, name string, tags string")
+    assert [tuple(r) for r in popularity.top_items(ratings, items, 2).collect()] == [(1, "a", 2), (2, None, 1)]
+    assert [tuple(r) for r in popularity.unmatched_items(ratings, items).collect()] == [(1, 1)]
+    assert len(popularity.item_popularity_named(ratings, items).collect()) == 3
+
+
+def test_sample_fraction_is_exact(spark):
+    from pyspark.sql import functions as F
+    from rankfold.functions import hash_below
+
+    ids = spark.range(20_000)
+    for fraction in (0.005, 0.125):
+        n = ids.filter(hash_below("id", 0, fraction)).count()
+        assert abs(n - 20_000 * fraction) < 5 * (20_000 * fraction) ** 0.5
+
+
+def test_sorted_reports_are_sorted(spark):
+    from conftest import SF_SMALL
+    from rankfold.plans import catalog
+
+    ranks = [r["rank"] for r in catalog.QUERIES["tag_popularity"](spark, SF_SMALL).collect()]
+    assert ranks == list(range(1, len(ranks) + 1))
+    counts = [(-r["n"], r["word"]) for r in catalog.QUERIES["word_count_sorted"](spark, SF_SMALL).collect()]
+    assert counts == sorted(counts)
+    pairs = [(r["item1"], r["item2"]) for r in catalog.QUERIES["sink_similarities"](spark, SF_SMALL).collect()]
+    assert sorted(pairs) == sorted(set(pairs))

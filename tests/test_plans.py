@@ -40,5 +40,8 @@ def test_no_python_in_plan(spark, name):
 
 
 def test_similarity_python_only_in_block_products(spark):
-    p = plan(spark, "item_similarity")
+    from rankfold.operators import similarity
+    from rankfold.plans import testmap as tm
+
+    p = similarity.item_similarity(tm.ratings_unique_df(spark, SF_SMALL), light_user=0)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapGroupsInPandas" in p and "BatchEvalPython" not in p

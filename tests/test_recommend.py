@@ -25,7 +25,7 @@ def test_test_rmse_finite(spark):
 
 def test_unseen_excludes_rated(spark):
     recs = catalog.QUERIES["als_recommend_unseen"](spark, SF_SMALL)
-    train = catalog._grid(spark, SF_SMALL)[1]
+    train = catalog._splits(spark, SF_SMALL)[0]
     uid = recommend.next_user_id(tm.ratings_unique_df(spark, SF_SMALL))
     rated = {r["item_id"] for r in train.filter(F.col("user_id") == uid).collect()}
     got = recs.collect()
@@ -48,3 +48,12 @@ def test_same_seed_same_output(spark):
 
 def test_improvement_formula():
     assert recommend.improvement_pct(2.0, 1.5) == 25.0
+    assert recommend.improvement_pct(0.0, 1.5) is None
+
+
+def test_blocks_grow_with_the_data():
+    assert [recommend.als_blocks(n, 8) for n in (0, 25_000, 60_000, 10_000_000, 40_000_000)] == [1, 1, 3, 8, 20]
+
+
+def test_grid_keeps_the_first_of_equal_settings():
+    assert recommend.grid_choice([3, 1, 2], lambda s: {3: 2.0, 1: 1.0, 2: 1.0}[s]) == ([(3, 2.0), (1, 1.0), (2, 1.0)], 1)

@@ -49,6 +49,14 @@ def test_local_gets_a_folder():
     assert checkpoint_dir(_Session("local[2]")).endswith("/uuid")
 
 
-def test_spread_is_noop_on_wide_input(spark):
-    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism + 2)
-    assert spread(wide) is wide
+def test_spread_is_noop_on_large_input(spark, monkeypatch):
+    import rankfold.functions as functions
+
+    scan = spark.range(0, 1000)
+    monkeypatch.setattr(functions, "BYTES_PER_SPLIT", 0)
+    assert spread(scan) is scan
+
+
+def test_local_cluster_needs_a_shared_folder():
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(_Session("local-cluster[3,2,1024]"))

@@ -12,10 +12,10 @@ def test_word_count_over_text_stream(spark, tmp_path):
     (src / "b.txt").write_text("hat\n")
     stream = spark.readStream.text(str(src)).withColumnRenamed("value", "line")
     q = incremental(stream, lambda df: text.word_count(df, text.NON_WORD, lower=True), "wc_stream",
-                    scratch_path(spark, "stream-ckpt"))
+                    scratch_path(spark, "stream-ckpt"), str(tmp_path / "out"))
     try:
         q.processAllAvailable()
-        got = {r["word"]: r["n"] for r in spark.sql("SELECT * FROM wc_stream").collect()}
+        got = {r["word"]: r["n"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     finally:
         q.stop()
     assert got == {"the": 1, "cat": 2, "a": 1, "hat": 1}

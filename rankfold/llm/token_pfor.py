@@ -19,7 +19,7 @@ segment; a segment closes after about ``SEGMENT`` ids.
 
 Ids come from the ``tokenizers`` library. BPE splits text before every run of spaces or line
 feeds that follows another visible character, so such chunks are encoded once and remembered
-(a bounded memo per task); texts with other white space or a special token's string are
+(a bounded memo in each worker process); texts with other white space or a special token's string are
 encoded whole. Both give the library's own ids.
 
 Nulls: a null text is an empty text (only the end id); null ids come first. Repeated rows
@@ -30,6 +30,8 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -48,7 +50,7 @@ ship_by_value(__name__)
 BLOCK = 1024
 SHARE = 0.95
 SEGMENT = 1_000_000
-MEMO = 200_000
+MEMO = 700_000
 HEAD = "<4sHHIQI"
 BLOCK_HEAD = "<IBH"
 
@@ -119,20 +121,59 @@ class Encoder:
 
         self.tokenizer, self.memo = Tokenizer.from_file(path), {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        space = ("\u0120", "\u010a")  # how byte-level tokens write a space and a line feed
+        self.starts = np.array([t.startswith(space) for t in tokens])
+        self.blank = np.array([bool(t) and not t.strip("".join(space)) for t in tokens])
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def learn(self, chunks: list[str]) -> None:
+        """Encode chunks into the memo. Those of the form space + visible are joined: no token
+        reaches over their borders, and a border is a token that starts with space after one
+        that is not all space."""
+        joined = [c for c in chunks if c[0] in " \n" and c[-1] not in " \n"]
+        if joined:
+            e = self.tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0]
+            ids = np.array(e.ids, dtype="<u4")
+            border = self.starts[ids]
+            border[1:] &= ~self.blank[ids[:-1]]
+            at = np.append(np.flatnonzero(border), len(ids)) * 4
+            if len(at) == len(joined) + 1:
+                data = ids.tobytes()
+                self.memo.update(zip(joined, (data[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist()))))
+        for c in chunks:
+            if c not in self.memo:
+                self.memo[c] = self.whole(c)
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [not OTHER_SPACE.search(t) and not any(s in t for s in self.special) for t in texts]
-        chunks = [CHUNK.findall(t) if p else [] for t, p in zip(texts, plain)]
-        new = list(set(chain.from_iterable(chunks)) - self.memo.keys())
         if len(self.memo) > MEMO:
             self.memo.clear()
-            new = list(set(chain.from_iterable(chunks)))
-        for e, chunk in zip(self.tokenizer.encode_batch_fast(new, add_special_tokens=False), new):
-            self.memo[chunk] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.memo.__getitem__, c)) if p else self.whole(t) for t, c, p in zip(texts, chunks, plain)]
+        known, rows, new = self.memo.get, [], set()
+        for t in texts:
+            if OTHER_SPACE.search(t) or any(s in t for s in self.special):
+                rows.append(([], [self.whole(t)], []))
+                continue
+            chunks = CHUNK.findall(t)
+            coded = list(map(known, chunks))
+            missing = [i for i, v in enumerate(coded) if v is None]
+            new.update(chunks[i] for i in missing)
+            rows.append((chunks, coded, missing))
+        self.learn(list(new))
+        for chunks, coded, missing in rows:
+            for i in missing:
+                coded[i] = self.memo[chunks[i]]
+        return [b"".join(coded) for _, coded, _ in rows]
+
+
+def task_encoder(path: str) -> Encoder:
+    """The worker process's encoder for ``path``. Spark reuses its Python workers, but what a
+    shipped function holds is new in every task; a module of its own outlives the task."""
+    state = sys.modules.setdefault("rankfold_task_state", types.ModuleType("rankfold_task_state")).__dict__
+    if path not in state:
+        state[path] = Encoder(path)
+    return state[path]
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, block: int = BLOCK,
@@ -144,7 +185,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is all that it may use
-        encoder, part, number = Encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder, part, number = task_encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype="<u4").tobytes()
         held_ids, held, total = [], [], 0
 

@@ -573,6 +573,19 @@ def q_als_grid_search(spark, d):
     return recommend.grid_frame(spark, recommend.als_grid_search(train, val, **GRID))
 
 
+# the single setting and the two-rank grid that the reference uses for its larger files
+@register("als_grid_single")
+def q_als_grid_single(spark, d):
+    train, val, _ = _splits(spark, d)
+    return recommend.grid_frame(spark, recommend.als_grid_search(train, val, (8,), (0.01,), (20,)))
+
+
+@register("als_grid_ranks")
+def q_als_grid_ranks(spark, d):
+    train, val, _ = _splits(spark, d)
+    return recommend.grid_frame(spark, recommend.als_grid_search(train, val, (8, 12), (0.1,), (20,)))
+
+
 @register("als_predict")
 def q_als_predict(spark, d):
     train, _, test = _splits(spark, d)

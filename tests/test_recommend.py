@@ -18,6 +18,12 @@ def test_grid_best_is_min_validation(spark):
     assert best[0]["validation_rmse"] == min(r["validation_rmse"] for r in rows)
 
 
+def test_other_grids(spark):
+    for name, n in (("als_grid_single", 1), ("als_grid_ranks", 2)):
+        rows = catalog.QUERIES[name](spark, SF_SMALL).collect()
+        assert len(rows) == n and sum(r["best"] for r in rows) == 1
+
+
 def test_test_rmse_finite(spark):
     v = catalog.QUERIES["als_rmse"](spark, SF_SMALL).first()["test_rmse"]
     assert math.isfinite(v) and v >= 0

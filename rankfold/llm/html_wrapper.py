@@ -42,7 +42,7 @@ from rankfold.llm.url_redirects import host
 
 ship_by_value(__name__)
 
-MIN_PAGES = 4
+MIN_PAGES = 8
 CONSTANT = 0.75  # share of the pages; the summary may miss a part of the count
 SUMMARY = 64
 DEPTH = 40

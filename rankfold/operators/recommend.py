@@ -148,11 +148,10 @@ def item_mean_scored(train: DataFrame, rows: DataFrame, shrink: float = 0.0) ->
     """``rows`` with ``prediction``, the item's mean in ``train`` with ``shrink`` imaginary
     ratings at the mean of all of ``train``; null for items that train does not hold. A
     deterministic stand-in for a model: everything downstream treats it like ALS."""
-    mean = train.agg(F.avg("rating").alias("_mean"))  # one row
+    mean = train.agg(F.avg("rating")).first()[0] or 0.0
     per_item = train.groupBy("item_id").agg(F.sum("rating").alias("_s"), F.count(F.lit(1)).alias("_n"))
-    guess = (F.col("_s") + F.lit(float(shrink)) * F.col("_mean")) / (F.col("_n") + F.lit(float(shrink)))
-    per_item = per_item.join(F.broadcast(mean)).select(F.col("item_id"), guess.alias("prediction"))
-    return rows.join(per_item, "item_id", "left")
+    guess = (F.col("_s") + F.lit(float(shrink) * mean)) / (F.col("_n") + F.lit(float(shrink)))
+    return rows.join(per_item.select("item_id", guess.alias("prediction")), "item_id", "left")
 
 
 def grid_choice(settings, score) -> tuple[list[tuple], int]:

@@ -82,43 +82,57 @@ def _sketch(text: str) -> int:
     return min(zlib.crc32(" ".join(w[i:i + 5]).encode("utf-8", "surrogatepass")) for i in range(max(1, len(w) - 4)))
 
 
-def _marks_toxic(col: np.ndarray, bag: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+def _marks_toxic(pairs: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Features in three toxic documents or more whose log-odds for toxic documents is at
     least ``EVIDENCE``, one standard error deducted. The noisy-or is then fitted on these:
-    rare features that met toxic documents by chance would explain their labels away."""
-    pairs = np.unique(col.astype(np.int64) * len(y) + bag)
-    feature, toxic = pairs // len(y), y[pairs % len(y)]
-    t, c = np.bincount(feature[toxic], minlength=n), np.bincount(feature[~toxic], minlength=n)
+    rare features that met toxic documents by chance would explain their labels away.
+    ``pairs``: feature * documents + document, each once."""
+    feature, toxic = (pairs // len(y)).astype(np.int32), y[pairs % len(y)]
+    t, c = np.bincount(feature[toxic], minlength=DIMENSIONS), np.bincount(feature[~toxic], minlength=DIMENSIONS)
     odds = np.log((t + 0.5) / (y.sum() + 1)) - np.log((c + 0.5) / ((~y).sum() + 1))
     return (t >= 3) & (odds - np.sqrt(1 / (t + 0.5) + 1 / (c + 0.5)) > EVIDENCE)
 
 
 def train(texts: list[str], toxic: list[int], steps: int = 300, rate: float = 0.2, decay: float = 1e-5) -> Model:
-    """Adam on the noisy-or likelihood of document labels (both labels weigh the same)."""
-    known: dict[str, list[int]] = {}
-    ids, sentence_of, bag_of, seen, y = array("i"), array("i"), [], set(), []
-    n = 0
+    """Adam on the noisy-or likelihood of document labels (both labels weigh the same).
+
+    The sample is held as one number per word; features are looked up per distinct word."""
+    known: dict[str, int] = {}
+    words_, sentence_of, bag_of, seen, y = array("i"), array("i"), array("i"), set(), []
     for text, label in zip(texts, toxic):
         sketch = _sketch(text)
         if sketch in seen:
             continue
         seen.add(sketch)
         for _, _, words in sentences(text):
-            for w in words:
-                if w not in known:
-                    known[w] = features(w)
-                ids.extend(known[w])
-                sentence_of.extend([n] * len(known[w]))
+            words_.extend(known.setdefault(w, len(known)) for w in words)
+            sentence_of.extend([len(bag_of)] * len(words))
             bag_of.append(len(y))
-            n += 1
         y.append(bool(label))
-    y = np.array(y, dtype=bool)
+    y, n = np.array(y, dtype=bool), len(bag_of)
     if not n or y.all() or not y.any():
         return Model(np.zeros(DIMENSIONS, np.float32), -np.inf)
-    used, col = np.unique(np.array(ids), return_inverse=True)
-    row, bag = np.array(sentence_of), np.array(bag_of)
-    keep = _marks_toxic(col, bag[row], y, len(used))[col]
-    col, row = col[keep], row[keep]
+    of_word = np.full((len(known), 1 + len(PREFIXES)), -1, dtype=np.int32)
+    for i, w in enumerate(known):
+        f = features(w)
+        of_word[i, :len(f)] = f
+    del known
+    word, row, bag = (np.frombuffer(x, dtype=np.int32) for x in (words_, sentence_of, bag_of))
+    in_doc = np.unique(word.astype(np.int64) * len(y) + bag[row])
+    pairs = [np.where(of_word[in_doc // len(y), k] >= 0, of_word[in_doc // len(y), k].astype(np.int64) * len(y) + in_doc % len(y), -1)
+             for k in range(of_word.shape[1])]
+    pairs = np.unique(np.concatenate(pairs))
+    marks = _marks_toxic(pairs[pairs >= 0], y)
+    del in_doc, pairs
+    # the few entries (sentence, feature) of the features that are left
+    cols, rows = [], []
+    for k in range(of_word.shape[1]):
+        f = of_word[word, k]
+        keep = (f >= 0) & marks[f]
+        cols.append(f[keep])
+        rows.append(row[keep])
+    used, col = np.unique(np.concatenate(cols), return_inverse=True)
+    row = np.concatenate(rows)
     weigh = np.where(y, 0.5 / y.sum(), 0.5 / (~y).sum()) * len(y)
     w = np.zeros(len(used) + 1)
     w[-1] = -np.log(2.0 * n / len(y))  # the noisy-or of an average document starts near a half

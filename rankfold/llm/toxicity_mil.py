@@ -21,7 +21,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -82,24 +82,26 @@ def _sketch(text: str) -> int:
     return min(zlib.crc32(" ".join(w[i:i + 5]).encode("utf-8", "surrogatepass")) for i in range(max(1, len(w) - 4)))
 
 
-def _marks_toxic(pairs: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _marks_toxic(documents: list[np.ndarray], of_word: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Features in three toxic documents or more whose log-odds for toxic documents is at
     least ``EVIDENCE``, one standard error deducted. The noisy-or is then fitted on these:
-    rare features that met toxic documents by chance would explain their labels away.
-    ``pairs``: feature * documents + document, each once."""
-    feature, toxic = (pairs // len(y)).astype(np.int32), y[pairs % len(y)]
-    t, c = np.bincount(feature[toxic], minlength=DIMENSIONS), np.bincount(feature[~toxic], minlength=DIMENSIONS)
+    rare features that met toxic documents by chance would explain their labels away."""
+    counts = np.zeros((2, DIMENSIONS), dtype=np.int64)  # documents of either label that have the feature
+    for words, toxic in zip(documents, y):
+        found = np.unique(of_word[np.unique(words)])
+        counts[int(toxic), found[found >= 0]] += 1
+    c, t = counts
     odds = np.log((t + 0.5) / (y.sum() + 1)) - np.log((c + 0.5) / ((~y).sum() + 1))
     return (t >= 3) & (odds - np.sqrt(1 / (t + 0.5) + 1 / (c + 0.5)) > EVIDENCE)
 
 
-def train(texts: list[str], toxic: list[int], steps: int = 300, rate: float = 0.2, decay: float = 1e-5) -> Model:
+def train(sample: Iterable[tuple[str, int]], steps: int = 300, rate: float = 0.2, decay: float = 1e-5) -> Model:
     """Adam on the noisy-or likelihood of document labels (both labels weigh the same).
 
     The sample is held as one number per word; features are looked up per distinct word."""
     known: dict[str, int] = {}
     words_, sentence_of, bag_of, seen, y = array("i"), array("i"), array("i"), set(), []
-    for text, label in zip(texts, toxic):
+    for text, label in sample:
         sketch = _sketch(text)
         if sketch in seen:
             continue
@@ -118,12 +120,7 @@ def train(texts: list[str], toxic: list[int], steps: int = 300, rate: float = 0.
         of_word[i, :len(f)] = f
     del known
     word, row, bag = (np.frombuffer(x, dtype=np.int32) for x in (words_, sentence_of, bag_of))
-    in_doc = np.unique(word.astype(np.int64) * len(y) + bag[row])
-    pairs = [np.where(of_word[in_doc // len(y), k] >= 0, of_word[in_doc // len(y), k].astype(np.int64) * len(y) + in_doc % len(y), -1)
-             for k in range(of_word.shape[1])]
-    pairs = np.unique(np.concatenate(pairs))
-    marks = _marks_toxic(pairs[pairs >= 0], y)
-    del in_doc, pairs
+    marks = _marks_toxic(np.split(word, np.searchsorted(bag[row], np.arange(1, len(y)))), of_word, y)
     # the few entries (sentence, feature) of the features that are left
     cols, rows = [], []
     for k in range(of_word.shape[1]):
@@ -200,8 +197,8 @@ def fit(docs: DataFrame, labels: DataFrame, bound: SampleBound = SampleBound())
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").filter("text IS NOT NULL")
     upto = Window.orderBy(*order, "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     share = texts.withColumn("size", F.length("text").cast("long")).orderBy(*order, "text").limit(2 * bound.rows_per_label)
-    rows = share.withColumn("upto", F.sum("size").over(upto)).filter(F.col("upto") <= bound.characters).select("text", "toxic").collect()
-    return train([r[0] for r in rows], [int(r[1]) for r in rows])
+    rows = share.withColumn("upto", F.sum("size").over(upto)).filter(F.col("upto") <= bound.characters).select("text", "toxic")
+    return train((r[0], int(r[1])) for r in rows.toLocalIterator())
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> Column:

@@ -57,8 +57,8 @@ def sketches(items: DataFrame, threshold: float = THRESHOLD, shingle: int = SHIN
                       (F.col("k") - missing).alias("need"))
 
 
-def candidates(docs: DataFrame, sketch: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, text_hash, item_id, words of the item) that share enough of the sketch."""
+def candidates(docs: DataFrame, sketch: DataFrame) -> DataFrame | None:
+    """(doc_id, text_hash, item_id) that share enough of the sketch; None without sketches."""
     rows = sketch.select("item_id", "len", "n", "need", F.explode("sketch").alias("hash"))
     lengths = sorted(r[0] for r in sketch.select("len").distinct().collect())  # at most five values
     many = rows.count()
@@ -80,7 +80,7 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESH
     item of whose distinct shingles the document holds the share ``threshold`` or more."""
     docs = docs.select("doc_id", "text")
     sketch = written(sketches(items.select("item_id", "text"), threshold, shingle), "decon-sketch")
-    pairs = candidates(docs, sketch, threshold)
+    pairs = candidates(docs, sketch)
     if pairs is None:
         none = F.lit(None).cast(items.schema["item_id"].dataType)
         pairs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), none.alias("item_id")).limit(0)

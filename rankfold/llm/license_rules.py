@@ -151,8 +151,10 @@ def mentions(docs: DataFrame) -> DataFrame:
 
 def detections(found: DataFrame) -> DataFrame:
     """One row per match: doc_id, text_hash, start, end, label, form, priority, weight, kept."""
-    places = (found.filter(F.size("places") > 0).select("doc_id", "text_hash", "places").distinct()
-              .select("doc_id", "text_hash", F.explode("places").alias("p")).select("doc_id", "text_hash", "p.*"))
+    places = (found.filter(F.size("places") > 0).select("doc_id", "text_hash", F.explode("places").alias("p"))
+              .select("doc_id", "text_hash", "p.*"))
+    # few bytes but hundreds of patterns each: a fixed number of partitions, which AQE leaves as it is
+    places = places.repartition(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", "text_hash")
     tried = places.join(F.broadcast(rule_table(found.sparkSession)), "keyword")  # a fixed table
     hit = F.regexp_substr("stretch", F.col("pattern"))
     before, after = F.substring_index("hit", "@", 1), F.substring_index("hit", "@", -1)

@@ -47,8 +47,9 @@ from rankfold.session import scratch_path
 
 ship_by_value(__name__)
 
-BLOCK = 1024
+BLOCK = 4096
 SHARE = 0.95
+WHOLE_BYTES = (8, 16, 32)  # widths whose packed bits are plain little-endian numbers
 SEGMENT = 1_000_000
 MEMO = 700_000
 HEAD = "<4sHHIQI"
@@ -69,9 +70,13 @@ def encode(ids: np.ndarray, starts: np.ndarray, block: int = BLOCK, share: float
         fit = int(np.partition(delta, k := min(len(part) - 1, int(share * len(part))))[k])
         width = fit.bit_length()
         out = np.flatnonzero(delta >> np.uint32(width)) if width < 32 else np.array([], dtype=np.int64)
-        bits = np.unpackbits(delta.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
+        if width in WHOLE_BYTES:
+            packed = delta.astype(f"<u{width // 8}").tobytes()
+        else:
+            bits = np.unpackbits(delta.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
+            packed = np.packbits(bits, bitorder="little").tobytes()
         blocks.append(struct.pack(BLOCK_HEAD, low, width, len(out)) + out.astype("<u2").tobytes()
-                      + delta[out].astype("<u4").tobytes() + np.packbits(bits, bitorder="little").tobytes())
+                      + delta[out].astype("<u4").tobytes() + packed)
     offsets = np.cumsum([0, *map(len, blocks)]).astype("<u8")
     head = struct.pack(HEAD, b"PFOR", 1, block, len(starts), len(ids), len(blocks))
     return b"".join([head, np.append(starts, len(ids)).astype("<u8").tobytes(), offsets.tobytes(), *blocks])
@@ -96,10 +101,13 @@ class Segment:
         at += struct.calcsize(BLOCK_HEAD)
         where = np.frombuffer(self.payload, "<u2", n_out, at)
         value = np.frombuffer(self.payload, "<u4", n_out, at + 2 * n_out)
-        packed = np.frombuffer(self.payload, np.uint8, (n * width + 7) // 8, at + 6 * n_out)
-        bits = np.zeros((n, 32), dtype=np.uint8)
-        bits[:, :width] = np.unpackbits(packed, count=n * width, bitorder="little").reshape(n, width)
-        delta = np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
+        if width in WHOLE_BYTES:
+            delta = np.frombuffer(self.payload, f"<u{width // 8}", n, at + 6 * n_out).astype(np.uint32)
+        else:
+            packed = np.frombuffer(self.payload, np.uint8, (n * width + 7) // 8, at + 6 * n_out)
+            bits = np.zeros((n, 32), dtype=np.uint8)
+            bits[:, :width] = np.unpackbits(packed, count=n * width, bitorder="little").reshape(n, width)
+            delta = np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
         delta[where] = value
         return delta + np.uint32(low)
 
@@ -124,6 +132,7 @@ class Encoder:
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         space = ("\u0120", "\u010a")  # how byte-level tokens write a space and a line feed
         self.starts = np.array([t.startswith(space) for t in tokens])
+        self.marks = {c: self.whole(c) for c in ".,"}
         self.blank = np.array([bool(t) and not t.strip("".join(space)) for t in tokens])
 
     def whole(self, text: str) -> bytes:
@@ -132,8 +141,13 @@ class Encoder:
     def learn(self, chunks: list[str]) -> None:
         """Encode chunks into the memo. Those of the form space + visible are joined: no token
         reaches over their borders, and a border is a token that starts with space after one
-        that is not all space."""
-        joined = [c for c in chunks if c[0] in " \n" and c[-1] not in " \n"]
+        that is not all space. A full stop or comma after a Latin letter is a token of its own, so
+        such a chunk is put together from its stem."""
+        whole = self.memo
+        stems = {c: c[:-1] for c in chunks if c[-1] in ".," and c[-2:-1].isalpha() and c[-2] < "\u0250"}
+        need = {s for s in stems.values() if s not in whole}
+        need.update(c for c in chunks if c not in stems)
+        joined = [c for c in need if c[0] in " \n" and c[-1] not in " \n"]
         if joined:
             e = self.tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0]
             ids = np.array(e.ids, dtype="<u4")
@@ -142,23 +156,31 @@ class Encoder:
             at = np.append(np.flatnonzero(border), len(ids)) * 4
             if len(at) == len(joined) + 1:
                 data = ids.tobytes()
-                self.memo.update(zip(joined, (data[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist()))))
-        for c in chunks:
-            if c not in self.memo:
-                self.memo[c] = self.whole(c)
+                whole.update(zip(joined, map(data.__getitem__, map(slice, at[:-1].tolist(), at[1:].tolist()))))
+        for c in need:
+            if c not in whole:
+                whole[c] = self.whole(c)
+        for c, stem in stems.items():
+            whole[c] = whole[stem] + self.marks[c[-1]]
+
+    def chunks(self, text: str) -> list[str] | None:
+        """Cut ``text`` where the library surely cuts it; None if it must be encoded whole."""
+        if OTHER_SPACE.search(text) or any(s in text for s in self.special):
+            return None
+        return CHUNK.findall(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO:
             self.memo.clear()
         known, rows, new = self.memo.get, [], set()
         for t in texts:
-            if OTHER_SPACE.search(t) or any(s in t for s in self.special):
+            chunks = self.chunks(t)
+            if chunks is None:
                 rows.append(([], [self.whole(t)], []))
                 continue
-            chunks = CHUNK.findall(t)
             coded = list(map(known, chunks))
             missing = [i for i, v in enumerate(coded) if v is None]
-            new.update(chunks[i] for i in missing)
+            new.update([chunks[i] for i in missing])
             rows.append((chunks, coded, missing))
         self.learn(list(new))
         for chunks, coded, missing in rows:

@@ -8,7 +8,9 @@ sentences offend.
 
 The model is fitted on a bounded sample of labelled documents (``SampleBound``: at most so
 many rows of each label and so many characters in all, chosen by the hash of the id), on the
-driver; its weights are one fixed-size array. All documents are scored whole, in tasks.
+driver; its weights are one fixed-size array. A document that does not fit what is left of the
+bound is passed over, documents of more than a 64th of it are taken after all others, and each
+label has half of it before the other may use it. All documents are scored whole, in tasks.
 
 Nulls: a null text is an empty text and scores 0, like any text without a word. Rows with a
 null id or label are not trained on. Repeated labels of an id count as toxic if any is.
@@ -49,6 +51,11 @@ class SampleBound:
     rows_per_label: int = 2000
     characters: int = 16_000_000
 
+    @property
+    def long(self) -> int:
+        """Characters from which on a document is taken only after all shorter ones."""
+        return self.characters // 64
+
 
 @dataclass(frozen=True)
 class Model:
@@ -187,18 +194,53 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, bound: SampleBound = SampleBound()) -> Model:
-    """Train on the bounded sample of rows of ``labels`` that are not held out."""
+def within(sizes: list[tuple[int, int]], characters: int) -> list[int]:
+    """Positions of the (label, size) rows that fit ``characters``, in order: each label first
+    fills its half, then the rows passed over fill what is left. A row that does not fit is
+    passed over and ends nothing."""
+    taken, left = set(), characters
+    for label in (0, 1):
+        room = characters // 2
+        for i, (k, size) in enumerate(sizes):
+            if k == label and size <= room:
+                taken.add(i)
+                room, left = room - size, left - size
+    for i, (_, size) in enumerate(sizes):
+        if i not in taken and size <= left:
+            taken.add(i)
+            left -= size
+    return sorted(taken)
+
+
+def sample(docs: DataFrame, labels: DataFrame, bound: SampleBound = SampleBound()) -> DataFrame:
+    """The bounded sample (text, toxic) of labelled rows that are not held out, in order of the
+    hash of the id.
+
+    Chosen by numbers alone (id, hash and size of each different text of an id), so that only
+    the texts of the sample move. Long documents (``SampleBound.long``) and further texts of an
+    id come after the others."""
     known = (labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = [known.filter(F.col("toxic") == k).orderBy(*order).limit(bound.rows_per_label) for k in (0, 1)]
-    sample = chosen[0].unionByName(chosen[1])  # at most 2 * rows_per_label rows
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").filter("text IS NOT NULL")
-    upto = Window.orderBy(*order, "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    share = texts.withColumn("size", F.length("text").cast("long")).orderBy(*order, "text").limit(2 * bound.rows_per_label)
-    rows = share.withColumn("upto", F.sum("size").over(upto)).filter(F.col("upto") <= bound.characters).select("text", "toxic")
-    return train((r[0], int(r[1])) for r in rows.toLocalIterator())
+    texts = docs.filter("text IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("mark"), F.length("text").cast("long").alias("size"))
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("mark", "size"))
+    rows = (texts.select("doc_id", "mark", "size").distinct().join(known, "doc_id")
+            .withColumn("nth", nth).filter(F.col("nth") <= bound.rows_per_label)
+            .select("doc_id", "mark", "size", "toxic", "nth", F.xxhash64("doc_id").alias("at"), (F.col("size") > bound.long).alias("long")))
+    order = ["long", "nth", "at", "doc_id", "mark"]
+    found = [r for k in (0, 1) for r in rows.filter(F.col("toxic") == k).orderBy(*order).limit(bound.rows_per_label).collect()]
+    found.sort(key=lambda r: tuple(r[c] for c in order))
+    chosen = [found[i] for i in within([(r["toxic"], r["size"]) for r in found], bound.characters)]
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    keys = docs.sparkSession.createDataFrame([(r["doc_id"], r["mark"], r["size"], int(r["toxic"])) for r in chosen],
+                                             f"doc_id {kind}, mark long, size long, toxic int")
+    whole = texts.join(F.broadcast(keys), ["doc_id", "mark", "size"]).groupBy("doc_id", "mark", "size").agg(
+        F.first("text").alias("text"), F.first("toxic").alias("toxic"))
+    return whole.orderBy(F.xxhash64("doc_id"), "doc_id", "text").select("text", "toxic")
+
+
+def fit(docs: DataFrame, labels: DataFrame, bound: SampleBound = SampleBound()) -> Model:
+    """Train on the bounded sample of rows of ``labels`` that are not held out."""
+    return train((r[0], int(r[1])) for r in sample(docs, labels, bound).toLocalIterator())
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> Column:

@@ -75,3 +75,29 @@ def test_clean_documents_stay(fitted):
     kept = toxicity_mil.without_toxic(docs, model)
     clean = docs.filter("truth = 0")
     assert clean.join(kept, "doc_id", "left_anti").count() <= 0.02 * clean.count()
+
+
+def test_long_documents_and_repeated_ids_leave_the_sample_whole(spark):
+    docs, labels = corpus(spark)
+    bound = toxicity_mil.SampleBound(rows_per_label=300, characters=200_000)
+    first = labels.filter(~toxicity_mil.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id")).first().doc_id
+    ahead = [i for i in range(1000, 3000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    ahead = spark.createDataFrame([(i,) for i in ahead], "doc_id long").filter(F.xxhash64("doc_id") < F.xxhash64(F.lit(first))).limit(3).collect()
+    assert ahead  # ids that come before all others
+    long = [(r.doc_id, "grey " * 60_000 + str(r.doc_id), 0) for r in ahead]
+    more = docs.unionByName(spark.createDataFrame(long, "doc_id long, text string, truth int"))
+    known = labels.unionByName(spark.createDataFrame([(i, 0) for i, _, _ in long], "doc_id long, toxic int"))
+    copies = docs.filter(F.col("doc_id") == first).crossJoin(spark.range(700).select()).select(docs.columns)
+    got = toxicity_mil.sample(more.unionByName(copies), known, bound)
+    want = toxicity_mil.sample(docs, labels, bound)
+    assert want.count() > 100 and [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
+    model = toxicity_mil.fit(more.unionByName(copies), known, bound)
+    assert model.bias > -100
+    rows = toxicity_mil.toxicity(docs, model).join(docs, "doc_id").collect()
+    assert sum(r.predicted == r.truth for r in rows) >= 0.95 * len(rows)
+
+
+def test_a_document_that_does_not_fit_is_passed_over():
+    assert toxicity_mil.within([(0, 90), (0, 30), (1, 40), (0, 20), (1, 11)], 100) == [1, 2, 3]
+    assert toxicity_mil.within([(0, 300), (1, 300)], 100) == []
+    assert toxicity_mil.within([(0, 40), (0, 40), (1, 10)], 100) == [0, 1, 2]  # what a label leaves, the other may use

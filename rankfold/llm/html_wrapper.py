@@ -2,20 +2,20 @@
 
 Every page becomes a tree of its block elements. The trees of a host are aligned with Simple
 Tree Matching (the order-preserving matching of children that joins most nodes) and merged
-into one template tree. A template node counts the pages it stands on and summarises the
-texts found in it (a mergeable frequent-items summary of text hashes). A text that stands in
-the same node on nearly all pages of the host is part of the wrapper; texts that vary are
-content, unless their element is a menu, header, footer, sidebar, notice, advert, form or
+into one template tree, whose nodes are the places of texts. A text that stands in the same
+node on nearly all pages of the host, counted exactly, is part of the wrapper; texts that vary
+are content, unless their element is a menu, header, footer, sidebar, notice, advert, form or
 comment section by its tag, role or class. On pages with an ``article`` or ``main`` element
 only what lies inside it counts.
 
 Templates are merged where the pages are: each task folds its own pages into one template
 per host, and only these small trees are shuffled and merged, in two levels, so a host with
-most of all pages is no hot group. The wrappers (the constant texts of each host) are joined
+most of all pages is no hot group. Texts are counted as (host, node, text) hashes of each
+different page, summed in the tasks first. The wrappers (the constant texts of each host) are joined
 to the pages for extraction, broadcast only when their counted rows are few.
 
-Pages with the same text count once within a task, and a template made of fewer than
-``MIN_PAGES`` different pages has no constant texts, so copies of a page do not make its text
+Pages of a host with the same text count once, and a host with fewer than ``MIN_PAGES``
+different pages has no constant texts, so copies of a page do not make its text
 a wrapper. Nulls: a null html is an empty page with empty text; pages without a host are one
 group. Repeated rows each get their row. An empty table gives an empty result. Other columns
 are ignored.
@@ -23,11 +23,11 @@ are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import math
 import re
-import zlib
 from collections.abc import Iterator
 from typing import Any
 
@@ -43,10 +43,8 @@ from rankfold.llm.url_redirects import host
 ship_by_value(__name__)
 
 MIN_PAGES = 8
-CONSTANT = 0.75  # share of the pages; the summary may miss a part of the count
-SUMMARY = 64
+CONSTANT = 0.75  # share of the pages
 DEPTH = 40
-PAGE_HASHES = 64
 BROADCAST_HOSTS = 50_000
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -204,23 +202,21 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, float]]]:
 
 
 def text_hash(text: str) -> int:
-    return zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def _count(summary: dict[str, int], more: dict[str, int]) -> dict[str, int]:
-    """Add two frequent-items summaries (Misra-Gries, mergeable)."""
-    for k, v in more.items():
-        summary[k] = summary.get(k, 0) + v
-    if len(summary) > SUMMARY:
-        least = sorted(summary.values(), reverse=True)[SUMMARY]
-        summary = {k: v - least for k, v in summary.items() if v > least}
-    return summary
+def path_of(node: Node) -> str:
+    path = ""
+    while node is not None:
+        path = f"/{node.key}{path}"
+        node = node.parent
+    return path
 
 
-# A template node is [key, pages, summary of text hashes, children]; children of one key are one node.
+# A template node is [key, pages, texts of the page with most, children]; children of one key are one node.
 
 def template_of(node: Node) -> list:
-    out = [node.key, 1, {str(text_hash(t)): 1 for t in node.texts}, []]
+    out = [node.key, 1, len(node.texts), []]
     at = {}
     for child in node.children:
         c = template_of(child)
@@ -252,9 +248,9 @@ def merge(a: list, b: list, same_page: bool = False) -> None:
     """Merge tree ``b`` into ``a`` along their matching; unmatched children are kept."""
     if not same_page:
         a[1] += b[1]
-        a[2] = _count(a[2], b[2])
+        a[2] = max(a[2], b[2])
     else:
-        a[2] = a[2] | b[2]  # a text counts once a page
+        a[2] += b[2]
     xs, ys = a[3], b[3]
     if [x[0] for x in xs] == [y[0] for y in ys]:
         for x, y in zip(xs, ys):
@@ -277,52 +273,59 @@ def merge(a: list, b: list, same_page: bool = False) -> None:
     a[3] = out[::-1]
 
 
-def fold(held: dict | None, new: dict) -> dict:
-    """Join two host templates ({"pages": hashes of some pages, "tree": template})."""
+def fold(held: list | None, new: list) -> list:
+    """Join two host templates."""
     if held is None:
         return new
-    fresh = [h for h in new["pages"] if h not in held["pages"]]
-    if not fresh and len(new["pages"]) == new["tree"][1]:
-        return held  # only pages that are counted already
-    merge(held["tree"], new["tree"])
-    held["pages"] = (held["pages"] + fresh)[:PAGE_HASHES]
+    merge(held, new)
     return held
 
 
-def constants(template: dict) -> list[str]:
-    """"path hash" of the texts that stand in the same node on nearly all pages."""
-    out: list[str] = []
-    tree = template["tree"]
-    if tree[1] < MIN_PAGES or len(template["pages"]) < MIN_PAGES:
-        return out
-    stack = [(tree, "")]
+def places(template: list) -> list[int]:
+    """Hashes of the paths of the template's nodes that hold texts."""
+    out, stack = set(), [(template, "")]
     while stack:
-        (key, pages, summary, children), path = stack.pop()
+        (key, _, texts, children), path = stack.pop()
         path = f"{path}/{key}"
-        out += [f"{path} {h}" for h, n in summary.items() if n >= max(MIN_PAGES, CONSTANT * tree[1])]
+        if texts:
+            out.add(text_hash(path))
         stack += [(c, path) for c in children]
     return sorted(out)
 
 
+PAGES = "host string, part int, mark long, nodes array<long>, texts array<long>, template string"
+PAGES_ARROW = pa.schema([("host", pa.string()), ("part", pa.int32()), ("mark", pa.int64()), ("nodes", pa.list_(pa.int64())),
+                         ("texts", pa.list_(pa.int64())), ("template", pa.string())])
+
+
 def induce(pages: DataFrame) -> DataFrame:
     """(host, wrapper): a JSON list of each host's constant texts."""
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held, seen = TaskContext.get().partitionId(), {}, set()
         for b in batches:
+            rows = []
             for h, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
                 root, found = parse(page or "")
                 mark = text_hash("\n".join(t for _, t, _ in found))
-                if (h, mark) in seen:
+                hashes: dict[Node, int] = {}
+                for node, _, _ in found:
+                    if node not in hashes:
+                        hashes[node] = text_hash(path_of(node))
+                slots = sorted({(hashes[node], text_hash(t)) for node, t, _ in found})  # a text counts once a page
+                same = (h, mark, hash(tuple(slots)))
+                if same in seen:
                     continue
-                seen.add((h, mark))
-                held[h] = fold(held.get(h), {"pages": [mark], "tree": template_of(root)})
+                seen.add(same)
+                held[h] = fold(held.get(h), template_of(root))
+                rows.append((h, part, mark, [n for n, _ in slots], [t for _, t in slots], None))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), PAGES_ARROW)], schema=PAGES_ARROW)
         names = sorted(held)
         for i in range(0, len(names), 256):
-            some = names[i:i + 256]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([part] * len(some), pa.int32()),
-                                              pa.array([json.dumps(held[h]) for h in some], pa.string())], names=["host", "part", "template"])
+            rows = [(h, part, None, None, None, json.dumps(held[h])) for h in names[i:i + 256]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), PAGES_ARROW)], schema=PAGES_ARROW)
 
-    def joined(templates) -> dict:
+    def joined(templates) -> list:
         out = None
         for t in sorted(templates):
             out = fold(out, json.loads(t))
@@ -332,14 +335,25 @@ def induce(pages: DataFrame) -> DataFrame:
         return pd.DataFrame({"host": [key[0]], "template": [json.dumps(joined(pdf["template"]))]})
 
     def all_(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": [key[0]], "wrapper": [json.dumps(constants(joined(pdf["template"])))]})
+        return pd.DataFrame({"host": [key[0]], "places": [places(joined(pdf["template"]))]})
 
-    trees = written(pages.select(host(F.coalesce("url", F.lit(""))).alias("host"), "html")
-                    .mapInArrow(local, "host string, part int, template string"), "wrapper-trees")
+    read = written(pages.select(host(F.coalesce("url", F.lit(""))).alias("host"), "html").mapInArrow(local, PAGES), "wrapper-pages")
+    trees = read.filter("template IS NOT NULL")
     parts = (trees.agg(F.max("part")).first()[0] or 0) + 1
     groups = F.pmod(F.col("part"), F.lit(math.isqrt(parts) + 1)).alias("group")
     merged = trees.select("host", groups, "template").groupBy("host", "group").applyInPandas(some, "host string, template string")
-    return merged.groupBy("host").applyInPandas(all_, "host string, wrapper string")
+    templates = merged.groupBy("host").applyInPandas(all_, "host string, places array<long>")
+    # of pages with the same text one counts, whatever its markup
+    different = written(read.filter("mark IS NOT NULL").groupBy("host", "mark").agg(F.min(F.struct("nodes", "texts")).alias("s"))
+                        .select("host", "s.*"), "wrapper-different")
+    hosts = different.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= MIN_PAGES)
+    slots = (different.select("host", F.explode(F.arrays_zip("nodes", "texts")).alias("s")).groupBy("host", "s.nodes", "s.texts")
+             .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_PAGES))
+    constant = slots.join(hosts, "host").filter(F.col("n") >= CONSTANT * F.col("pages"))
+    found = constant.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("nodes", "texts"))).alias("found"))
+    kept = F.filter("found", lambda s: F.array_contains("places", s["nodes"]))
+    return found.join(templates, "host").select(
+        "host", F.to_json(F.transform(kept, lambda s: F.concat_ws(" ", s["nodes"].cast("string"), s["texts"].cast("string")))).alias("wrapper"))
 
 
 def main_text(page: str | None, wrapper: set[str]) -> str:
@@ -349,16 +363,15 @@ def main_text(page: str | None, wrapper: set[str]) -> str:
     inside = [x for x in open_ if x[0].main]
     out = []
     for node, text, share in inside or open_:
-        in_list, path, up = False, "", node
+        in_list, up = False, node
         while up is not None:
             in_list |= up.tag in ("li", "dt", "dd")
-            path = f"/{up.key}{path}"
             up = up.parent
         if node.tag not in HEADINGS and in_main_header(node):
             continue
         if (in_list or not inside) and share > 0.8:
             continue  # a menu entry
-        if f"{path} {text_hash(text)}" in wrapper:
+        if wrapper and f"{text_hash(path_of(node))} {text_hash(text)}" in wrapper:
             continue
         out.append(text)
     return " ".join(out)

@@ -73,3 +73,17 @@ def test_odd_rows(spark, monkeypatch):
     assert html_wrapper.page_text(pages_of(spark, [])).count() == 0
     monkeypatch.setattr(html_wrapper, "BROADCAST_HOSTS", 0)
     assert html_wrapper.page_text(pages_of(spark, rows)).count() == 4
+
+
+@pytest.mark.parametrize("n, paragraphs", [(8, 40), (30, 25), (200, 60)])
+def test_constant_texts_among_many_varying_ones(spark, n, paragraphs):
+    rows = [(i, f"https://a.example/{i}", "<article>" + "".join(f"<p>Line {k} of {i}.</p>" for k in range(paragraphs)) + "<p>Read on tomorrow</p></article>", "x")
+            for i in range(n)]
+    got = {r.page_id: r.text for r in html_wrapper.page_text(pages_of(spark, rows + rows[:3]).repartition(5)).collect()}
+    assert got == {i: " ".join(f"Line {k} of {i}." for k in range(paragraphs)) for i in range(n)}
+
+
+def test_copies_in_other_tasks_do_not_count(spark):
+    rows = [(i, "https://a.example/x", f"<p>Told {i % 2}</p><p>Same on both</p>", "x") for i in range(70)]
+    got = html_wrapper.page_text(pages_of(spark, rows).repartition(9)).collect()  # two different pages
+    assert sorted(r.text for r in got) == sorted(f"Told {i % 2} Same on both" for i in range(70))

@@ -14,9 +14,9 @@ most of all pages is no hot group. Texts are counted as (host, node, text) hashe
 different page, summed in the tasks first. The wrappers (the constant texts of each host) are joined
 to the pages for extraction, broadcast only when their counted rows are few.
 
-Pages of a host with the same text count once, and a host with fewer than ``MIN_PAGES``
-different pages has no constant texts, so copies of a page do not make its text
-a wrapper. Nulls: a null html is an empty page with empty text; pages without a host are one
+Pages of a host whose content by tag and class is the same text count once, whatever stands in
+their menus and footers, and a host with fewer than ``MIN_PAGES`` different pages has no constant
+texts, so copies of a page do not make its text a wrapper. Nulls: a null html is an empty page with empty text; pages without a host are one
 group. Repeated rows each get their row. An empty table gives an empty result. Other columns
 are ignored.
 """
@@ -42,7 +42,7 @@ from rankfold.llm.url_redirects import host
 
 ship_by_value(__name__)
 
-MIN_PAGES = 8
+MIN_PAGES = 3  # of two pages none shows which of their common texts is content
 CONSTANT = 0.75  # share of the pages
 DEPTH = 40
 BROADCAST_HOSTS = 50_000
@@ -306,7 +306,7 @@ def induce(pages: DataFrame) -> DataFrame:
             rows = []
             for h, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
                 root, found = parse(page or "")
-                mark = text_hash("\n".join(t for _, t, _ in found))
+                mark = text_hash("\n".join(t for _, t in content(found)))
                 hashes: dict[Node, int] = {}
                 for node, _, _ in found:
                     if node not in hashes:
@@ -356,12 +356,11 @@ def induce(pages: DataFrame) -> DataFrame:
         "host", F.to_json(F.transform(kept, lambda s: F.concat_ws(" ", s["nodes"].cast("string"), s["texts"].cast("string")))).alias("wrapper"))
 
 
-def main_text(page: str | None, wrapper: set[str]) -> str:
-    """The page's content: varying texts of the article, or of the page if it has none."""
-    _, found = parse(page or "")
+def content(found: list[tuple[Node, str, float]]) -> Iterator[tuple[Node, str]]:
+    """The (element, text) of a parsed page that are content by their elements: those of the
+    article, or of the page if it has none."""
     open_ = [(node, text, share) for node, text, share in found if not node.dropped]
     inside = [x for x in open_ if x[0].main]
-    out = []
     for node, text, share in inside or open_:
         in_list, up = False, node
         while up is not None:
@@ -371,10 +370,14 @@ def main_text(page: str | None, wrapper: set[str]) -> str:
             continue
         if (in_list or not inside) and share > 0.8:
             continue  # a menu entry
-        if wrapper and f"{text_hash(path_of(node))} {text_hash(text)}" in wrapper:
-            continue
-        out.append(text)
-    return " ".join(out)
+        yield node, text
+
+
+def main_text(page: str | None, wrapper: set[str]) -> str:
+    """The page's content without the texts of the host's wrapper."""
+    _, found = parse(page or "")
+    return " ".join(text for node, text in content(found)
+                    if not wrapper or f"{text_hash(path_of(node))} {text_hash(text)}" not in wrapper)
 
 
 def in_main_header(node: Node) -> bool:

@@ -87,3 +87,11 @@ def test_copies_in_other_tasks_do_not_count(spark):
     rows = [(i, "https://a.example/x", f"<p>Told {i % 2}</p><p>Same on both</p>", "x") for i in range(70)]
     got = html_wrapper.page_text(pages_of(spark, rows).repartition(9)).collect()  # two different pages
     assert sorted(r.text for r in got) == sorted(f"Told {i % 2} Same on both" for i in range(70))
+
+
+@pytest.mark.parametrize("n", [3, 4, 7])
+def test_hosts_of_few_pages_have_a_wrapper(spark, n):
+    rows = [(i, f"https://a.example/{i}", f"<div class=top>Welcome to A</div><p>Story {i} told once.</p><p>Sign off line</p>", "x") for i in range(n)]
+    rows += [(100 + i, f"https://b.example/{i}", f"<nav>Menu {i}</nav><p>The same copy</p><footer>At {i}</footer>", "x") for i in range(n)]
+    got = {r.page_id: r.text for r in html_wrapper.page_text(pages_of(spark, rows).repartition(3)).collect()}
+    assert got == {i: f"Story {i} told once." for i in range(n)} | {100 + i: "The same copy" for i in range(n)}

@@ -5,7 +5,7 @@ Tree Matching (the order-preserving matching of children that joins most nodes)
 into one template tree, whose nodes are the places of texts. A text that stands in the same
 node on nearly all pages of the host, counted exactly, is part of the wrapper; texts that vary
 are content, unless their element is a menu, header, footer, sidebar, notice, advert, form or
-comment section by its tag, role or class. On pages with an ``article`` or ``main`` element
+comment section by its tag, role or class; classes do not drop the article (see ``_drop``). On pages with an ``article`` or ``main`` element
 only what lies inside it counts.
 
 Templates are merged where the pages are: each task folds its own pages into one template
@@ -76,30 +76,68 @@ MARKS = set("ad ads advert adverts advertisement advertising adsense sponsor spo
             "copyright legal disclaimer skip search form".split())
 
 
-class Node:
-    __slots__ = ("key", "tag", "children", "texts", "dropped", "main", "parent", "depth")
-
-    def __init__(self, key, tag, parent, dropped, main):
-        self.key, self.tag, self.parent, self.dropped, self.main = key, tag, parent, dropped, main
-        self.children, self.texts, self.depth = [], [], parent.depth + 1 if parent else 0
+STATES = set("no not has have with without hide is".split())
 
 
-def _role(tag: str, attributes: dict[str, str], parent: Node) -> tuple[str, bool, bool]:
-    """(key, dropped, main) of an element."""
-    names = [w.lower() for a in ("class", "id") for w in re.split(r"[\s_-]+", attributes.get(a, "")) if w]
+class Node:
+    __slots__ = ("key", "tag", "children", "texts", "dropped", "marked", "main", "holds", "parent", "depth")
+
+    def __init__(self, key, tag, parent, dropped, marked, main):
+        self.key, self.tag, self.parent, self.dropped, self.marked, self.main = key, tag, parent, dropped, marked, main
+        self.children, self.texts, self.depth, self.holds = [], [], parent.depth + 1 if parent else 0, False
+        if main and not parent.main:  # the elements around an article
+            while parent is not None and not parent.holds:
+                parent.holds, parent = True, parent.parent
+
+
+def _mark(attributes: dict[str, str]) -> int:
+    """2 if a whole class or id is one of ``MARKS``, 1 if a word of one is, else 0. A class
+    that tells a state ("has-sidebar", "no-comments") is no mark."""
+    names = [w.lower() for a in ("class", "id") for w in attributes.get(a, "").split()]
+    if not MARKS.isdisjoint(names):
+        return 2
+    words = [re.split("[_-]+", w) for w in names]
+    return int(any(w[0] not in STATES and not MARKS.isdisjoint(w) for w in words))
+
+
+def _drop(nodes: list[Node]) -> None:
+    """Apply the marks to the elements of a page, in page order, and hand drops down.
+
+    An article is not dropped by its own marks, nor what lies around it by a word of a class
+    or id; by a whole one only if the page has another article. Headings and sections of an
+    article go by a whole class or id only."""
+    fixed = [n.dropped for n in nodes]
+    for whole_around in (True, False):
+        for n, own in zip(nodes, fixed):
+            if n.main and not n.parent.main:
+                marked = False
+            elif n.holds:
+                marked = whole_around and n.marked == 2
+            elif n.main and (n.tag == "section" or n.tag in HEADINGS):
+                marked = n.marked == 2
+            else:
+                marked = n.marked > 0
+            n.dropped = n.parent.dropped or own or marked
+        if any(n.main and not n.dropped for n in nodes):
+            return
+
+
+def _role(tag: str, attributes: dict[str, str], parent: Node) -> tuple[str, bool, int, bool]:
+    """(key, dropped by tag or role, mark, main) of an element."""
     first = re.sub(r"\d+", "", attributes.get("class", "").split(" ")[0])[:40]
     key = f"{tag}.{first}" if first else tag
     role = attributes.get("role", "").lower()
-    marked = tag not in ("html", "body", "main") and not MARKS.isdisjoint(names)
+    marked = 0 if tag in ("html", "body", "main") else _mark(attributes)
     hidden = "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower()
     own = tag in DROPPED and not (tag == "header" and parent.main)
     main = parent.main or tag in ("article", "main") or role in ("main", "article")
-    return key, parent.dropped or own or marked or hidden or role in ROLES, main
+    return key, own or hidden or role in ROLES, marked, main
 
 
 def parse(page: str) -> tuple[Node, list[tuple[Node, str, float]]]:
     """The tree of block elements and, in page order, (element, text, share in links)."""
-    root = top = Node("", "", None, False, False)
+    root = top = Node("", "", None, False, 0, False)
+    nodes: list[Node] = []
     open_: list[tuple[str, Node | None]] = []  # None: an inline element
     pieces: list[str] = []
     linked = links = 0
@@ -185,19 +223,21 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, float]]]:
                 break
         flush()
         attributes = {a[0].lower(): html.unescape(a[1] or a[2] or a[3]) for a in ATTRIBUTE.findall(m[3] or m[6] or "")}
-        key, dropped, main = _role(tag, attributes, top)
+        key, dropped, marked, main = _role(tag, attributes, top)
         if top.depth < DEPTH:
-            node = Node(key, tag, top, dropped, main)
+            node = Node(key, tag, top, dropped, marked, main)
             top.children.append(node)
             open_.append((tag, node))
             top = node
         else:  # deeper elements are lines of the last one
-            node = Node(key, tag, top, dropped, main)
+            node = Node(key, tag, top, dropped, marked, main)
             node.depth = DEPTH
             open_.append((tag, node))
             top = node
+        nodes.append(node)
     close(0)
     flush()
+    _drop(nodes)
     return root, found
 
 
@@ -362,13 +402,9 @@ def content(found: list[tuple[Node, str, float]]) -> Iterator[tuple[Node, str]]:
     open_ = [(node, text, share) for node, text, share in found if not node.dropped]
     inside = [x for x in open_ if x[0].main]
     for node, text, share in inside or open_:
-        in_list, up = False, node
-        while up is not None:
-            in_list |= up.tag in ("li", "dt", "dd")
-            up = up.parent
         if node.tag not in HEADINGS and in_main_header(node):
             continue
-        if (in_list or not inside) and share > 0.8:
+        if not inside and share > 0.8:
             continue  # a menu entry
         yield node, text
 

@@ -95,3 +95,18 @@ def test_hosts_of_few_pages_have_a_wrapper(spark, n):
     rows += [(100 + i, f"https://b.example/{i}", f"<nav>Menu {i}</nav><p>The same copy</p><footer>At {i}</footer>", "x") for i in range(n)]
     got = {r.page_id: r.text for r in html_wrapper.page_text(pages_of(spark, rows).repartition(3)).collect()}
     assert got == {i: f"Story {i} told once." for i in range(n)} | {100 + i: "The same copy" for i in range(n)}
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article class='post has-sidebar'><h1>H</h1><p>x</p></article>", "H x"),
+    ("<div class='content no-sidebar'><p>x</p></div>", "x"),
+    ("<article class='hentry category-legal'><p>x</p></article>", "x"), ("<article class='post legal'><p>x</p></article>", "x"),
+    ("<div class='search-page'><div id=form><main><p>x</p></main></div></div>", "x"),
+    ("<article><h2 id='related-work'>Related work</h2><p>x</p><section id='search-engines'><p>y</p></section></article>", "Related work x y"),
+    ("<article><p>x</p><section class='related'><p>r</p></section><div class='share-buttons'>s</div></article>", "x"),
+    ("<div class=sidebar><article>teaser</article></div><article><p>x</p></article>", "x"),
+    ("<article><p>x</p></article><ol class=commentlist><li><article class=comment>reader</article></ol>", "x"),
+    ("<article><ul><li><a href=1>source one</a><li><a href=2>source two</a></ul></article>", "source one source two"),
+])
+def test_marks_leave_the_article(page, text):
+    assert main_text(page, set()) == text

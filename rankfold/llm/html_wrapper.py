@@ -80,11 +80,12 @@ STATES = set("no not has have with without hide is".split())
 
 
 class Node:
-    __slots__ = ("key", "tag", "children", "texts", "dropped", "marked", "main", "holds", "parent", "depth")
+    __slots__ = ("key", "tag", "children", "texts", "dropped", "marked", "main", "holds", "parent", "depth", "place")
 
     def __init__(self, key, tag, parent, dropped, marked, main):
         self.key, self.tag, self.parent, self.dropped, self.marked, self.main = key, tag, parent, dropped, marked, main
         self.children, self.texts, self.depth, self.holds = [], [], parent.depth + 1 if parent else 0, False
+        self.place = self  # the element of the tree that holds its texts
         if main and not parent.main:  # the elements around an article
             while parent is not None and not parent.holds:
                 parent.holds, parent = True, parent.parent
@@ -149,7 +150,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, float]]]:
             text = SPACE.sub(" ", html.unescape("".join(pieces))).strip()
             if text:
                 found.append((top, text, linked / max(1, sum(map(len, pieces)))))
-                top.texts.append(text)
+                top.place.texts.append(text)
             pieces.clear()
         linked = 0
 
@@ -231,7 +232,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, float]]]:
             top = node
         else:  # deeper elements are lines of the last one
             node = Node(key, tag, top, dropped, marked, main)
-            node.depth = DEPTH
+            node.depth, node.place = DEPTH, top.place
             open_.append((tag, node))
             top = node
         nodes.append(node)
@@ -246,7 +247,7 @@ def text_hash(text: str) -> int:
 
 
 def path_of(node: Node) -> str:
-    path = ""
+    path, node = "", node.place
     while node is not None:
         path = f"/{node.key}{path}"
         node = node.parent

@@ -110,3 +110,10 @@ def test_hosts_of_few_pages_have_a_wrapper(spark, n):
 ])
 def test_marks_leave_the_article(page, text):
     assert main_text(page, set()) == text
+
+
+def test_constant_texts_of_deep_elements(spark):
+    deep = "<div>" * 50
+    rows = [(i, f"https://a.example/{i}", f"{deep}<p>Story {i}</p><div><p>Sign off line</p></div>", "x") for i in range(9)]
+    got = {r.page_id: r.text for r in html_wrapper.page_text(pages_of(spark, rows).repartition(3)).collect()}
+    assert got == {i: f"Story {i}" for i in range(9)}

@@ -63,3 +63,22 @@ def test_blocks_grow_with_the_data():
 
 def test_grid_keeps_the_first_of_equal_settings():
     assert recommend.grid_choice([3, 1, 2], lambda s: {3: 2.0, 1: 1.0, 2: 1.0}[s]) == ([(3, 2.0), (1, 1.0), (2, 1.0)], 1)
+
+
+def test_queries_use_the_best_model_of_the_grid(spark, monkeypatch):
+    """With a grid of one other setting, every figure is that setting's."""
+    grid = dict(ranks=(2,), regs=(10.0,), iters=(1,))
+    monkeypatch.setattr(catalog, "GRID", grid)
+    train, val, test = catalog._splits(spark, SF_SMALL)
+    model = recommend.als_grid_search(train, val, **grid).model
+    rmse = recommend.rmse_value(model, test)
+    assert math.isclose(catalog.QUERIES["als_rmse"](spark, SF_SMALL).first()["test_rmse"], rmse, rel_tol=1e-6)
+    assert math.isclose(catalog.QUERIES["als_improvement"](spark, SF_SMALL).first()["test_rmse"], rmse, rel_tol=1e-6)
+    want = {(r.user_id, r.item_id): r.prediction for r in recommend.als_predict(model, test).collect()}
+    got = {(r.user_id, r.item_id): r.prediction for r in catalog.QUERIES["als_predict"](spark, SF_SMALL).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-4, abs_tol=1e-6) for k in want)
+    uid = recommend.next_user_id(tm.ratings_df(spark, SF_SMALL))
+    best = recommend.recommend_unseen(model, tm.items_df(spark, SF_SMALL), train, uid, catalog.UNSEEN_N).collect()
+    top = catalog.QUERIES["als_recommend_unseen"](spark, SF_SMALL).collect()
+    assert [r.rank for r in top] == [r.rank for r in best]
+    assert all(math.isclose(a.prediction, b.prediction, rel_tol=1e-4, abs_tol=1e-6) for a, b in zip(top, best))

@@ -284,7 +284,7 @@ def test_sample_fraction_is_exact(spark):
 
 
 def test_sorted_reports_are_sorted(spark):
-    from conftest import SF_SMALL
+    from scales import SF_SMALL
     from rankfold.plans import catalog
 
     ranks = [r["rank"] for r in catalog.QUERIES["tag_popularity"](spark, SF_SMALL).collect()]

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from scales import SF_SMALL
 from rankfold.plans import catalog
 from rankfold.plans import testmap as tm
 

@@ -4,7 +4,7 @@ values) on the smallest scale; ``tests/run_oracle.py`` runs the same check at sf
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from scales import SF_SMALL
 from oracle_compare import compare, duck
 
 QUERIES = entry.queries()

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from scales import SF_SMALL
 
 QUERIES = entry.queries()
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")

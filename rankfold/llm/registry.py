@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import chat_rotation, decontaminate, html_wrapper, license_rules, mix_threshold, quality_jsd, simhash_trie, token_pfor, toxicity_mil, url_redirects
+from rankfold.llm import byte_bpe, chat_rotation, decontaminate, html_wrapper, license_rules, mix_threshold, quality_jsd, simhash_trie, token_pfor, toxicity_mil, url_redirects
 from rankfold.llm.common import table
 
 
@@ -62,9 +62,16 @@ def op10_mix_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity_mil, op2_quality_jsd, op3_html_wrapper, op4_license_rules, op5_decontaminate,
-    op6_token_pfor, op7_chat_rotation, op8_url_redirects, op9_simhash_trie, op10_mix_threshold)}
+    op6_token_pfor, op7_chat_rotation, op8_url_redirects, op9_simhash_trie, op10_mix_threshold,
+    op11_byte_bpe)}
 
 # The others hold trained models, XXH64 or hundreds of patterns that SQL on plain
 # tables cannot express; tests/llm compares them with brute-force versions.

@@ -40,7 +40,7 @@ from rankfold.llm.common import ship_by_value
 ship_by_value(__name__)
 
 # Unicode's White_Space, what ``\s`` means in the pattern
-WHITE = "\t-\r \x85\xa0  -     　"
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PART = 200_000      # characters; a longer text is split at the next safe place
 WHITE_RUN = 10_000  # characters of white space from which on a run is merged as bytes
 FEW = 256           # texts encoded before their ids are handed on

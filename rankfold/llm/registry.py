@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import byte_bpe, chat_rotation, decontaminate, hard_negatives, html_wrapper, license_rules, mix_threshold, quality_jsd, simhash_trie, token_pfor, toxicity_mil, url_redirects
+from rankfold.llm import byte_bpe, chat_rotation, conversation_repair, decontaminate, hard_negatives, html_wrapper, license_rules, mix_threshold, quality_jsd, simhash_trie, token_pfor, toxicity_mil, url_redirects
 from rankfold.llm.common import table
 
 
@@ -68,6 +68,10 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label, F.col("id") % 50 == 0)
@@ -76,7 +80,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_toxicity_mil, op2_quality_jsd, op3_html_wrapper, op4_license_rules, op5_decontaminate,
     op6_token_pfor, op7_chat_rotation, op8_url_redirects, op9_simhash_trie, op10_mix_threshold,
-    op11_byte_bpe, op13_hard_negatives)}
+    op11_byte_bpe, op12_conversation_repair, op13_hard_negatives)}
 
 # The others hold trained models, XXH64 or hundreds of patterns that SQL on plain
 # tables cannot express; tests/llm compares them with brute-force versions.
@@ -85,5 +89,6 @@ ORACLE: dict[str, str] = {
     "op7_chat_rotation": chat_rotation.ORACLE_SQL,
     "op8_url_redirects": url_redirects.ORACLE_SQL,
     "op10_mix_threshold": mix_threshold.ORACLE_SQL,
+    "op12_conversation_repair": conversation_repair.ORACLE_SQL,
     "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }

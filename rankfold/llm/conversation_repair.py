@@ -290,11 +290,11 @@ def faults(rows: DataFrame) -> DataFrame:
     copies, ``mark``, and flags blank, repeated (role and text stand in an earlier turn) and cut_off."""
     mark = F.sha2(F.concat(F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")), F.lit(":"),
                            F.length("role"), F.lit(":"), F.col("role"), F.col("text")).cast("binary"), 256)
-    different = written(rows.groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies"))
-                        .withColumn("mark", mark), "repair-rows")
-    first = (different.groupBy(F.col("mark").alias("first_mark"))
+    # the first turn of each text needs no text: one more pass over the rows, not a table of them
+    first = (rows.groupBy(mark.alias("first_mark"), "turn").agg(F.lit(1).alias("one")).groupBy("first_mark")
              .agg(F.max(F.col("turn").isNull()).alias("any_null"), F.min("turn").alias("least_turn"), F.count(F.lit(1)).alias("turns"))
              .filter(F.col("turns") > 1).drop("turns"))
+    different = rows.groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies")).withColumn("mark", mark)
     later = F.col("turn").isNotNull() & (F.col("any_null") | (F.col("least_turn") < F.col("turn")))
     return (different.join(first, F.col("mark") == F.col("first_mark"), "left")
             .select("conv_id", "turn", "role", "text", "copies", "mark", _blank(F.col("text")).alias("blank"),
@@ -499,7 +499,7 @@ def repair(rows: DataFrame, damage=damaged) -> DataFrame:
         F.sum(F.when(blank, n).otherwise(0)).alias("blank"),
         F.sum(F.when(blank, 0).otherwise(n - 1 + again.cast("int"))).cast("long").alias("duplicate"),
         F.sum((~blank & ~again & cut).cast("long")).alias("truncated"))
-    found = [counts, digests(written(repaired(marked), "repair-done"))]
+    found = [counts, digests(repaired(marked))]
     all_ids = rows.select("conv_id").distinct()
     def by_id(left: DataFrame, right: DataFrame) -> DataFrame:
         right = right.withColumnRenamed("conv_id", "right_id")

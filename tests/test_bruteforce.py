@@ -168,7 +168,7 @@ def test_bfs_with_hot_group_matches_brute_force(spark):
     inc_df = spark.createDataFrame(inc, "node long, grp long")
     ent_df = spark.createDataFrame(_entries(inc), "node long, neighbour long")
     start = inc[-1][0]
-    probe = graph._Bucketed(inc_df, "grp", "node", "probe", 20)
+    probe = graph._Bucketed(inc_df, len(inc), "grp", "node", "probe", 20)
     members = sum(g == 0 for _, g in inc)
     assert [tuple(r) for r in probe.hot.collect()] == [(0, -(-members // 20))]
     probe.drop()

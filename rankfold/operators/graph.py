@@ -29,12 +29,12 @@ import uuid
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankfold.functions import bounded_sort
 from rankfold.operators.popularity import with_names
-from rankfold.session import scratch_path
+from rankfold.session import measured, scratch_path
 
 # ------------------------------------------------------------------ connectivity
 
@@ -84,20 +84,6 @@ def least_connected(degrees: DataFrame, n: int = 10) -> DataFrame:
 
 # ------------------------------------------------------------------ breadth-first search
 
-def _materialize(df: DataFrame, name: str, **observed: Column) -> tuple[DataFrame, dict]:
-    """Write ``df`` as a table in the shared scratch folder and read it back: one job,
-    lineage cut, and the table outlives any executor. The observed aggregates are taken from
-    the written rows by the same job; they stand at its last stage, whose tasks count once
-    however often they run."""
-    spark = df.sparkSession
-    path, seen = scratch_path(spark, name), Observation(name)
-    if observed:
-        df.observe(seen, *[c.alias(k) for k, c in observed.items()]).write.parquet(path)
-    else:
-        df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get if observed else {}
-
-
 ROWS_PER_BUCKET = 4_000_000
 SMALL_FRONTIER = 1000
 
@@ -126,7 +112,7 @@ class _Bucketed:
             # fewer than ``buckets`` keys can hold a bucket's rows; a table, as that grows with the graph
             salts = F.ceil(F.col("c") / rows_per_bucket).cast("int").alias("salts")
             counts = df.groupBy(key).agg(_rows().alias("c")).filter(F.col("c") > rows_per_bucket)
-            self.hot, seen = _materialize(counts.select(key, salts), f"{name}-hot", n=_rows())
+            self.hot, seen = measured(counts.select(key, salts), f"{name}-hot", n=_rows())
             self.has_hot = seen["n"] > 0
         by = [key, "salt"] if self.has_hot else [key]
         if self.has_hot:
@@ -176,7 +162,7 @@ class _Edges:
     symmetric = False
 
     def __init__(self, entries: DataFrame, rows_per_bucket: int):
-        edges, seen = _materialize(entries.select(F.col("node").cast("long").alias("src"),
+        edges, seen = measured(entries.select(F.col("node").cast("long").alias("src"),
                                                   F.col("neighbour").cast("long").alias("dst")).dropna(), "bfs-edges", n=_rows())
         self.edges, self.n, self.rows_per_bucket, self.by = edges, seen["n"], rows_per_bucket, {}
 
@@ -213,7 +199,7 @@ class _Incidence:
     symmetric = True
 
     def __init__(self, incidence: DataFrame, rows_per_bucket: int):
-        members, seen = _materialize(incidence.select(F.col("node").cast("long").alias("node"),
+        members, seen = measured(incidence.select(F.col("node").cast("long").alias("node"),
                                                       F.col("grp").cast("long").alias("grp")).dropna(), "bfs-incidence", n=_rows())
         self.by_node = _Bucketed(members, seen["n"], "node", "grp", "bfs_by_node", rows_per_bucket)
         self.by_grp = _Bucketed(members, seen["n"], "grp", "node", "bfs_by_grp", rows_per_bucket)
@@ -273,7 +259,7 @@ class _Side:
         if sought is not None:
             new = _flagged(new, sought)
             observed["meets"] = F.max("meets")
-        nodes, got = _materialize(new, f"bfs-{'back' if self.back else 'level'}{depth}", **observed)
+        nodes, got = measured(new, f"bfs-{'back' if self.back else 'level'}{depth}", **observed)
         self.levels.append(_Level(nodes, got["n"], bool(got.get("meets"))))
         return self.last
 
@@ -344,10 +330,10 @@ def _listing(graph, ahead: _Side, behind: _Side, met: _Level) -> DataFrame:
     at = len(behind.levels) - 1
     if at == 0:  # the forward side reached the target itself: from its level before
         return ahead.levels[-2].nodes
-    on_way, got = _materialize(met.nodes.filter("meets").select("node"), "bfs-met", n=_rows())
+    on_way, got = measured(met.nodes.filter("meets").select("node"), "bfs-met", n=_rows())
     for level in reversed(behind.levels[1:at]):
         step = graph.expand(_Level(on_way, got["n"], False)).join(level.nodes.select("node"), "node", "left_semi")
-        on_way, got = _materialize(step, "bfs-way", n=_rows())
+        on_way, got = measured(step, "bfs-way", n=_rows())
     return on_way
 
 

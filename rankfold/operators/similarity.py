@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from rankfold.functions import bounded_sort
 from rankfold.operators.popularity import with_names
-from rankfold.session import written
+from rankfold.session import measured, written
 
 # The block-product function runs in Python workers. Pickle this module's functions by
 # value so executors need only numpy and pandas, not this package on their path.
@@ -234,3 +234,38 @@ def similar_items_from(sims: DataFrame, items: DataFrame, x: int, min_score: flo
                        & (F.col("score") > min_score) & (F.col("n_pairs") > min_pairs))
            .select(other.alias("item_id"), "score", "n_pairs").orderBy(*order).limit(n))
     return bounded_sort(with_names(top, items, n).select("item_id", "name", "score", "n_pairs"), n, *order)
+
+
+# ------------------------------------------------------------------ a stored table for lookups
+
+PAIRS_PER_BUCKET = 4_000_000
+
+
+def write_pair_store(sims: DataFrame, table: str, path: str, rows_per_bucket: int = PAIRS_PER_BUCKET) -> str:
+    """Keep a pair table (``item_similarity`` output) for lookups by item: the catalog table
+    ``table`` over files in ``path`` holds every pair in both directions (item_id, other_id, score,
+    n_pairs), bucketed and sorted by ``item_id``, a bucket for about ``rows_per_bucket`` rows. No
+    order over all pairs is made. One item has at most as many rows as there are other items."""
+    spark = sims.sparkSession
+    def way(a: str, b: str):
+        return F.struct(F.col(a).alias("item_id"), F.col(b).alias("other_id"))
+
+    ways = F.inline(F.array(way("item1", "item2"), way("item2", "item1")))
+    both, seen = measured(sims.select(ways, "score", "n_pairs"), "pair-store", n=F.count(F.lit(1)))
+    buckets = max(1, -(-seen["n"] // rows_per_bucket))
+    (both.repartition(buckets, "item_id").write.mode("overwrite").bucketBy(buckets, "item_id").sortBy("item_id")
+     .option("path", path).saveAsTable(table))
+    return table
+
+
+def pairs_of(store: DataFrame, x: int) -> DataFrame:
+    """(item_id, score, n_pairs) of the items paired with ``x`` in a stored table
+    (``spark.table`` of ``write_pair_store``); only x's bucket is read."""
+    return store.filter(F.col("item_id") == x).select(F.col("other_id").alias("item_id"), "score", "n_pairs")
+
+
+def similar_items_stored(store: DataFrame, items: DataFrame, x: int, min_score: float, min_pairs: int, n: int = 10) -> DataFrame:
+    """P24 by one lookup in a stored table."""
+    order = (F.col("score").desc(), F.col("n_pairs").desc(), F.col("item_id").asc())
+    top = pairs_of(store, x).filter((F.col("score") > min_score) & (F.col("n_pairs") > min_pairs)).orderBy(*order).limit(n)
+    return bounded_sort(with_names(top, items, n).select("item_id", "name", "score", "n_pairs"), n, *order)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Defaults for a laptop / CI session. On a cluster size shuffle partitions to the data
 # (about 128-256 MB per partition) and let AQE coalesce; see README "Scale".
@@ -64,6 +64,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, name: str, **aggregates: Column) -> tuple[DataFrame, dict]:
+    """``written``, with aggregates over the written rows from the same job. They are observed at
+    its last stage, whose tasks count once however often they run."""
+    spark = df.sparkSession
+    path, seen = scratch_path(spark, name), Observation(name)
+    df.observe(seen, *[c.alias(k) for k, c in aggregates.items()]).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written intermediate tables."""
     return f"{checkpoint_dir(spark)}/scratch/{name}-{uuid.uuid4().hex}"

@@ -9,8 +9,13 @@ setting).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import product
+from math import isnan
+from threading import Lock
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,19 +112,23 @@ def fit_als(train: DataFrame, rank: int = 8, max_iter: int = 20, reg: float = 0.
     10 iterations (cuts lineage; without it long runs overflow the stack). The input is
     persisted, so its size and the fit share one computation. Ids must fit 32 bits, as
     ``pyspark.ml`` requires; the cast raises beyond that."""
-    spark = train.sparkSession
-    checkpoint_dir(spark)
     data = _als_input(train).persist()
     try:
-        nb = blocks or als_blocks(data.count(), spark.sparkContext.defaultParallelism)
-        als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user_id",
-                  itemCol="item_id", ratingCol="rating", coldStartStrategy="drop",
-                  numUserBlocks=nb, numItemBlocks=nb, checkpointInterval=10)
-        return als.fit(data)
+        nb = blocks or als_blocks(data.count(), train.sparkSession.sparkContext.defaultParallelism)
+        return _fit(data, rank, max_iter, reg, seed, nb)
     finally:
         data.unpersist()
 
 
+def _fit(data: DataFrame, rank: int, max_iter: int, reg: float, seed: int, blocks: int) -> ALSModel:
+    """Fit on ``_als_input`` rows that the caller has persisted."""
+    checkpoint_dir(data.sparkSession)
+    als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user_id",
+              itemCol="item_id", ratingCol="rating", coldStartStrategy="drop",
+              numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=10)
+    return als.fit(data)
+
+
 def als_predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
     """Predictions for (user, item) pairs; unknown users or items give no row."""
     model.setColdStartStrategy("drop")
@@ -155,13 +164,10 @@ def item_mean_scored(train: DataFrame, rows: DataFrame, shrink: float = 0.0) ->
 
 
 def grid_choice(settings, score) -> tuple[list[tuple], int]:
-    """([(setting, score)], index of the smallest score; the first setting wins ties)."""
+    """([(setting, score)], index of the smallest score; the first setting wins ties, and any
+    score wins over NaN)."""
     rows = [(s, score(s)) for s in settings]
-    best = 0
-    for i, (_, v) in enumerate(rows):
-        if v < rows[best][1]:
-            best = i
-    return rows, best
+    return rows, min(range(len(rows)), key=lambda i: (isnan(rows[i][1]), rows[i][1] if not isnan(rows[i][1]) else 0.0, i))
 
 
 def rmse_value(model: ALSModel, data: DataFrame) -> float:
@@ -181,27 +187,77 @@ class GridResult:
     model: ALSModel
 
 
+GRID_SLOTS = 4
+
+
 def als_grid_search(train: DataFrame, validation: DataFrame, ranks=(8, 12), regs=(0.1, 10.0),
-                    iters=(10, 20), seed: int = 42) -> GridResult:
+                    iters=(10, 20), seed: int = 42, slots: int = GRID_SLOTS) -> GridResult:
     """Fit every (rank, reg, iterations) setting; keep the smallest validation RMSE
-    (strict <, so the first setting wins ties). Inputs are persisted for the loop."""
-    train = _als_input(train).persist()
-    validation = validation.persist()
-    rows, best, best_model = [], None, None
+    (strict <, so the first setting wins ties).
+
+    The inputs are persisted once. Up to ``slots`` fits run at a time, each submitted by a thread
+    of its own: an iteration is a chain of small stages, so one fit alone leaves cores idle at
+    every barrier. A slot holds the factors of one fit. The order in which fits end has no
+    effect, and only the best model so far is kept."""
+    settings = list(product(ranks, regs, iters))
+    train, validation = _als_input(train).persist(), _als_input(validation).persist()
     try:
         blocks = als_blocks(train.count(), train.sparkSession.sparkContext.defaultParallelism)
-        for rank in ranks:
-            for reg in regs:
-                for it in iters:
-                    model = fit_als(train, rank, it, reg, seed, blocks)
-                    v = rmse_value(model, validation)
-                    rows.append((int(rank), float(reg), int(it), v))
-                    if best is None or v < best[3]:
-                        best, best_model = rows[-1], model
+        validation.count()  # cached by one job, not by the first fits together
+
+        scores: dict[int, float] = {}
+        kept: dict[int, ALSModel] = {}
+        lock = Lock()
+
+        def run(i: int) -> None:
+            rank, reg, it = settings[i]
+            model = _fit(train, rank, it, reg, seed, blocks)
+            v = rmse_value(model, validation)
+            with lock:
+                scores[i], kept[i] = v, model
+                done = sorted(scores)
+                best = done[grid_choice(done, scores.get)[1]]
+                for j in [j for j in kept if j != best]:
+                    del kept[j]
+
+        with ThreadPoolExecutor(max(1, min(slots, len(settings)))) as pool:
+            list(pool.map(inheritable_thread_target(train.sparkSession)(run), range(len(settings))))
     finally:
         validation.unpersist()
         train.unpersist()   # fitted models keep their own factor tables
-    return GridResult(rows, best, best_model)
+    rows = [(int(rank), float(reg), int(it), scores[i]) for i, (rank, reg, it) in enumerate(settings)]
+    (best, model), = kept.items()
+    return GridResult(rows, rows[best], model)
+
+
+@dataclass
+class Report:
+    """Everything the recommendation job prints, from one grid search."""
+
+    grid: GridResult
+    test_rmse: float
+    baseline_rmse: float | None
+    improvement_pct: float | None
+    recommendations: DataFrame
+
+
+def recommend_report(train: DataFrame, validation: DataFrame, test: DataFrame, items: DataFrame, user: int, n: int = 50,
+                     **grid) -> Report:
+    """P40-P44 with the best model of one search: test RMSE, mean baseline, improvement and the
+    top-n unseen items of ``user`` (whose ratings are part of ``train``)."""
+    found = als_grid_search(train, validation, **grid)
+    rmse = rmse_value(found.model, test)
+    base = mean_baseline_rmse(train, validation, test).first()[0]
+    improvement = improvement_pct(base, rmse) if base else None
+    return Report(found, rmse, base, improvement, recommend_unseen(found.model, items, train, user, n))
+
+
+def report_frame(spark, report: Report) -> DataFrame:
+    """The figures of a report as one row."""
+    rank, reg, max_iter, validation_rmse = report.grid.best
+    cols = [("rank", "int"), ("reg", "double"), ("max_iter", "int"), ("validation_rmse", "double"), ("test_rmse", "double"),
+            ("baseline_rmse", "double"), ("improvement_pct", "double")]
+    return literal_rows(spark, cols, [(rank, reg, max_iter, validation_rmse, report.test_rmse, report.baseline_rmse, report.improvement_pct)])
 
 
 def grid_frame(spark, result: GridResult) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from rankfold.operators import graph, keyed, people, popularity, recommend, similarity, tags, text
+from rankfold.operators import dictionary, graph, keyed, people, popularity, recommend, similarity, tags, text
 from rankfold.session import scratch_path, written
 from rankfold.sources import readers, sinks
 from rankfold.functions import epoch_seconds, latest_per_key, literal_rows
@@ -177,6 +177,27 @@ def q_top_items(spark, d):
     return popularity.top_items(tm.purchases_df(spark, d), tm.items_df(spark, d), TOP_N)
 
 
+@register("top_items_lookup", _top_sql("DESC"))
+def q_top_items_lookup(spark, d):
+    # names by point lookups in a stored dictionary; a user writes it once
+    names = spark.read.parquet(dictionary.write_dictionary(tm.items_df(spark, d), scratch_path(spark, "item_names")))
+    order = (F.col("n_ratings").desc(), F.col("item_id").asc())
+    top = popularity.item_counts(tm.purchases_df(spark, d)).orderBy(*order).limit(TOP_N)
+    return dictionary.named(top, names, TOP_N, *order).select("item_id", "name", "n_ratings")
+
+
+@register("most_connected_lookup", with_ctes(["entries", "node_names"], """
+SELECT g.node, n.name, g.degree FROM
+  (SELECT node, degree FROM (SELECT m.node, CAST(count(e.dst) AS BIGINT) AS degree
+     FROM (SELECT DISTINCT node FROM incidence) m LEFT JOIN entries e ON e.src = m.node GROUP BY m.node)
+   ORDER BY degree DESC, node DESC LIMIT 1) g JOIN node_names n USING (node)"""))
+def q_most_connected_lookup(spark, d):
+    names = spark.read.parquet(dictionary.write_dictionary(tm.node_names_df(spark, d), scratch_path(spark, "node_names"), "node"))
+    degrees = graph.cooccurrence_degree(tm.incidence_df(spark, d))
+    top = degrees.orderBy(F.col("degree").desc(), F.col("node").desc()).limit(1)
+    return dictionary.named(top, names, 1, key="node").select("node", "name", "degree")
+
+
 @register("bottom_items", _top_sql("ASC"))
 def q_bottom_items(spark, d):
     return popularity.bottom_items(tm.purchases_df(spark, d), tm.items_df(spark, d), TOP_N)
@@ -629,6 +650,13 @@ def q_als_recommend_unseen(spark, d):
     return recommend.recommend_unseen(_best_model(train, val), tm.items_df(spark, d), train, uid, UNSEEN_N)
 
 
+@register("als_report")
+def q_als_report(spark, d):
+    """One search, all its figures: the whole recommendation job as a user runs it."""
+    report = recommend.recommend_report(*_splits(spark, d), tm.items_df(spark, d), recommend.next_user_id(tm.ratings_df(spark, d)), UNSEEN_N, **GRID)
+    return recommend.report_frame(spark, report)
+
+
 @register("als_recommend_user")
 def q_als_recommend_user(spark, d):
     ratings = tm.ratings_unique_df(spark, d)

@@ -82,3 +82,34 @@ def test_queries_use_the_best_model_of_the_grid(spark, monkeypatch):
     top = catalog.QUERIES["als_recommend_unseen"](spark, SF_SMALL).collect()
     assert [r.rank for r in top] == [r.rank for r in best]
     assert all(math.isclose(a.prediction, b.prediction, rel_tol=1e-4, abs_tol=1e-6) for a, b in zip(top, best))
+
+
+def test_concurrent_grid_gives_the_sequential_table(spark, monkeypatch):
+    train, val, _ = catalog._splits(spark, SF_SMALL)
+    grid = dict(ranks=(2, 3), regs=(0.1, 10.0), iters=(2,))
+    cached = []
+    persist = type(train).persist
+    monkeypatch.setattr(type(train), "persist", lambda df, *a: (cached.append(df), persist(df, *a))[1])
+    one = recommend.als_grid_search(train, val, slots=1, **grid)
+    assert len(cached) == 2  # train and validation, once for all fits
+    many = recommend.als_grid_search(train, val, slots=4, **grid)
+    assert [r[:3] for r in one.rows] == [r[:3] for r in many.rows] == [(2, 0.1, 2), (2, 10.0, 2), (3, 0.1, 2), (3, 10.0, 2)]
+    assert all(math.isclose(a[3], b[3], rel_tol=1e-6) for a, b in zip(one.rows, many.rows))
+    assert one.best[:3] == many.best[:3]
+    assert many.model.rank == many.best[0]
+
+
+def test_nan_scores_lose():
+    assert recommend.grid_choice([0, 1, 2], [float("nan"), 3.0, 2.0].__getitem__)[1] == 2
+    assert recommend.grid_choice([0, 1], [float("nan"), float("nan")].__getitem__)[1] == 0
+
+
+def test_report_has_all_figures_of_one_search(spark):
+    splits = catalog._splits(spark, SF_SMALL)
+    uid = recommend.next_user_id(tm.ratings_df(spark, SF_SMALL))
+    report = recommend.recommend_report(*splits, tm.items_df(spark, SF_SMALL), uid, 5, ranks=(2,), regs=(0.1, 10.0), iters=(2,))
+    assert math.isclose(report.test_rmse, recommend.rmse_value(report.grid.model, splits[2]), rel_tol=1e-9)
+    assert report.improvement_pct == recommend.improvement_pct(report.baseline_rmse, report.test_rmse)
+    assert [r["rank"] for r in report.recommendations.collect()] == [1, 2, 3, 4, 5]
+    row = recommend.report_frame(spark, report).first()
+    assert (row["rank"], row["reg"], row["max_iter"]) == report.grid.best[:3] and row["baseline_rmse"] == report.baseline_rmse

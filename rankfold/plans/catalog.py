@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from rankfold.operators import dictionary, graph, keyed, people, popularity, recommend, similarity, tags, text
 from rankfold.session import scratch_path, written
-from rankfold.sources import readers, sinks
+from rankfold.sources import checked, readers, sinks
 from rankfold.functions import epoch_seconds, latest_per_key, literal_rows
 from rankfold.plans import testmap as tm
 from rankfold.plans.testmap import with_ctes
@@ -713,6 +713,69 @@ def q_src_ratings_comma(spark, d):
     return readers.read_ratings(spark, path, ",", header=True)
 
 
+# ratings files in which some lines lost a field, got one more, or hold a word for a number
+_DAMAGED_SQL = """SELECT CASE WHEN event_id % 50 = 0 THEN user_id || chr(9) || item_id || chr(9) || v
+       WHEN event_id % 50 = 1 THEN user_id || chr(9) || item_id || chr(9) || v || chr(9) || t || chr(9) || 'x'
+       WHEN event_id % 50 = 2 THEN 'user' || chr(9) || item_id || chr(9) || v || chr(9) || t
+       ELSE user_id || chr(9) || item_id || chr(9) || v || chr(9) || t END AS line, event_id % 50 < 3 AS bad,
+       CAST(user_id AS INTEGER) AS user_id, item_id, CAST(v AS DOUBLE) AS rating, t AS ts
+FROM (SELECT event_id, user_id, item_id, CAST(floor(value) AS BIGINT) AS v, CAST(floor(epoch(ts)) AS BIGINT) AS t
+      FROM (SELECT event_id, user_id, item_id, rating AS value, ts FROM ratings))"""
+
+
+def _damaged_ratings(spark, d):
+    r = tm.ratings_df(spark, d)
+    fields = [F.col("user_id").cast("string"), F.col("item_id").cast("string"), F.floor("rating").cast("string"),
+              epoch_seconds(r, "ts").cast("string")]
+    kind = F.col("event_id") % 50
+    line = (F.when(kind == 0, F.concat_ws("\t", *fields[:3])).when(kind == 1, F.concat_ws("\t", *fields, F.lit("x")))
+            .when(kind == 2, F.concat_ws("\t", F.lit("user"), *fields[1:])).otherwise(F.concat_ws("\t", *fields)))
+    path = sinks.write_lines(r.select(line.alias("line")), scratch_path(spark, "ratings_damaged"))
+    return checked.check_ratings(spark, path, "\t")
+
+
+@register("checked_ratings", with_ctes(["ratings"], "SELECT user_id, item_id, rating, ts FROM f WHERE NOT bad", [("f", _DAMAGED_SQL)]))
+def q_checked_ratings(spark, d):
+    return _damaged_ratings(spark, d).rows
+
+
+@register("rejected_ratings", with_ctes(["ratings"], "SELECT line FROM f WHERE bad", [("f", _DAMAGED_SQL)]))
+def q_rejected_ratings(spark, d):
+    return _damaged_ratings(spark, d).rejected
+
+
+@register("checked_ratings_counts", with_ctes(["ratings"],
+          "SELECT count(*) FILTER (NOT bad) AS n_rows, count(*) FILTER (bad) AS n_rejected FROM f", [("f", _DAMAGED_SQL)]))
+def q_checked_ratings_counts(spark, d):
+    found = _damaged_ratings(spark, d)
+    return literal_rows(spark, [("n_rows", "long"), ("n_rejected", "long")], [(found.n_rows, found.n_rejected)])
+
+
+@register("rejected_items_quoted", with_ctes([],
+          """SELECT CASE WHEN p_partkey % 9 = 0 THEN p_partkey || ',"' || p_name || ', ' || p_brand || '"'
+       ELSE 'x' || p_partkey || ',"' || p_name || ', ' || p_brand || '",' || p_type END AS line FROM part WHERE p_partkey % 9 < 2"""))
+def q_rejected_items_quoted(spark, d):
+    # quoted names with commas; every ninth line has no tags, every ninth no numeric id
+    p = tm.table(spark, d, "part")
+    name = F.format_string('"%s, %s"', "p_name", "p_brand")
+    kind = F.col("p_partkey") % 9
+    line = (F.when(kind == 0, F.concat_ws(",", F.col("p_partkey").cast("string"), name))
+            .otherwise(F.concat(F.when(kind == 1, "x").otherwise(""), F.concat_ws(",", F.col("p_partkey").cast("string"), name, "p_type"))))
+    path = sinks.write_lines(p.select(line.alias("line")), scratch_path(spark, "items_damaged"))
+    return checked.check_items(spark, path, ",").rejected
+
+
+@register("rejected_node_names", with_ctes(["node_names"],
+          "SELECT CASE WHEN node % 7 = 0 THEN node || ' ' || name ELSE 'n' || node || ' \"' || name || '\"' END AS line "
+          "FROM node_names WHERE node % 7 < 2"))
+def q_rejected_node_names(spark, d):
+    kind, node = F.col("node") % 7, F.col("node").cast("string")
+    line = (F.when(kind == 0, F.concat(node, F.lit(" "), F.col("name")))
+            .otherwise(F.concat(F.when(kind == 1, "n").otherwise(""), node, F.lit(' "'), F.col("name"), F.lit('"'))))
+    path = sinks.write_lines(tm.node_names_df(spark, d).select(line.alias("line")), scratch_path(spark, "names_damaged"))
+    return checked.check_node_names(spark, path).rejected
+
+
 _FILE_CTES = [
     ("from_file", _RATINGS_OUT_SQL),
     ("latest", "SELECT user_id, item_id, rating, ts FROM from_file "

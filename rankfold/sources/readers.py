@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RATINGS_SCHEMA = "user_id int, item_id int, rating double, ts long"
+PEOPLE_SCHEMA = "id int, name string, age int, num_friends int"
+READINGS_SCHEMA = "station string, day string, type string, value double"
+SPEND_SCHEMA = "customer long, item long, amount double"
 
 
 def read_lines(spark: SparkSession, path: str, repair_utf8: bool = True) -> DataFrame:
@@ -54,17 +57,17 @@ def read_items(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
 
 def read_people(spark: SparkSession, path: str) -> DataFrame:
     """``id,name,age,num_friends`` (CRLF or LF line ends)."""
-    return _typed(spark, path, "id int, name string, age int, num_friends int")
+    return _typed(spark, path, PEOPLE_SCHEMA)
 
 
 def read_readings(spark: SparkSession, path: str) -> DataFrame:
     """``station,day,type,value``; the day is not used."""
-    return _typed(spark, path, "station string, day string, type string, value double").select("station", "type", "value")
+    return _typed(spark, path, READINGS_SCHEMA).select("station", "type", "value")
 
 
 def read_spend(spark: SparkSession, path: str) -> DataFrame:
     """``customer,item,amount``; the item is not used."""
-    return _typed(spark, path, "customer long, item long, amount double").select("customer", "amount")
+    return _typed(spark, path, SPEND_SCHEMA).select("customer", "amount")
 
 
 def read_adjacency(spark: SparkSession, path: str) -> DataFrame:

@@ -9,18 +9,23 @@ setting).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import product
 from math import isnan
 from threading import Lock
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from rankfold.functions import epoch_seconds, hash_below, literal_rows
+from rankfold.functions import bounded_broadcast, epoch_seconds, hash_below, literal_rows
+from rankfold.functions.exact import exact_sum
 from rankfold.operators.popularity import item_counts, with_names
 from rankfold.session import checkpoint_dir
 
@@ -68,6 +73,18 @@ def split_counts(ratings: DataFrame, scheme: str = "68") -> DataFrame:
     return with_split(ratings, scheme).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
+def write_splits(labelled: DataFrame, path: str) -> str:
+    """Keep ratings labelled by ``with_split``: a table partitioned by split."""
+    labelled.write.mode("overwrite").partitionBy("split").parquet(path)
+    return path
+
+
+def read_split(spark: SparkSession, path: str, split: str, schema: StructType) -> DataFrame:
+    """One split of ``write_splits``; ``schema`` is that of the labelled ratings. Only the split's
+    folder is read."""
+    return spark.read.schema(schema).parquet(path).filter(F.col("split") == split).drop("split")
+
+
 def next_user_id(ratings: DataFrame) -> int:
     """A user id not present yet (max + 1); the scalar is the only value collected."""
     top = ratings.agg(F.max("user_id")).first()[0]
@@ -137,14 +154,14 @@ def als_predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
             .select("user_id", "item_id", F.col("prediction").cast("double").alias("prediction")))
 
 
-def rmse_frame(scored: DataFrame) -> DataFrame:
+def rmse_frame(scored: DataFrame, exact: bool = False) -> DataFrame:
     """One row ``rmse``: sqrt(sum of squared errors over rows with a prediction / number of
     all rows); null without rows. Rows whose ``prediction`` is NaN or null (cold start) count
-    in the divisor only."""
+    in the divisor only. ``exact``: the same bits whatever the partitioning."""
     ok = F.col("prediction").isNotNull() & ~F.isnan("prediction")
     err = F.when(ok, F.pow(F.col("prediction") - F.col("rating"), 2))
     n = F.count(F.lit(1))
-    return scored.agg(F.when(n > 0, F.sqrt(F.coalesce(F.sum(err), F.lit(0.0)) / n)).alias("rmse"))
+    return scored.agg(F.when(n > 0, F.sqrt(F.coalesce((exact_sum if exact else F.sum)(err), F.lit(0.0)) / n)).alias("rmse"))
 
 
 def rmse_scored(scored: DataFrame) -> float:
@@ -290,6 +307,60 @@ def improvement_pct(baseline_rmse: float, model_rmse: float) -> float | None:
     return round((baseline_rmse - model_rmse) / baseline_rmse * 100.0, 2) if baseline_rmse else None
 
 
+def fold_in(factors: DataFrame, ratings: DataFrame, reg: float) -> DataFrame:
+    """P36/P38 without a refit: (user_id, features) of the users of ``ratings``, against fixed item
+    ``factors`` (id, features) of a model.
+
+    A user's factors x minimise sum (r - x.v)^2 + reg * n * |x|^2 over their n ratings of items with
+    factors v, as one half-step of ALS does: (sum v v' + reg * n) x = sum r v. The sums are
+    ordinary partial aggregates, so a user with any number of ratings is summed before
+    the shuffle; only one small system a user is solved, in batches. Users none of whose items has
+    factors give no row, as do users whose system is singular (``reg`` 0, too few ratings)."""
+    first = factors.select(F.size("features")).first()
+    rank = int(first[0]) if first else 0
+    rated = (ratings.select("user_id", F.col("item_id").alias("_item"), F.col("rating").cast("double").alias("r"))
+             .join(factors.select(F.col("id").alias("_item"), F.col("features").cast("array<double>").alias("v")), "_item"))
+    v = [F.get("v", F.lit(i)) for i in range(rank)]
+    pairs = [(i, j) for i in range(rank) for j in range(i, rank)]
+    sums = rated.groupBy("user_id").agg(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        *[F.sum(v[i] * v[j]).alias(f"a{i}_{j}") for i, j in pairs], *[F.sum(v[i] * F.col("r")).alias(f"b{i}") for i in range(rank)])
+    packed = sums.select("user_id", F.array("n", *[f"a{i}_{j}" for i, j in pairs], *[f"b{i}" for i in range(rank)]).alias("sums"))
+    upper = tuple(np.triu_indices(rank))
+
+    def solve(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            out = []
+            for s in batch:
+                a = np.zeros((rank, rank))
+                a[upper] = s[1:1 + len(upper[0])]
+                a = a + np.triu(a, 1).T + reg * s[0] * np.eye(rank)
+                try:
+                    out.append(np.linalg.solve(a, np.asarray(s[1 + len(upper[0]):])).tolist())
+                except np.linalg.LinAlgError:
+                    out.append(None)
+            yield pd.Series(out)
+
+    features = F.pandas_udf(solve, "array<double>")("sums")
+    return packed.select("user_id", features.alias("features")).filter(F.col("features").isNotNull())
+
+
+def score_items(users: DataFrame, factors: DataFrame) -> DataFrame:
+    """(user_id, item_id, prediction) of a few users for all items: the inner product of their
+    features. ``users`` must be few: they are broadcast to the items."""
+    items = factors.select(F.col("id").alias("item_id"), F.col("features").cast("array<double>").alias("v"))
+    product = F.aggregate(F.zip_with("features", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    return items.join(bounded_broadcast(users, 1), F.lit(True)).select("user_id", "item_id", product.alias("prediction"))
+
+
+def recommend_new_user(factors: DataFrame, items: DataFrame, supplied: DataFrame, user: int, reg: float, n: int = 50) -> DataFrame:
+    """P44 for a user the model does not know: their ``supplied`` ratings (user_id, item_id, rating;
+    1 to 5, others are dropped) are folded in and the n best items they have not rated returned."""
+    mine = supplied.filter((F.col("user_id") == user) & F.col("rating").between(1, 5))
+    scored = score_items(fold_in(factors, mine, reg), factors)
+    return top_scored(items, scored.join(unseen_items(items, mine, user).select("item_id"), "item_id", "left_semi"), n)
+
+
 def recommend_for_user(model: ALSModel, items: DataFrame, user: int, n: int = 10) -> DataFrame:
     """Top-n items for a user, already-rated items included."""
     spark = items.sparkSession

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankfold.functions import bounded_sort
+from rankfold.functions.exact import exact_sum
 from rankfold.operators.popularity import with_names
 from rankfold.session import measured, written
 
@@ -197,28 +198,30 @@ def item_similarity(ratings: DataFrame, items_per_block: int = 1024, users_per_b
                        "n_pairs")
 
 
-def similarity_to(ratings: DataFrame, x: int, decimals: int = 6) -> DataFrame:
+def similarity_to(ratings: DataFrame, x: int, decimals: int = 6, exact: bool = False) -> DataFrame:
     """One row of the similarity matrix: (item_id, score, n_pairs) of every item sharing a
     rater with ``x``. Linear in the ratings: each user contributes one rating of x, so
-    the join on user_id never multiplies rows beyond the user's own ratings."""
+    the join on user_id never multiplies rows beyond the user's own ratings. ``exact``: the sums,
+    and so the scores, have the same bits whatever the partitioning."""
+    total = exact_sum if exact else F.sum
     rx = (ratings.filter(F.col("item_id") == x)
           .select("user_id", F.col("rating").alias("rx")))
     others = ratings.filter(F.col("item_id") != x).select("user_id", "item_id", "rating")
     sums = (others.join(rx, "user_id").groupBy("item_id").agg(
-        F.sum(F.col("rx") * F.col("rating")).alias("sxy"),
-        F.sum(F.col("rx") * F.col("rx")).alias("sxx"),
-        F.sum(F.col("rating") * F.col("rating")).alias("syy"),
+        total(F.col("rx") * F.col("rating")).alias("sxy"),
+        total(F.col("rx") * F.col("rx")).alias("sxx"),
+        total(F.col("rating") * F.col("rating")).alias("syy"),
         F.count(F.lit(1)).alias("n_pairs")))
     return sums.select(F.col("item_id").cast("long").alias("item_id"), F.round(cosine(F.col("sxy"), F.col("sxx"), F.col("syy")), decimals)
                        .alias("score"), "n_pairs")
 
 
 def similar_items(ratings: DataFrame, items: DataFrame, x: int, min_score: float, min_pairs: int,
-                  n: int = 10, decimals: int = 6) -> DataFrame:
+                  n: int = 10, decimals: int = 6, exact: bool = False) -> DataFrame:
     """Items most similar to ``x`` with score > min_score and n_pairs > min_pairs,
     sorted by (score, n_pairs) descending, top n, with names."""
     order = (F.col("score").desc(), F.col("n_pairs").desc(), F.col("item_id").asc())
-    top = (similarity_to(ratings, x, decimals)
+    top = (similarity_to(ratings, x, decimals, exact)
            .filter((F.col("score") > min_score) & (F.col("n_pairs") > min_pairs))
            .orderBy(*order).limit(n))
     return bounded_sort(with_names(top, items, n).select("item_id", "name", "score", "n_pairs"), n, *order)

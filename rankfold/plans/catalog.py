@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankfold.operators import dictionary, graph, keyed, people, popularity, recommend, similarity, tags, text
-from rankfold.session import scratch_path, written
+from rankfold.session import scratch_path
 from rankfold.sources import checked, readers, sinks
 from rankfold.functions import epoch_seconds, latest_per_key, literal_rows
+from rankfold.functions import sql as sql_functions
 from rankfold.plans import testmap as tm
 from rankfold.plans.testmap import with_ctes
 
@@ -306,6 +307,50 @@ def q_similar_items(spark, d):
                                     SIM_MIN_SCORE, SIM_MIN_PAIRS, TOP_N)
 
 
+@register("similar_items_exact", ORACLE["similar_items"])
+def q_similar_items_exact(spark, d):
+    # order-independent sums: the same scores, bit for bit, under any partitioning
+    return similarity.similar_items(tm.ratings_unique_df(spark, d), tm.items_df(spark, d), SIM_ITEM,
+                                    SIM_MIN_SCORE, SIM_MIN_PAIRS, TOP_N, exact=True)
+
+
+# ---------------------------------------------------------------- SQL functions
+
+@register("sql_similar_items", ORACLE["similar_items"])
+def q_sql_similar_items(spark, d):
+    sql_functions.register(spark)
+    return spark.sql("""
+SELECT CAST(s.item_id AS BIGINT) AS item_id, i.name, s.score, s.n_pairs FROM (
+  SELECT item_id, round(rf_cosine(sxy, sxx, syy), 6) AS score, n_pairs FROM (
+    SELECT o.item_id, sum(x.rating * o.rating) AS sxy, sum(x.rating * x.rating) AS sxx, sum(o.rating * o.rating) AS syy,
+           count(*) AS n_pairs
+    FROM {r} x JOIN {r} o ON o.user_id = x.user_id AND o.item_id <> x.item_id
+    WHERE x.item_id = :item GROUP BY o.item_id)) s
+JOIN {i} i ON i.item_id = s.item_id
+WHERE s.score > :score AND s.n_pairs > :pairs ORDER BY s.score DESC, s.n_pairs DESC, item_id LIMIT 10""",
+                     args={"item": SIM_ITEM, "score": SIM_MIN_SCORE, "pairs": SIM_MIN_PAIRS},
+                     r=tm.ratings_unique_df(spark, d), i=tm.items_df(spark, d))
+
+
+@register("sql_word_count", ORACLE["word_count_regex"])
+def q_sql_word_count(spark, d):
+    sql_functions.register(spark)
+    return spark.sql("SELECT lower(token) AS word, count(*) AS n FROM {l}, LATERAL rf_tokens(line) GROUP BY lower(token)", l=tm.lines_df(spark, d))
+
+
+@register("sql_split_counts", with_ctes(["ratings"], """
+SELECT CASE WHEN t % 10 < 6 THEN 'train' WHEN t % 10 < 8 THEN 'validation' ELSE 'test' END AS split, count(*) AS n
+FROM (SELECT CAST(floor(epoch(ts)) AS BIGINT) AS t FROM ratings) GROUP BY 1"""))
+def q_sql_split_counts(spark, d):
+    # over the lines of a ratings file, parsed in SQL
+    sql_functions.register(spark)
+    r = tm.ratings_df(spark, d)
+    line = F.concat_ws("::", F.col("user_id").cast("string"), F.col("item_id").cast("string"), F.col("rating").cast("string"),
+                       epoch_seconds(r, "ts").cast("string"))
+    lines = readers.read_lines(spark, sinks.write_lines(r.select(line.alias("line")), scratch_path(spark, "ratings_lines")))
+    return spark.sql("SELECT rf_split(rf_bucket(ts)) AS split, count(*) AS n FROM {l}, LATERAL rf_rating(line, '::') GROUP BY 1", l=lines)
+
+
 # ---------------------------------------------------------------- graph
 
 BFS_START = 0
@@ -450,8 +495,9 @@ def _labelled(spark, d):
 
 
 def _splits(spark, d):
-    labelled = written(_labelled(spark, d), "splits")
-    return tuple(labelled.filter(F.col("split") == s).drop("split")
+    labelled = _labelled(spark, d)
+    path = recommend.write_splits(labelled, scratch_path(spark, "splits"))
+    return tuple(recommend.read_split(spark, path, s, labelled.schema)
                  for s in (recommend.TRAIN, recommend.VALIDATION, recommend.TEST))
 
 
@@ -583,6 +629,33 @@ def q_item_mean_unseen(spark, d):
     return out.select(F.col("rank").cast("long").alias("rank"), "item_id", "name", F.round("prediction", 6).alias("prediction"))
 
 
+@register("item_mean_rmse_exact", ORACLE["item_mean_rmse"])
+def q_item_mean_rmse_exact(spark, d):
+    train, _, test = _splits(spark, d)
+    scored = recommend.item_mean_scored(train, test, 5.0)
+    return recommend.rmse_frame(scored, exact=True).select(F.round("rmse", 6).alias("test_rmse"))
+
+
+# Fold-in against item factors that SQL has too, (1, mean / 10): a user's two factors are the
+# solution of a 2 x 2 system over the user's ratings in validation.
+FOLD_REG = 0.1
+
+
+@register("fold_in_users", with_ctes(["ratings_unique", "items"], f"""
+SELECT user_id, round((d * (c + k) - b * e) / ((a + k) * (c + k) - b * b), 6) AS x0,
+       round(((a + k) * e - b * d) / ((a + k) * (c + k) - b * b), 6) AS x1 FROM
+  (SELECT v.user_id, CAST(count(*) AS DOUBLE) AS a, {FOLD_REG} * count(*) AS k, sum(m) AS b, sum(m * m) AS c,
+          sum(rating) AS d, sum(rating * m) AS e
+   FROM validation v JOIN (SELECT item_id, avg(rating) / 10 AS m FROM train GROUP BY item_id) f USING (item_id) GROUP BY v.user_id)""",
+          _REC_CTES))
+def q_fold_in_users(spark, d):
+    train, validation, _ = _splits(spark, d)
+    means = train.groupBy("item_id").agg((F.avg("rating") / 10).alias("m"))
+    factors = means.select(F.col("item_id").alias("id"), F.array(F.lit(1.0), "m").alias("features"))
+    users = recommend.fold_in(factors, validation, FOLD_REG)
+    return users.select("user_id", *[F.round(F.get("features", F.lit(i)), 6).alias(f"x{i}") for i in (0, 1)])
+
+
 # ALS results are not bitwise comparable with another engine: rows-only checks here,
 # properties in tests/test_recommend.py. As in the reference, predictions, test RMSE,
 # improvement and unseen items come from the model that the grid search chose on validation;
@@ -650,6 +723,15 @@ def q_als_recommend_unseen(spark, d):
     return recommend.recommend_unseen(_best_model(train, val), tm.items_df(spark, d), train, uid, UNSEEN_N)
 
 
+@register("als_new_user")
+def q_als_new_user(spark, d):
+    """The new user's items from a model that was fitted without that user: no refit."""
+    ratings = tm.ratings_unique_df(spark, d)
+    model = recommend.fit_als(recommend.with_split(ratings, "68").filter(F.col("split") == recommend.TRAIN), **ALS_SETTING)
+    uid = recommend.next_user_id(tm.ratings_df(spark, d))
+    return recommend.recommend_new_user(model.itemFactors, tm.items_df(spark, d), _supplied(spark, d), uid, ALS_SETTING["reg"], UNSEEN_N)
+
+
 @register("als_report")
 def q_als_report(spark, d):
     """One search, all its figures: the whole recommendation job as a user runs it."""

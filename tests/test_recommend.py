@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from scales import SF_SMALL
@@ -113,3 +114,47 @@ def test_report_has_all_figures_of_one_search(spark):
     assert [r["rank"] for r in report.recommendations.collect()] == [1, 2, 3, 4, 5]
     row = recommend.report_frame(spark, report).first()
     assert (row["rank"], row["reg"], row["max_iter"]) == report.grid.best[:3] and row["baseline_rmse"] == report.baseline_rmse
+
+
+def test_each_split_reads_its_folder(spark, tmp_path):
+    df = spark.range(100).selectExpr("id AS user_id", "id % 7 AS item_id", "1.0D AS rating", "id AS ts")
+    labelled = recommend.with_split(df, "68")
+    path = recommend.write_splits(labelled, str(tmp_path / "splits"))
+    for split, n in (("train", 60), ("validation", 20), ("test", 20)):
+        part = recommend.read_split(spark, path, split, labelled.schema)
+        assert part.columns == df.columns and part.count() == n
+        plan = part._jdf.queryExecution().executedPlan()
+        assert "split#" in plan.toString().split("PartitionFilters:")[1].split("]")[0]
+        assert part.select(F.input_file_name().alias("f")).filter(~F.col("f").contains(f"split={split}/")).count() == 0
+        part.collect()
+        scan = part._jdf.queryExecution().executedPlan()
+        while scan.children().size():
+            scan = scan.children().apply(0)
+        assert scan.metrics().apply("numPartitions").value() == 1
+
+
+def test_fold_in_solves_the_normal_equations(spark):
+    ratings = tm.ratings_unique_df(spark, SF_SMALL)
+    model = recommend.fit_als(ratings, rank=6, max_iter=4, reg=0.1, seed=5)
+    v = {r.id: np.array(r.features, dtype=float) for r in model.itemFactors.collect()}
+    supplied = [(900_001, i, float(1 + k % 5)) for k, i in enumerate(sorted(v)[:30])] + [(900_002, sorted(v)[3], 4.0), (900_003, -5, 3.0)]
+    df = spark.createDataFrame(supplied, "user_id long, item_id int, rating double")
+    got = {r.user_id: np.array(r.features) for r in recommend.fold_in(model.itemFactors, df, 0.1).collect()}
+    assert set(got) == {900_001, 900_002}  # the last one rated nothing the model knows
+    for user, x in got.items():
+        mine = [(v[i], r) for u, i, r in supplied if u == user]
+        a = sum(np.outer(f, f) for f, _ in mine) + 0.1 * len(mine) * np.eye(6)
+        assert np.allclose(x, np.linalg.solve(a, sum(r * f for f, r in mine)), atol=1e-6)
+    # a user the model knows gets, from the same ratings, the factors of the last half-step of ALS
+    user = ratings.groupBy("user_id").count().orderBy(F.desc("count"), "user_id").first()["user_id"]
+    folded = np.array(recommend.fold_in(model.itemFactors, ratings.filter(F.col("user_id") == user), 0.1).first()["features"])
+    known = np.array(model.userFactors.filter(F.col("id") == int(user)).first()["features"])
+    assert np.allclose(folded, known, rtol=1e-3, atol=1e-3)
+
+
+def test_new_user_gets_unseen_items_only(spark):
+    got = catalog.QUERIES["als_new_user"](spark, SF_SMALL).collect()
+    rated = {r.item_id for r in catalog._supplied(spark, SF_SMALL).filter("rating BETWEEN 1 AND 5").collect()}
+    assert got and rated and not rated & {r.item_id for r in got}
+    assert [r["rank"] for r in got] == list(range(1, len(got) + 1))
+    assert [r.prediction for r in got] == sorted((r.prediction for r in got), reverse=True)

@@ -6,9 +6,14 @@ hashed word and word-beginning features; the document's score is the noisy-or of
 shares each document's error among its sentences, so the trained model also says which
 sentences offend.
 
+Length is no evidence. A sentence without a learned feature has no part in the noisy-or, in
+training as in scoring, and a scored document takes only sentences of ``EVIDENT`` or more, so
+that a long text does not add up what each sentence has by chance; without such a sentence the
+score is that of its likeliest one.
+
 The model is fitted on a bounded sample of labelled documents (``SampleBound``: at most so
 many rows of each label and so many characters in all, chosen by the hash of the id), on the
-driver; its weights are one fixed-size array. A document that does not fit what is left of the
+driver; its weights are at most one for each feature of the sample's words. A document that does not fit what is left of the
 bound is passed over, documents of more than a 64th of it are taken after all others, and each
 label has half of it before the other may use it. All documents are scored whole, in tasks.
 
@@ -38,10 +43,12 @@ ship_by_value(__name__)
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"\w+")
 RUN = 40  # words; a longer sentence counts as several
-DIMENSIONS = 1 << 18
+BUCKETS = (1 << 18) - 1  # training counts features by the low bits of their hash
+NONE = (1 << 32) - 1
 PREFIXES = (3, 4, 5)
 EVIDENCE = 1.5
 OFFENDS = 0.5
+EVIDENT = 0.1  # a sentence's probability from which on it joins the noisy-or of a scored document
 CACHE = 500_000
 SPANS = "array<struct<start:int,end:int,score:double>>"
 
@@ -59,13 +66,13 @@ class SampleBound:
 
 @dataclass(frozen=True)
 class Model:
-    weights: np.ndarray
+    weights: dict[int, float]  # by the whole hash, so that a long text's many words meet none by chance
     bias: float
 
 
 def features(word: str) -> list[int]:
     marks = [f"w{word}", *(f"p{word[:k]}" for k in PREFIXES if len(word) > k)]
-    return [zlib.crc32(m.encode("utf-8", "surrogatepass")) & (DIMENSIONS - 1) for m in marks]
+    return [zlib.crc32(m.encode("utf-8", "surrogatepass")) for m in marks]
 
 
 def sentences(text: str) -> Iterator[tuple[int, int, list[str]]]:
@@ -93,10 +100,10 @@ def _marks_toxic(documents: list[np.ndarray], of_word: np.ndarray, y: np.ndarray
     """Features in three toxic documents or more whose log-odds for toxic documents is at
     least ``EVIDENCE``, one standard error deducted. The noisy-or is then fitted on these:
     rare features that met toxic documents by chance would explain their labels away."""
-    counts = np.zeros((2, DIMENSIONS), dtype=np.int64)  # documents of either label that have the feature
+    counts = np.zeros((2, BUCKETS + 1), dtype=np.int64)  # documents of either label that have the feature
     for words, toxic in zip(documents, y):
-        found = np.unique(of_word[np.unique(words)])
-        counts[int(toxic), found[found >= 0]] += 1
+        found = of_word[np.unique(words)]
+        counts[int(toxic), np.unique(found[found != NONE] & BUCKETS)] += 1
     c, t = counts
     odds = np.log((t + 0.5) / (y.sum() + 1)) - np.log((c + 0.5) / ((~y).sum() + 1))
     return (t >= 3) & (odds - np.sqrt(1 / (t + 0.5) + 1 / (c + 0.5)) > EVIDENCE)
@@ -120,8 +127,8 @@ def train(sample: Iterable[tuple[str, int]], steps: int = 300, rate: float = 0.2
         y.append(bool(label))
     y, n = np.array(y, dtype=bool), len(bag_of)
     if not n or y.all() or not y.any():
-        return Model(np.zeros(DIMENSIONS, np.float32), -np.inf)
-    of_word = np.full((len(known), 1 + len(PREFIXES)), -1, dtype=np.int32)
+        return Model({}, -np.inf)
+    of_word = np.full((len(known), 1 + len(PREFIXES)), NONE, dtype=np.uint32)
     for i, w in enumerate(known):
         f = features(w)
         of_word[i, :len(f)] = f
@@ -132,11 +139,15 @@ def train(sample: Iterable[tuple[str, int]], steps: int = 300, rate: float = 0.2
     cols, rows = [], []
     for k in range(of_word.shape[1]):
         f = of_word[word, k]
-        keep = (f >= 0) & marks[f]
-        cols.append(f[keep])
+        keep = (f != NONE) & marks[f & BUCKETS]
+        cols.append(f[keep] & BUCKETS)
         rows.append(row[keep])
     used, col = np.unique(np.concatenate(cols), return_inverse=True)
-    row = np.concatenate(rows)
+    # sentences without such a feature are no evidence: they have no part in the noisy-or
+    evident, row = np.unique(np.concatenate(rows), return_inverse=True)
+    bag, n = bag[evident], len(evident)
+    if not n:
+        return Model({}, -np.inf)
     weigh = np.where(y, 0.5 / y.sum(), 0.5 / (~y).sum()) * len(y)
     w = np.zeros(len(used) + 1)
     w[-1] = -np.log(2.0 * n / len(y))  # the noisy-or of an average document starts near a half
@@ -151,22 +162,22 @@ def train(sample: Iterable[tuple[str, int]], steps: int = 300, rate: float = 0.2
         g[:-1] += decay * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-6)
-    weights = np.zeros(DIMENSIONS, np.float32)
-    weights[used] = w[:-1]
-    return Model(weights, float(w[-1]))
+    learned = of_word[(of_word != NONE) & marks[of_word & BUCKETS]]
+    learned = np.unique(learned)
+    return Model(dict(zip(learned.tolist(), w[np.searchsorted(used, learned & BUCKETS)].tolist())), float(w[-1]))
 
 
 class WordWeights(dict):
     """Summed weights of the words met so far; forgets them when there are too many."""
 
-    def __init__(self, weights: np.ndarray):
+    def __init__(self, weights: dict[int, float]):
         super().__init__()
         self.weights = weights
 
     def __missing__(self, word: str) -> float:
         if len(self) >= CACHE:
             self.clear()
-        self[word] = s = float(self.weights[features(word)].sum())
+        self[word] = s = sum(self.weights.get(f, 0.0) for f in features(word))
         return s
 
 
@@ -179,14 +190,17 @@ class Scorer:
             return 0.0, []
         spans, z = [], []
         for start, end, words in sentences(text):
-            spans.append((start, end))
-            z.append(sum(map(self.known.__getitem__, words)))
+            weights = list(map(self.known.__getitem__, words))
+            if any(weights):  # without a learned feature a sentence is no evidence and adds nothing
+                spans.append((start, end))
+                z.append(sum(weights))
         if not z:
             return 0.0, []
         z = np.array(z) + self.model.bias
         p = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+        strong = z[p >= EVIDENT]
         found = [{"start": spans[i][0], "end": spans[i][1], "score": float(p[i])} for i in np.flatnonzero(p >= OFFENDS)]
-        return float(-np.expm1(-np.logaddexp(0, z).sum())), found
+        return (float(-np.expm1(-np.logaddexp(0, strong).sum())) if len(strong) else float(p.max())), found
 
 
 def held_out(doc_id: Column) -> Column:

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -48,13 +49,13 @@ def test_labels_of_held_out_rows_are_not_used(spark, fitted):
     docs, labels, model = fitted
     flipped = labels.withColumn("toxic", F.when(toxicity_mil.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     again = toxicity_mil.fit(docs, flipped)
-    assert again.bias == model.bias and (again.weights == model.weights).all()
+    assert again.bias == model.bias and again.weights == model.weights
 
 
 def test_sample_bound(spark, fitted):
     docs, labels, _ = fitted
     small = toxicity_mil.fit(docs, labels, toxicity_mil.SampleBound(rows_per_label=3, characters=500))
-    assert small.weights.shape == (toxicity_mil.DIMENSIONS,)
+    assert len(small.weights) < 1000
 
 
 def test_odd_rows(spark, odd_docs, no_docs, fitted):
@@ -101,3 +102,46 @@ def test_a_document_that_does_not_fit_is_passed_over():
     assert toxicity_mil.within([(0, 90), (0, 30), (1, 40), (0, 20), (1, 11)], 100) == [1, 2, 3]
     assert toxicity_mil.within([(0, 300), (1, 300)], 100) == []
     assert toxicity_mil.within([(0, 40), (0, 40), (1, 10)], 100) == [0, 1, 2]  # what a label leaves, the other may use
+
+
+def plain_score(text, model):
+    """The noisy-or written out, sentence by sentence."""
+    left, best, strong = 1.0, 0.0, False
+    for _, _, words in toxicity_mil.sentences(text or ""):
+        learned = [sum(model.weights.get(f, 0.0) for f in toxicity_mil.features(w)) for w in words]
+        if not any(learned):
+            continue
+        p = 1 / (1 + math.exp(-(sum(learned) + model.bias)))
+        best = max(best, p)
+        if p >= toxicity_mil.EVIDENT:
+            left, strong = left * (1 - p), True
+    return 1 - left if strong else best
+
+
+def test_score_is_the_noisy_or(fitted):
+    docs, _, model = fitted
+    for r in toxicity_mil.toxicity(docs, model).join(docs, "doc_id").collect():
+        assert math.isclose(r.score, plain_score(r.text, model), rel_tol=1e-5, abs_tol=1e-9)
+
+
+def test_length_is_no_evidence(spark, fitted):
+    docs, _, model = fitted
+    scorer = toxicity_mil.Scorer(model)
+    assert scorer.score("The river runs past grey stones. " * 100_000)[0] < 0.1
+    assert scorer.score(" ".join(WORDS) * 50_000)[0] < 0.1
+    clean = [r.text for r in docs.filter("truth = 0").collect()]
+    clean = [t for t in clean if scorer.score(t)[0] < 0.7]
+    for n in (1, 3, 10, 30, 100, len(clean)):
+        joined = ["\n".join(clean[i:i + n]) for i in range(0, len(clean) - n + 1, n)]
+        assert not any(scorer.score(t)[0] >= 0.7 for t in joined), n
+    assert scorer.score(" ".join(f"new{i} word{i * 7}" for i in range(200_000)))[0] < 0.1  # unknown words meet no learned feature
+    # an offending sentence counts wherever it stands
+    assert scorer.score("\n".join(clean) + " You vilesome rottick grubnak.")[0] >= 0.7
+
+
+def test_weak_evidence_does_not_add_up():
+    weights = {toxicity_mil.features("maybe")[0]: 1.0, toxicity_mil.features("vile")[0]: 9.0}
+    scorer = toxicity_mil.Scorer(toxicity_mil.Model(weights, -5.0))
+    one, many = scorer.score("Well, maybe.")[0], scorer.score("Well, maybe. " * 5000)[0]
+    assert 0 < one == many < 0.1
+    assert scorer.score("Well, maybe. " * 5000 + "How vile!")[0] == pytest.approx(1 / (1 + math.exp(-4)), rel=1e-5)

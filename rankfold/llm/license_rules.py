@@ -9,9 +9,9 @@ has a higher priority, or the same priority and a longer interval; the base phra
 never suppressed. Rules come from license families and forms of mention, plus signature
 sentences; ``rules()`` lists them.
 
-Nulls: a null text is an empty text, without words and labels. Rows repeated with their id
-and text share one detection and each get their row. An empty table gives an empty result.
-Other columns are ignored.
+Nulls: a null text is an empty text, without words and labels. Rows with the same text share
+one detection and each get their row. Two matches of one interval and priority both stay. Texts
+may be of any length. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from rankfold.llm.common import let, plain_words, written
 
 REACH = 16
+SPAN = 4096
 BASE_PRIORITY = 100
 
 # Fixed values: (keyword, left, right, label); places where these words stand consecutively.
@@ -60,7 +61,6 @@ FAMILIES = [
     ("ms-pl", "(?:microsoft public|ms pl)", {}),
     ("ms-rl", "(?:microsoft reciprocal|ms rl)", {}),
     ("odbl", "(?:open database|odc open database|odbl)", {"1": "1(?: 0)?"}),
-    ("unlicense", "the un", {}),
     ("cecill", "cecill(?: [bc])?", {"2": "2(?: 0)?", "2.1": "2 1"}),
     ("vim", "vim", {}),
     ("postgresql", "postgresql", {}),
@@ -94,6 +94,106 @@ SIGNATURES = [
     ("proprietary", "", " and confidential", "proprietary", 70, 0.9),
     ("copyleft", "", "", "copyleft", 20, 0.3),
     ("foundation", "published by the free software ", "", "gpl", 70, 0.8),
+    ("permission", "", " to use copy modify and distribute this software and its documentation", "hpnd", 90, 1.0),
+    ("permission", "", " is granted to anyone to use this software for any purpose", "zlib", 90, 0.9),
+    ("notice", "the above copyright ", " and this permission notice (?:shall|appear)", "mit", 60, 0.7),
+    ("redistributions", "", " of source code must retain the above copyright notice", "bsd", 85, 0.9),
+    ("redistributions", "", " in binary form must reproduce the above copyright notice", "bsd", 85, 0.9),
+    ("endorse", "may be used to ", " or promote products derived from this software", "bsd-3", 88, 0.95),
+    ("advertising", "all ", " materials mentioning features or use of this software", "bsd-4", 88, 0.95),
+    ("freebsd", "provided by the ", " project as is", "bsd-2", 70, 0.8),
+    ("authors", "in no event will the ", " be held liable for any damages", "zlib", 80, 0.9),
+    ("altered", "", " source versions must be plainly marked as such", "zlib", 85, 1.0),
+    ("misrepresented", "origin of this software must not be ", "", "zlib", 85, 1.0),
+    ("warranty", "the software is provided as is without ", " of any kind", "disclaimer", 30, 0.4),
+    ("warranties", "basis without ", " or conditions of any kind", "disclaimer", 30, 0.4),
+    ("merchantability", "(?:implied )?warrant(?:y|ies) of ", "", "disclaimer", 25, 0.3),
+    ("compliance", "you may not use this file except in ", " with the license", "apache-2", 85, 0.9),
+    ("licenses", "apache org ", " license 2 0", "apache-2", 85, 1.0),
+    ("redistribute", "is free software you can ", " it and or modify it", "gpl", 70, 0.8),
+    ("library", "this ", " is free software you can redistribute it", "lgpl", 75, 0.85),
+    ("license", "gnu general public ", " as published by the free software foundation (?:either )?version 1", "gpl-1", 92, 1.0),
+    ("license", "gnu general public ", " as published by the free software foundation (?:either )?version 2", "gpl-2", 92, 1.0),
+    ("license", "gnu general public ", " as published by the free software foundation (?:either )?version 3", "gpl-3", 92, 1.0),
+    ("license", "gnu (?:lesser|library) general public ", " as published by the free software foundation (?:either )?version 2", "lgpl-2", 93, 1.0),
+    ("license", "gnu (?:lesser|library) general public ", " as published by the free software foundation (?:either )?version 2 1", "lgpl-2.1", 94, 1.0),
+    ("license", "gnu (?:lesser|library) general public ", " as published by the free software foundation (?:either )?version 3", "lgpl-3", 93, 1.0),
+    ("license", "gnu affero general public ", " as published by the free software foundation (?:either )?version 3", "agpl-3", 94, 1.0),
+    ("mozilla", "source code form is subject to the terms of the ", " public", "mpl-2", 90, 1.0),
+    ("mozilla", "contents of this file are subject to the ", " public", "mpl-1.1", 90, 0.9),
+    ("eclipse", "made available under the terms of the ", " public", "epl", 85, 0.9),
+    ("development", "subject to the terms of the common ", " and distribution", "cddl", 85, 0.9),
+    ("unencumbered", "free and ", " software released into the public domain", "unlicense", 90, 1.0),
+    ("fuck", "do what the ", " you want to", "wtfpl", 90, 1.0),
+    ("waived", "", " all copyright and related or neighboring rights", "cc0", 85, 0.95),
+    ("whatever", "as long as you retain this notice you can do ", " you want with this stuff", "beerware", 90, 1.0),
+    ("beerware", "", "", "beerware", 60, 0.8),
+    ("evil", "used for good not ", "", "json", 90, 1.0),
+    ("ssleay", "", "", "openssl", 50, 0.6),
+    ("unauthorized", "", " (?:copying|use|reproduction|distribution) of this (?:file|software|document)", "proprietary", 80, 0.9),
+    ("confidential", "", " and proprietary", "proprietary", 70, 0.9),
+    ("trade", "contains ", " secrets", "proprietary", 60, 0.7),
+    ("sharealike", "attribution (?:noncommercial )?", "", "cc-by-sa", 40, 0.6),
+    ("dual", "", " licensed under", "dual-license", 30, 0.5),
+    ("gplv1", "", "", "gpl-1", 60, 0.9),
+    ("gplv2", "", "", "gpl-2", 60, 0.9),
+    ("gpl2", "", "", "gpl-2", 60, 0.9),
+    ("gplv3", "", "", "gpl-3", 60, 0.9),
+    ("gpl3", "", "", "gpl-3", 60, 0.9),
+    ("lgplv2", "", "", "lgpl-2", 60, 0.9),
+    ("lgplv2", "", " 1", "lgpl-2.1", 61, 0.9),
+    ("lgplv3", "", "", "lgpl-3", 60, 0.9),
+    ("lgpl3", "", "", "lgpl-3", 60, 0.9),
+    ("agplv3", "", "", "agpl-3", 60, 0.9),
+    ("agpl3", "", "", "agpl-3", 60, 0.9),
+    ("asl2", "", "", "apache-2", 60, 0.8),
+    ("apache2", "", "", "apache-2", 60, 0.8),
+    ("cc0", "", "(?: 1 0)?", "cc0", 60, 0.9),
+    ("0bsd", "", "", "bsd-0", 60, 0.9),
+    ("bsl", "", " 1 0", "boost-1", 60, 0.8),
+    ("gpl", "", "(?: version)? 1(?: 0)?(?: (?:only|or later))?", "gpl-1", 62, 0.8),
+    ("gpl", "", "(?: version| v)? 2(?: 0)?(?: (?:only|or later))?", "gpl-2", 62, 0.9),
+    ("gpl", "", " v2", "gpl-2", 62, 0.9),
+    ("gpl", "", "(?: version| v)? 3(?: 0)?(?: (?:only|or later))?", "gpl-3", 62, 0.9),
+    ("gpl", "", " v3", "gpl-3", 62, 0.9),
+    ("gpl", "under the (?:terms of the )?(?:gnu )?", "", "gpl", 58, 0.8),
+    ("lgpl", "", "(?: version| v)? 2(?: 0)?(?: (?:only|or later))?", "lgpl-2", 62, 0.9),
+    ("lgpl", "", "(?: version| v)? 2 1(?: (?:only|or later))?", "lgpl-2.1", 63, 0.9),
+    ("lgpl", "", " v2(?: 1)?", "lgpl-2.1", 62, 0.8),
+    ("lgpl", "", "(?: version| v)? 3(?: 0)?(?: (?:only|or later))?", "lgpl-3", 62, 0.9),
+    ("lgpl", "", " v3", "lgpl-3", 62, 0.9),
+    ("lgpl", "under the (?:terms of the )?(?:gnu )?", "", "lgpl", 58, 0.8),
+    ("agpl", "", "(?: version| v)? 3(?: 0)?(?: (?:only|or later))?", "agpl-3", 62, 0.9),
+    ("agpl", "under the (?:terms of the )?(?:gnu )?", "", "agpl", 58, 0.8),
+    ("mpl", "", "(?: version| v)? 1 1", "mpl-1.1", 62, 0.9),
+    ("mpl", "", "(?: version| v)? 2 0", "mpl-2", 62, 0.9),
+    ("epl", "", "(?: version| v)? 1 0", "epl-1", 62, 0.9),
+    ("epl", "", "(?: version| v)? 2 0", "epl-2", 62, 0.9),
+    ("eupl", "", "(?: version| v)? 1 2", "eupl-1.2", 62, 0.9),
+    ("cddl", "", "(?: version| v)? 1 (?:0|1)", "cddl-1", 62, 0.9),
+    ("ofl", "", "(?: version| v)? 1 1", "ofl-1.1", 62, 0.9),
+    ("bsd", "", " 2 clause", "bsd-2", 62, 0.9),
+    ("bsd", "", " 3 clause", "bsd-3", 62, 0.9),
+    ("bsd", "", " 4 clause", "bsd-4", 62, 0.9),
+    ("bsd", "under (?:the |a )", "", "bsd", 55, 0.7),
+    ("apache", "(?:under |the )", " (?:version |v)?2(?: 0)?", "apache-2", 62, 0.8),
+    ("license", "", " mit", "mit", 55, 0.8),
+    ("license", "", " isc", "isc", 55, 0.8),
+    ("license", "", " apache(?: license)? 2(?: 0)?", "apache-2", 57, 0.8),
+    ("license", "", " bsd", "bsd", 55, 0.7),
+    ("license", "", " bsd 2 clause", "bsd-2", 57, 0.8),
+    ("license", "", " bsd 3 clause", "bsd-3", 57, 0.8),
+    ("license", "", " gpl", "gpl", 55, 0.7),
+    ("license", "", " lgpl", "lgpl", 55, 0.7),
+    ("license", "", " agpl", "agpl", 55, 0.7),
+    ("license", "", " zlib", "zlib", 55, 0.8),
+    ("license", "", " unlicense", "unlicense", 55, 0.8),
+    ("license", "", " wtfpl", "wtfpl", 55, 0.8),
+    ("license", "", " cc0", "cc0", 55, 0.8),
+    ("license", "", " proprietary", "proprietary", 55, 0.7),
+    ("license", "", " (?:commercial|closed source)", "proprietary", 50, 0.6),
+    ("license", "public domain ", "", "public-domain", 60, 0.7),
+    ("license", "the un ", "", "unlicense", 60, 0.6),
 ]
 
 
@@ -145,29 +245,39 @@ def mentions(docs: DataFrame) -> DataFrame:
         found = F.filter(F.transform(w, lambda x, i: F.when(x.isin(keywords), i)), lambda i: i.isNotNull())
         return F.struct(F.size(w).cast("long").alias("n_words"), F.transform(found, one).alias("places"))
 
-    return docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
+    # 128 bits: copies of a text share its detection, different texts must not
+    return docs.select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_hash"),
                        let(plain_words(F.col("text")), stretches).alias("m")).select("doc_id", "text_hash", "m.*")
 
 
 def detections(found: DataFrame) -> DataFrame:
-    """One row per match: doc_id, text_hash, start, end, label, form, priority, weight, kept."""
-    places = (found.filter(F.size("places") > 0).select("doc_id", "text_hash", F.explode("places").alias("p"))
-              .select("doc_id", "text_hash", "p.*"))
+    """One row per match in a different text: text_hash, start, end, label, form, priority, weight,
+    kept.
+
+    Copies of a text are reduced to one before the shuffle, and places are dealt by all their
+    columns, so the places of one long text are tried in as many tasks as those of many. Blocks of
+    ``SPAN`` words are searched for containing matches on their own, each with the matches
+    that start in the ``2 * REACH`` words before it."""
+    places = (found.filter(F.size("places") > 0).select("text_hash", F.explode("places").alias("p"))
+              .select("text_hash", "p.*").distinct())
     # few bytes but hundreds of patterns each: a fixed number of partitions, which AQE leaves as it is
-    places = places.repartition(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", "text_hash")
+    places = places.repartition(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), "text_hash", "at")
     tried = places.join(F.broadcast(rule_table(found.sparkSession)), "keyword")  # a fixed table
     hit = F.regexp_substr("stretch", F.col("pattern"))
     before, after = F.substring_index("hit", "@", 1), F.substring_index("hit", "@", -1)
     spaces = lambda c: F.length(c) - F.length(F.translate(c, " ", ""))
     out = tried.withColumn("hit", hit).filter("hit IS NOT NULL").select(
-        "doc_id", "text_hash", (F.col("at") - spaces(before)).cast("long").alias("start"),
+        "text_hash", (F.col("at") - spaces(before)).cast("long").alias("start"),
         (F.col("at") + 1 + spaces(after)).cast("long").alias("end"), "label", "form", "priority", "weight").distinct()
-    near = Window.partitionBy("doc_id", "text_hash").orderBy("start").rangeBetween(-2 * REACH, 0)
+    own = F.floor(F.col("start") / SPAN)
+    blocks = F.when(F.col("start") % SPAN >= SPAN - 2 * REACH, F.array(own, own + 1)).otherwise(F.array(own))
+    near = Window.partitionBy("text_hash", "block").orderBy("start").rangeBetween(-2 * REACH, 0)
     size = F.col("end") - F.col("start")
     over = F.exists("others", lambda o: (o["start"] <= F.col("start")) & (o["end"] >= F.col("end")) & (
         (o["priority"] > F.col("priority")) | ((o["priority"] == F.col("priority")) & (o["end"] - o["start"] > size))))
-    return (out.withColumn("others", F.collect_list(F.struct("start", "end", "priority")).over(near))
-            .withColumn("kept", (F.col("form") == "base") | ~over).drop("others"))
+    return (out.withColumn("block", F.explode(blocks))
+            .withColumn("others", F.collect_list(F.struct("start", "end", "priority")).over(near))
+            .filter(F.col("block") == own).withColumn("kept", (F.col("form") == "base") | ~over).drop("others", "block"))
 
 
 def licenses(docs: DataFrame) -> DataFrame:
@@ -176,14 +286,12 @@ def licenses(docs: DataFrame) -> DataFrame:
     found = written(mentions(docs), "license-mentions")
     base = F.col("form") == "base"
     names = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
-    per_doc = detections(found).groupBy("doc_id", "text_hash").agg(
+    per_text = detections(found).groupBy("text_hash").agg(
         F.count(F.when(base, 1)).alias("n_base"), F.min(F.when(base, F.col("start"))).alias("first_word"),
         F.max(F.when(base, F.col("start"))).alias("last_word"), names(F.when(base, F.col("label"))).alias("base_labels"),
         names(F.when(F.col("kept"), F.col("label"))).alias("labels"), F.max(F.when(F.col("kept"), F.col("weight"))).alias("score"),
         F.count(F.when(F.col("kept"), 1)).alias("n_matches"))
-    side = per_doc.withColumnRenamed("doc_id", "_d").withColumnRenamed("text_hash", "_h")
-    out = found.select("doc_id", "text_hash", "n_words").join(
-        side, (F.col("text_hash") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left")
+    out = found.select("doc_id", "text_hash", "n_words").join(per_text, "text_hash", "left")
     zero, none = F.lit(0).cast("long"), F.lit("")
     return out.select("doc_id", "n_words", F.coalesce("n_base", zero).alias("n_base"), "first_word", "last_word",
                       F.coalesce("base_labels", none).alias("base_labels"), F.coalesce("labels", none).alias("labels"),

@@ -44,6 +44,7 @@ ship_by_value(__name__)
 SEED = 42
 THIRDS = (0, 22, 43)  # first bit of each third
 LEADING = 21  # bits of the shortest third
+SALTS = 32
 MAX_CELL = 20_000
 FRONTIER = 200_000
 
@@ -219,10 +220,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, max_ce
     rows = written(fingerprints(docs, shingle), "simhash")
     classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
     groups = connected_components(links(classes.select("fp"), classes.count(), max_bits, max_cell), "simhash-links")
-    named = (classes.join(groups.withColumnRenamed("node", "fp"), "fp", "left")
-             .withColumn("component", F.coalesce("component", "fp")))
-    ids = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    ids = named.select("fp", "component").join(ids, "component").select("fp", "component_id", "component")
+    named = written(classes.join(groups.withColumnRenamed("node", "fp"), "fp", "left"), "simhash-named")
+    # a class without links names itself; one component may hold most of the others, so its rows
+    # meet the component's smallest id over SALTS keys
+    members = named.filter("component IS NOT NULL").withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)))
+    least = members.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    least = least.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    ids = (members.join(least, ["component", "salt"]).select("fp", "component_id", "component")
+           .unionByName(named.filter("component IS NULL").select("fp", F.col("first_id").alias("component_id"), F.col("fp").alias("component"))))
     return rows.join(ids, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "text_hash", "component")
 

@@ -15,20 +15,23 @@ empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm.common import ascii_lower, broadcast_if_small, written
+from rankfold.llm.common import WHITE_SPACE, ascii_lower, broadcast_if_small, written
 from rankfold.llm.components import connected_components
 
 BROADCAST_RULES = 100_000
 
 HAS_LINK = r"(?i)canonical|og:url|http-equiv"
-TAGS = {  # tag that declares an address, and where the address stands in it
-    r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>": r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)",
-    r"(?i)<meta\b[^>]*\bproperty\s*=\s*[\"']?og:url\b[^>]*>": r"(?i)\bcontent\s*=\s*[\"']?([^\"'\s>]+)",
-    r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>": r"(?i)\burl\s*=\s*['\"]?([^\"'\s>]+)",
-}
+RAW = "script|style|textarea|title"  # elements whose content is no markup
+TAG = r"(?i)^(?:link|meta|base)[\s/]"
+ATTRIBUTE = r"""(?i)[\s"'/]{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+REFRESH = r"""(?i)^[^;,]*[;,]\s*url\s*=\s*["']?([^"'\s]*)"""
+AMPERSAND = r"(?i)&(?:amp|#0*38|#x0*26);"
+ABSOLUTE, OTHER_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*://", r"^[A-Za-z][A-Za-z0-9+.-]*:"
 ALIAS_HOST = r"^(?:www|m)\."
 TRACKING = r"&(?:utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
 
@@ -55,16 +58,69 @@ def usual_form(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, form)
 
 
+def markup(html: Column) -> Column:
+    """``html`` without comments and the content of raw elements, by splitting: linear however many
+    of them are left open (an open one takes all that follows, as in a browser)."""
+    def after(part: Column, end: str) -> Column:
+        at = F.regexp_instr(part, F.lit(end))
+        return F.when(at > 0, F.substr(part, at)).otherwise(F.lit(""))
+
+    def cut(text: Column, start: str, end: str) -> Column:
+        parts = F.split(text, start)
+        return F.array_join(F.transform(parts, lambda x, i: F.when(i == 0, x).otherwise(after(x, end))), "")
+
+    return cut(cut(html, "<!--", "-->"), rf"(?i)<(?=(?:{RAW})[\s/>])", rf"(?i)</(?:{RAW})[\s/>]")
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """An attribute's value, white space around it trimmed and ampersands decoded; empty without one."""
+    pattern = ATTRIBUTE.replace("{name}", name)
+    value = F.concat(*[F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)])
+    return F.btrim(F.regexp_replace(value, AMPERSAND, "&"), F.lit(WHITE_SPACE))
+
+
+def without_dots(route: Column) -> Column:
+    """A path with its ``.`` and ``..`` segments resolved."""
+    def step(done, x):
+        return F.when(x == "..", F.regexp_replace(done, "/[^/]*$", "")).when(x == ".", done).otherwise(F.concat(done, F.lit("/"), x))
+
+    plain = F.aggregate(F.split(F.regexp_replace(route, "^/", ""), "/"), F.lit(""), step)
+    return F.when(route.rlike(r"(?:^|/)\.\.?(?:/|$)"), F.concat(plain, F.when(route.rlike(r"(?:^|/)\.\.?$"), F.lit("/")).otherwise(F.lit("")))
+                  ).otherwise(route)
+
+
+def resolved(target: Column, base: Column) -> Column:
+    """An address as seen from the URL ``base``; null for an empty one, a fragment, or a scheme
+    without ``//`` (mail, script)."""
+    scheme = F.substring_index(base, "://", 1)
+    origin = F.concat(scheme, F.lit("://"), host(base))
+    folder = F.regexp_replace(path(base), "[^/]*$", "")
+    t_path, t_rest = F.regexp_extract(target, "^([^?#]*)", 1), F.regexp_extract(target, "^[^?#]*(.*)", 1)
+    relative = F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), t_path)
+    return (F.when((target == "") | target.startswith("#"), F.lit(None))
+            .when(target.rlike(ABSOLUTE), target)
+            .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
+            .when(target.rlike(OTHER_SCHEME), F.lit(None))
+            .when(target.startswith("?"), F.concat(origin, path(base), target))
+            .when(target.startswith("/"), F.concat(origin, without_dots(t_path), t_rest))
+            .otherwise(F.concat(origin, without_dots(relative), t_rest)))
+
+
 def declared(pages: DataFrame) -> DataFrame:
-    """(url, target) of the addresses that pages declare for themselves; relative ones are
-    taken from the page's host."""
+    """(url, target) of the addresses that pages declare for themselves, in every ``link`` and
+    ``meta`` tag outside comments, scripts, styles, text areas and titles. Relative ones are
+    resolved against the page's first ``base`` or else its URL. A tag ends at its first ``>``."""
     pages = pages.select("url", "html").filter(F.col("html").rlike(HAS_LINK) & (F.instr("url", "://") > 0))
-    found = F.array(*[F.regexp_extract(F.regexp_extract("html", tag, 0), place, 1) for tag, place in TAGS.items()])
-    t = F.col("t")
-    scheme = F.substring_index("url", "://", 1)
-    target = (F.when(F.instr(t, "://") > 0, t).when(t.startswith("//"), F.concat(scheme, F.lit(":"), t))
-              .when(t.startswith("/"), F.concat(scheme, F.lit("://"), host(F.col("url")), t)))
-    return pages.select("url", F.explode(found).alias("t")).select("url", target.alias("target")).filter("target IS NOT NULL").distinct()
+    pieces = F.filter(F.split(markup(F.col("html")), "<"), lambda x: x.rlike(TAG) & (F.instr(x, ">") > 0))
+    tags = pages.select("url", F.transform(pieces, lambda x: F.substring_index(x, ">", 1)).alias("tags"))
+    bases = F.filter(F.transform("tags", lambda x: F.when(x.rlike(r"(?i)^base[\s/]"), attribute(x, "href"))), lambda x: x != "")
+    tags = tags.select("url", F.coalesce(resolved(F.get(bases, F.lit(0)), F.col("url")), F.col("url")).alias("base"), F.explode("tags").alias("tag"))
+    tag = F.col("tag")
+    link, meta = tag.rlike(r"(?i)^link[\s/]"), tag.rlike(r"(?i)^meta[\s/]")
+    found = (F.when(link & attribute(tag, "rel").rlike(r"(?i)(?:^|\s)canonical(?:\s|$)"), attribute(tag, "href"))
+             .when(meta & (F.lower(attribute(tag, "property")) == "og:url"), attribute(tag, "content"))
+             .when(meta & (F.lower(attribute(tag, "http-equiv")) == "refresh"), F.regexp_extract(attribute(tag, "content"), REFRESH, 1)))
+    return tags.select("url", resolved(found, F.col("base")).alias("target")).filter("target IS NOT NULL").distinct()
 
 
 def rule_verdicts(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -119,14 +175,52 @@ def _oracle() -> str:
     route = rf"regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1)"
     query = rf"regexp_extract({rest}, '^[^?#]*\?([^#]*)', 1)"
     values = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
-    quoted = [(tag.replace("'", "''"), place.replace("'", "''")) for tag, place in TAGS.items()]
-    found = " UNION ".join(f"SELECT url, regexp_extract(regexp_extract(html, '{tag}', 0), '{place}', 1) AS t FROM pages" for tag, place in quoted)
+    def on(expr, name):  # an expression over ``url`` for another column
+        return re.sub(r"\burl\b", name, expr)
+
+    def cut(text, split, end):
+        return (f"array_to_string(list_transform({split}, lambda x, i: CASE WHEN i = 1 THEN x ELSE "
+                f"coalesce(regexp_extract(x, '(?is){end}.*$'), '') END), '')")
+
+    text = cut("html", "string_split(html, '<!--')", "-->")
+    raw = cut("m", rf"string_split(regexp_replace(m, '(?i)<((?:{RAW})[\s/>])', chr(1) || '\1', 'g'), chr(1))", rf"</(?:{RAW})[\s/>]")
+    def attr(name):
+        pattern = ATTRIBUTE.replace("{name}", name).replace("'", "''")
+        value = " || ".join(f"regexp_extract(tag, '{pattern}', {k})" for k in (1, 2, 3))
+        return rf"trim(regexp_replace({value}, '{AMPERSAND}', '&', 'g'), e' \t\n\x0b\f\r')"
+
+    def dots(route):
+        fold = (f"list_reduce(list_prepend('', string_split(regexp_replace({route}, '^/', ''), '/')), lambda done, x: "
+                "CASE WHEN x = '..' THEN regexp_replace(done, '/[^/]*$', '') WHEN x = '.' THEN done ELSE done || '/' || x END)")
+        return (rf"CASE WHEN regexp_matches({route}, '(?:^|/)\.\.?(?:/|$)') THEN {fold} || CASE WHEN regexp_matches({route}, '(?:^|/)\.\.?$') "
+                f"THEN '/' ELSE '' END ELSE {route} END")
+
+    def resolve(t, base):
+        origin = f"split_part({base}, '://', 1) || '://' || {on(hostname, base)}"
+        folder = f"regexp_replace({on(route, base)}, '[^/]*$', '')"
+        t_path, t_rest = f"regexp_extract({t}, '^([^?#]*)', 1)", f"regexp_extract({t}, '^[^?#]*(.*)', 1)"
+        relative = f"(CASE WHEN {folder} = '' THEN '/' ELSE {folder} END || {t_path})"
+        return (f"CASE WHEN {t} IS NULL OR {t} = '' OR starts_with({t}, '#') THEN NULL WHEN regexp_matches({t}, '{ABSOLUTE}') THEN {t} "
+                f"WHEN starts_with({t}, '//') THEN split_part({base}, '://', 1) || ':' || {t} WHEN regexp_matches({t}, '{OTHER_SCHEME}') THEN NULL "
+                f"WHEN starts_with({t}, '?') THEN {origin} || {on(route, base)} || {t} "
+                f"WHEN starts_with({t}, '/') THEN {origin} || {dots(t_path)} || {t_rest} ELSE {origin} || {dots(relative)} || {t_rest} END")
+
+    refresh = REFRESH.replace("'", "''")
     return rf"""
 WITH RECURSIVE rules(verdict, rh, rp) AS (VALUES {values}),
-declared AS (
-  SELECT DISTINCT url, CASE WHEN strpos(t, '://') > 0 THEN t WHEN t LIKE '//%' THEN split_part(url, '://', 1) || ':' || t
-    WHEN t LIKE '/%' THEN split_part(url, '://', 1) || '://' || {hostname} || t END AS target
-  FROM ({found}) WHERE strpos(url, '://') > 0),
+texts AS (SELECT url, {text} AS m FROM pages WHERE strpos(url, '://') > 0),
+pieces AS (SELECT url, list_transform(list_filter(string_split({raw}, '<'), lambda x: regexp_matches(x, '{TAG}') AND strpos(x, '>') > 0),
+  lambda x: split_part(x, '>', 1)) AS tags FROM texts),
+numbered AS (SELECT url, unnest(tags) AS tag, generate_subscripts(tags, 1) AS n FROM pieces),
+hrefs AS (SELECT url, arg_min(h, n) AS t FROM (SELECT url, n, {attr('href')} AS h FROM numbered WHERE regexp_matches(tag, '(?i)^base[\s/]'))
+  WHERE h <> '' GROUP BY url),
+found AS (SELECT url, CASE
+    WHEN regexp_matches(tag, '(?i)^link[\s/]') AND regexp_matches({attr('rel')}, '(?i)(?:^|\s)canonical(?:\s|$)') THEN {attr('href')}
+    WHEN regexp_matches(tag, '(?i)^meta[\s/]') AND lower({attr('property')}) = 'og:url' THEN {attr('content')}
+    WHEN regexp_matches(tag, '(?i)^meta[\s/]') AND lower({attr('http-equiv')}) = 'refresh' THEN regexp_extract({attr('content')}, '{refresh}', 1)
+  END AS t FROM numbered),
+based AS (SELECT f.url, f.t, coalesce({resolve('b.t', 'b.url')}, f.url) AS base FROM found f LEFT JOIN hrefs b ON b.url = f.url),
+declared AS (SELECT DISTINCT url, {resolve('t', 'base')} AS target FROM based),
 nodes AS (SELECT url FROM pages WHERE strpos(url, '://') > 0 UNION SELECT target FROM declared WHERE target IS NOT NULL),
 parts AS (SELECT url, {hostname} AS host, {route} AS path,
   regexp_replace({hostname}, '{ALIAS_HOST}', '') || regexp_replace({route}, '/+$', '') || '?'

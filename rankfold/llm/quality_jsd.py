@@ -11,13 +11,14 @@ language (null is one) whose reference holds fewer than ``MIN_REFERENCE_WORDS``
 small to judge by: its documents are kept if they pass the base rules.
 
 Nulls: a null text is an empty text; it fails the base rules. Repeated rows each get their
-row; an empty table gives an empty result. Other columns are ignored. 8-word windows are
-compared by 64-bit hashes of their words.
+row; an empty table gives an empty result. Texts may be of any length; of equal distances
+at the median all count as near. Other columns are ignored. 8-word windows are compared by 64-bit
+hashes of their words.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankfold.llm.common import WHITE_SPACE, broadcast_if_small, let, shingle_hashes, space_words, written
@@ -162,6 +163,23 @@ def with_distances(rows: DataFrame, refs: DataFrame, min_chars: int, min_words:
             .withColumn("word_distance", F.when(long_words, words)).select(*rows.columns, "char_distance", "word_distance"))
 
 
+def _bucket(distance: str) -> Column:
+    return F.round(distance, 6)
+
+
+def medians(near: DataFrame) -> DataFrame:
+    """(lang, mc, mw): each language's lower medians of char_distance and word_distance rounded to
+    six digits, exact and the same in every run: a histogram has a million buckets at most,
+    however many documents there are."""
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), _bucket(f"{k}_distance").alias("d")) for k in ("char", "word")])).alias("v")
+    sizes = near.select("lang", kinds).select("lang", "v.*").filter("d IS NOT NULL").groupBy("lang", "kind", "d").agg(F.count("*").alias("n"))
+    all_ = Window.partitionBy("lang", "kind")
+    half = (sizes.withColumn("up_to", F.sum("n").over(all_.orderBy("d"))).withColumn("total", F.sum("n").over(all_))
+            .filter(2 * F.col("up_to") >= F.col("total")))
+    return half.groupBy("lang").agg(F.min(F.when(F.col("kind") == "char", F.col("d"))).alias("mc"),
+                                    F.min(F.when(F.col("kind") == "word", F.col("d"))).alias("mw"))
+
+
 def quality(docs: DataFrame, max_char_distance: float = MAX_CHAR_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE,
             min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS) -> DataFrame:
     """Base counts, char_distance and word_distance to the language reference (null where the
@@ -170,10 +188,9 @@ def quality(docs: DataFrame, max_char_distance: float = MAX_CHAR_DISTANCE, max_w
     good = rows.filter(~F.col("base_failed"))
     first = written(references(good), "quality-references")
     near = written(with_distances(good, first, min_chars, min_words), "quality-distances")
-    middle = near.groupBy("lang").agg(F.percentile_approx("char_distance", 0.5).alias("mc"),
-                                      F.percentile_approx("word_distance", 0.5).alias("mw")).withColumnRenamed("lang", "_l")
+    middle = medians(near).withColumnRenamed("lang", "_l")
     inner = near.join(broadcast_if_small(middle, first.count(), BROADCAST_LANGUAGES), F.col("lang").eqNullSafe(F.col("_l")))
-    inner = inner.filter("char_distance <= mc OR word_distance <= mw").select(*rows.columns)
+    inner = inner.filter((_bucket("char_distance") <= F.col("mc")) | (_bucket("word_distance") <= F.col("mw"))).select(*rows.columns)
     out = with_distances(rows, written(references(inner), "quality-references"), min_chars, min_words)
     noise = F.lit(WORD_NOISE) / F.sqrt(F.col("n_words"))
     far = F.coalesce(F.col("char_distance") > max_char_distance, F.lit(False)) | F.coalesce(

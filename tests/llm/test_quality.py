@@ -1,6 +1,7 @@
+import math
 import random
 
-from brute import base_quality
+from brute import SPACE_WORD, base_quality
 from rankfold.llm import quality_jsd
 from rankfold.llm.common import written
 
@@ -16,6 +17,92 @@ def test_base_counts_match_brute_force(spark):
         assert not (r.kept and r.base_failed)
 
 
+def histograms(text):
+    """Characters by class and vocabulary counts of one text."""
+    text = text or ""
+    wide = sum(len(c.encode()) - 1 for c in text)
+    chars = [sum("a" <= c <= "z" for c in text), sum("A" <= c <= "Z" for c in text), sum("0" <= c <= "9" for c in text),
+             sum(c in quality_jsd.WHITE_SPACE for c in text), sum(c in quality_jsd.PUNCTUATION for c in text),
+             sum(c in quality_jsd.SYMBOLS for c in text), wide]
+    words = SPACE_WORD.findall(text)
+    plain = [w.strip(quality_jsd.PUNCTUATION).lower() for w in words]
+    inside = [plain.count(v) for v in quality_jsd.VOCABULARY]
+    return chars, [*inside, len(words) - sum(inside)]
+
+
+def js(p, q):
+    a, b, out = sum(p), sum(q), 0.0
+    if not a or not b:
+        return 0.0
+    for x, y in zip(p, q):
+        x, y = x / a, y / b
+        m = (x + y) / 2
+        out += (x * math.log2(x / m) if x else 0) + (y * math.log2(y / m) if y else 0)
+    return math.sqrt(max(out / 2, 0))
+
+
+def plain_quality(docs):
+    """(kept, char_distance, word_distance) by id, all in plain Python; docs are (id, text, lang)."""
+    base = {i: base_quality(t) for i, t, _ in docs}
+    hist = {i: histograms(t) for i, t, _ in docs}
+
+    def reference(rows):
+        out = {}
+        for i, _, lang in rows:
+            c, w = out.get(lang, ([0] * 7, [0] * (len(quality_jsd.VOCABULARY) + 1)))
+            out[lang] = [x + y for x, y in zip(c, hist[i][0])], [x + y for x, y in zip(w, hist[i][1])]
+        return out
+
+    def distances(rows, refs):
+        out = {}
+        for i, _, lang in rows:
+            ref = refs.get(lang)
+            big = ref is not None and sum(ref[1]) >= quality_jsd.MIN_REFERENCE_WORDS
+            out[i] = (js(hist[i][0], ref[0]) if big and base[i][1] >= quality_jsd.MIN_CHARS else None,
+                      js(hist[i][1], ref[1]) if big and base[i][0] >= quality_jsd.MIN_WORDS else None)
+        return out
+
+    good = [d for d in docs if not base[d[0]][5]]
+    near = distances(good, reference(good))
+    inner = []
+    for lang in {d[2] for d in good}:
+        own = [d for d in good if d[2] == lang]
+        limit = []
+        for k in (0, 1):
+            xs = sorted(round(near[d[0]][k], 6) for d in own if near[d[0]][k] is not None)
+            limit.append(xs[(len(xs) - 1) // 2] if xs else -1)
+        inner += [d for d in own if any(near[d[0]][k] is not None and round(near[d[0]][k], 6) <= limit[k] for k in (0, 1))]
+    out = {}
+    for i, (c, w) in distances(docs, reference(inner)).items():
+        far = (c is not None and c > quality_jsd.MAX_CHAR_DISTANCE) or (
+            w is not None and w > quality_jsd.MAX_WORD_DISTANCE + quality_jsd.WORD_NOISE / math.sqrt(base[i][0]))
+        out[i] = not base[i][5] and not far, c, w
+    return out
+
+
+def test_verdicts_match_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    want = plain_quality([tuple(r) for r in docs.collect()])
+    rows = quality_jsd.quality(docs).collect()
+    assert any(r.char_distance is not None for r in rows) and len({r.kept for r in rows}) == 2
+    for r in rows:
+        kept, c, w = want[r.doc_id]
+        assert r.kept == kept, r.doc_id
+        for x, y in ((r.char_distance, c), (r.word_distance, w)):
+            assert (x is None) == (y is None) and (x is None or math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9))
+
+
+def test_medians_are_exact(spark):
+    rng = random.Random(6)
+    rows = [(lang, rng.random(), rng.choice([None, rng.random()])) for lang in ("a", None) for _ in range(rng.randint(50, 99))]
+    df = spark.createDataFrame(rows, "lang string, char_distance double, word_distance double").repartition(7)
+    got = {r.lang: (r.mc, r.mw) for r in quality_jsd.medians(df).collect()}
+    for lang in ("a", None):
+        for k in (1, 2):
+            xs = sorted(round(r[k], 6) for r in rows if r[0] == lang and r[k] is not None)
+            assert got[lang][k - 1] == xs[(len(xs) - 1) // 2]
+
+
 def test_repeated_windows(spark):
     rng = random.Random(2)
     texts = ["a b c d e f g h a b c d e f g h", "x " * 30, "a b c d e f g h i a b c d e f g h", "", " \n\t", "a b c",

@@ -49,7 +49,7 @@ PREFIXES = (3, 4, 5)
 EVIDENCE = 1.5
 OFFENDS = 0.5
 EVIDENT = 0.1  # a sentence's probability from which on it joins the noisy-or of a scored document
-CACHE = 500_000
+CACHE = 100_000
 SPANS = "array<struct<start:int,end:int,score:double>>"
 
 

@@ -51,7 +51,7 @@ BLOCK = 4096
 SHARE = 0.95
 WHOLE_BYTES = (8, 16, 32)  # widths whose packed bits are plain little-endian numbers
 SEGMENT = 1_000_000
-MEMO = 700_000
+MEMO = 400_000
 HEAD = "<4sHHIQI"
 BLOCK_HEAD = "<IBH"
 

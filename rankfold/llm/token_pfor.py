@@ -51,7 +51,7 @@ BLOCK = 4096
 SHARE = 0.95
 WHOLE_BYTES = (8, 16, 32)  # widths whose packed bits are plain little-endian numbers
 SEGMENT = 1_000_000
-MEMO = 400_000
+MEMO = 700_000  # chunks that a worker process remembers
 HEAD = "<4sHHIQI"
 BLOCK_HEAD = "<IBH"
 
@@ -127,7 +127,7 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.memo = Tokenizer.from_file(path), {}
+        self.tokenizer, self.memo, self.limit = Tokenizer.from_file(path), {}, MEMO
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         space = ("\u0120", "\u010a")  # how byte-level tokens write a space and a line feed
@@ -170,7 +170,7 @@ class Encoder:
         return CHUNK.findall(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > MEMO:
+        if len(self.memo) > self.limit:
             self.memo.clear()
         known, rows, new = self.memo.get, [], set()
         for t in texts:
@@ -199,8 +199,9 @@ def task_encoder(path: str) -> Encoder:
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, block: int = BLOCK,
-                 share: float = SHARE, segment: int = SEGMENT) -> None:
-    """Encode every text, append ``end_id`` and write segments in ascending doc_id order."""
+                 share: float = SHARE, segment: int = SEGMENT, memo: int = MEMO) -> None:
+    """Encode every text, append ``end_id`` and write segments in ascending doc_id order. A worker
+    remembers up to ``memo`` chunks (about 200 bytes each)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,6 +209,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is all that it may use
         encoder, part, number = task_encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder.limit = memo
         end = np.array([end_id], dtype="<u4").tobytes()
         held_ids, held, total = [], [], 0
 
@@ -274,10 +276,10 @@ def read_tokens(spark, path: str, with_ids: bool = False) -> DataFrame:
     return out.select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
 
 
-def token_digest(docs: DataFrame, tokenizer_path: str, path: str | None = None, end_id: int = 0) -> DataFrame:
+def token_digest(docs: DataFrame, tokenizer_path: str, path: str | None = None, end_id: int = 0, memo: int = MEMO) -> DataFrame:
     """Write ``docs`` as token files (to the shared scratch folder unless ``path`` is given) and
     return what the files hold for each document."""
     spark = docs.sparkSession
     path = path or scratch_path(spark, "tokens")
-    write_tokens(docs, tokenizer_path, path, end_id)
+    write_tokens(docs, tokenizer_path, path, end_id, memo=memo)
     return read_tokens(spark, path)

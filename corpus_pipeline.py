@@ -36,8 +36,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the mix and, read back from them, a digest for each document."""
-    return token_pfor.token_digest(docs, tokenizer_path(), end_id=0)
+    """Token files of the mix and, read back from them, a digest for each document. The workers are
+    those of the stages before, so the encoder remembers fewer chunks than alone."""
+    return token_pfor.token_digest(docs, tokenizer_path(), end_id=0, memo=400_000)
 
 
 STAGES = [("toxicity", toxicity), ("simhash near-dedup", simhash), ("benchmark decontamination", decontamination),

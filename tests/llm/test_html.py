@@ -117,3 +117,78 @@ def test_constant_texts_of_deep_elements(spark):
     rows = [(i, f"https://a.example/{i}", f"{deep}<p>Story {i}</p><div><p>Sign off line</p></div>", "x") for i in range(9)]
     got = {r.page_id: r.text for r in html_wrapper.page_text(pages_of(spark, rows).repartition(3)).collect()}
     assert got == {i: f"Story {i}" for i in range(9)}
+
+
+def extracted(spark, pages, parts=3):
+    rows = [(i, f"https://{h}.example/{i}", page, "x") for i, (h, page) in enumerate(pages)]
+    return {r.page_id: r.text for r in html_wrapper.page_text(pages_of(spark, rows).repartition(parts)).collect()}
+
+
+@pytest.mark.parametrize("n", [3, 12])
+def test_near_copies_and_recurring_headings_keep_their_text(spark, n):
+    def storm(i):
+        return f"<article><h1>Storm reaches the coast</h1><p>A storm reached the coast on Monday night and cut the power in four towns.</p><p>Ferries stayed in port. Updated {i}</p></article>"
+
+    def recipe(i):
+        return f"<article><h1>Dish {i}</h1><h2>Ingredients</h2><p>{i} onions</p><h2>Method</h2><p>Fry them for {i} minutes</p></article>"
+
+    got = extracted(spark, [("a", storm(i)) for i in range(n)] + [("b", recipe(i)) for i in range(n)])
+    for i in range(n):
+        assert got[i] == f"Storm reaches the coast A storm reached the coast on Monday night and cut the power in four towns. Ferries stayed in port. Updated {i}"
+        assert got[n + i] == f"Dish {i} Ingredients {i} onions Method Fry them for {i} minutes"
+
+
+def quoting(i):
+    """Three pages quote the sign-off; the site's own stands at the end of its block."""
+    quote = "<p>Read on tomorrow</p>" if i < 3 else ""
+    return f"<article><p>Opening number {i} of the paper</p>{quote}<p>Closing number {i}</p><p>Read on tomorrow</p></article>"
+
+
+def test_only_the_aligned_place_of_a_wrapper_text_goes(spark):
+    got = extracted(spark, [("a", quoting(i)) for i in range(12)])
+    assert got == {i: f"Opening number {i} of the paper {'Read on tomorrow ' if i < 3 else ''}Closing number {i}" for i in range(12)}
+
+
+def test_the_matching_decides(spark, monkeypatch):
+    monkeypatch.setattr(html_wrapper, "joined", lambda xs, ys: [(x, None) for x in xs] + [(None, y) for y in ys])
+    got = extracted(spark, [("a", quoting(i)) for i in range(12)])
+    assert all(text.endswith("Read on tomorrow") for text in got.values())
+
+
+def test_of_texts_that_change_places_one_stays(spark):
+    def page(i):
+        ends = ["<p>Alpha line here</p>", "<p>Beta line here</p>"][:: 1 if i % 2 else -1]
+        return f"{ends[0]}<p>Story number {i} of the long day in town</p>{ends[1]}"
+
+    got = extracted(spark, [("a", page(i)) for i in range(12)])
+    assert all(f"Story number {i} of the long day in town" in t and ("Alpha" in t or "Beta" in t) for i, t in got.items())
+
+
+def test_random_wrappers_against_the_pages_they_were_made_of(spark):
+    import random
+    rng = random.Random(5)
+    pages, want = [], []
+    for h in range(6):
+        before = [f"Station {h} top {k} of the site" for k in range(rng.randint(0, 3))]
+        after = [f"Station {h} foot {k} line" for k in range(rng.randint(0, 3))]
+        box = f"<div class=k{h}><p>Letter {h}</p><p>Every morning at {h}</p></div>" if h % 2 else ""
+        for i in range(rng.randint(5, 20)):
+            paragraphs = [" ".join(rng.choice("tin oak rye fig elm ash fir yew bay may".split()) for _ in range(rng.randint(6, 30))) + f" {i}."
+                          for _ in range(rng.randint(3, 9))]
+            middle = rng.randint(1, len(paragraphs) - 1)
+            body = "".join(f"<p>{p}</p>" for p in paragraphs[:middle]) + box + "".join(f"<p>{p}</p>" for p in paragraphs[middle:])
+            edge = "article" if h < 3 else "div"
+            pages.append((f"h{h}", f"<{edge}>" + "".join(f"<div>{b}</div>" for b in before) + body
+                          + "".join(f"<p>{a}</p>" for a in after) + f"</{edge}>"))
+            want.append(" ".join(paragraphs))
+    assert extracted(spark, pages, 5) == dict(enumerate(want))
+
+
+@pytest.mark.parametrize("make", [lambda n: "<b>" * n + "<p>x</p>" * n, lambda n: "<div>" * n + "</p></span></q>" * n, lambda n: "<p><body>" + "<foo>" * n + "<p>x</p>" * n,
+                                  lambda n: "<foo>" * n + "<li>a" * n, lambda n: "<header>" * n + "<p>x" * n])
+def test_parser_is_linear(make):
+    import time
+    page = make(1 + 1_000_000 // len(make(1)))
+    start = time.process_time()
+    parse(page)
+    assert time.process_time() - start < 6  # about one second; hours when quadratic

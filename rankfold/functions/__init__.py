@@ -110,21 +110,27 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(slots) if size < slots * BYTES_PER_SPLIT * 8 else scan
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a side whose row count is bounded by construction (e.g. after ``limit``)."""
-    if max_rows > 1_000_000:
-        return df
-    return F.broadcast(df)
+def proven_rows(df: DataFrame) -> int | None:
+    """The most rows that the optimizer proves ``df`` can have (a limit, a global aggregate,
+    literal rows), None if it proves no bound. No job runs."""
+    bound = df._jdf.queryExecution().optimizedPlan().maxRows()
+    return int(bound.get()) if bound.isDefined() else None
+
+
+def bounded_broadcast(df: DataFrame) -> DataFrame:
+    """Hint a broadcast of ``df`` only if its proven rows, at the width of its columns, fit the
+    session's ``spark.sql.autoBroadcastJoinThreshold``. Otherwise Spark chooses the join from
+    the sizes it measures."""
+    rows = proven_rows(df)
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return F.broadcast(df) if rows is not None and rows * df._jdf.schema().defaultSize() <= threshold else df
 
 
 def bounded_sort(df: DataFrame, max_rows: int, *order) -> DataFrame:
-    """Final ordering of a result bounded by construction (a top-n): its rows are moved to
-    one partition and sorted there, instead of a range exchange with its sampling job.
-    ``repartition`` (not ``coalesce``) keeps everything upstream, such as the scan of a
-    large dimension, running in parallel; only the n result rows meet in one task."""
-    if max_rows > 1_000_000:
-        return df.orderBy(*order)
-    return df.repartition(1).sortWithinPartitions(*order)
+    """Final ordering of a result bounded by construction (a top-n): a limit of the same bound
+    lets Spark sort in each partition and merge at most ``max_rows`` rows of each, without a range
+    exchange and its sampling job."""
+    return df.orderBy(*order).limit(max_rows)
 
 
 def ordinal(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:

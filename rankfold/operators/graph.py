@@ -59,22 +59,22 @@ def cooccurrence_degree(incidence: DataFrame) -> DataFrame:
             .agg(F.sum(F.col("size") - 1).alias("degree")))
 
 
-def _named(top: DataFrame, names: DataFrame, n: int) -> DataFrame:
+def _named(top: DataFrame, names: DataFrame) -> DataFrame:
     # ``lookup(key)(0)``: one name per node, null for a node without one
-    return with_names(top, names, n, "node")
+    return with_names(top, names, "node")
 
 
 def most_connected(degrees: DataFrame, names: DataFrame) -> DataFrame:
     """P20: the node with the largest degree; ties go to the largest id (tuple max)."""
     best = degrees.agg(F.max(F.struct("degree", "node")).alias("m")).select("m.node", "m.degree")
-    return _named(best.filter(F.col("node").isNotNull()), names, 1).select("node", "name", "degree")
+    return _named(best.filter(F.col("node").isNotNull()), names).select("node", "name", "degree")
 
 
 def top_connected(degrees: DataFrame, names: DataFrame, n: int = 10) -> DataFrame:
     """The n most connected nodes with names (degree, then id, descending)."""
     order = (F.col("degree").desc(), F.col("node").desc())
     top = degrees.orderBy(*order).limit(n)
-    return bounded_sort(_named(top, names, n).select("node", "name", "degree"), n, *order)
+    return bounded_sort(_named(top, names).select("node", "name", "degree"), n, *order)
 
 
 def least_connected(degrees: DataFrame, n: int = 10) -> DataFrame:

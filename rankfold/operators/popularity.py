@@ -45,11 +45,12 @@ def unique_names(items: DataFrame, key: str = "item_id") -> DataFrame:
     return items.groupBy(key).agg(F.min("name").alias("name"))
 
 
-def with_names(top: DataFrame, items: DataFrame, n: int, key: str = "item_id") -> DataFrame:
-    """Add ``name`` to a result of at most ``n`` rows. The dictionary is cut to their keys
-    first, so its de-duplication handles a few rows."""
-    few = items.select(key, "name").join(bounded_broadcast(top.select(key), n), key, "left_semi")
-    return top.join(bounded_broadcast(unique_names(few, key), n), key, "left")
+def with_names(top: DataFrame, items: DataFrame, key: str = "item_id") -> DataFrame:
+    """Add ``name`` to a top-n result of different keys. One join with the
+    dictionary, and a smallest name for each of the few rows; a row that the join misses keeps null."""
+    found = items.select(F.col(key).alias("_rf_key"), "name").join(bounded_broadcast(top), F.col("_rf_key") == F.col(key))
+    missed = top.withColumn("name", F.lit(None).cast(items.schema["name"].dataType))
+    return found.select(*top.columns, "name").unionByName(missed).groupBy(*top.columns).agg(F.min("name").alias("name"))
 
 
 def unmatched_items(ratings: DataFrame, items: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def unmatched_items(ratings: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _named(top: DataFrame, items: DataFrame, n: int, cols: list[str], *order) -> DataFrame:
-    return bounded_sort(with_names(top, items, n).select(*cols), n, *order)
+    return bounded_sort(with_names(top, items).select(*cols), n, *order)
 
 
 def top_items(ratings: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:

@@ -9,7 +9,7 @@ setting).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import product
@@ -91,6 +91,23 @@ def next_user_id(ratings: DataFrame) -> int:
     return 0 if top is None else int(top) + 1
 
 
+MAX_ANSWERS = 10_000
+
+
+def supplied_ratings(spark: SparkSession, user: int, answers: Iterable[tuple[int, float]], seen_only: bool = False) -> DataFrame:
+    """(user_id, item_id, rating) of one user from a collection of (item, rating) answers on the
+    driver, at most ``MAX_ANSWERS`` of them. A rating is 0 ("not seen") to 5; an item may be
+    answered once. ``seen_only`` leaves the zeros out. No answers give an empty table."""
+    rows = [(int(user), int(item), float(rating)) for item, rating in answers]
+    if len(rows) > MAX_ANSWERS:
+        raise ValueError(f"{len(rows)} answers: read them as a table instead")
+    if wrong := [r for r in rows if not 0 <= r[2] <= 5]:  # also not a number
+        raise ValueError(f"ratings outside 0 to 5: {wrong[:5]}")
+    if len({r[1] for r in rows}) < len(rows):
+        raise ValueError("an item is answered twice")
+    return spark.createDataFrame([r for r in rows if r[2] or not seen_only], "user_id long, item_id int, rating double")
+
+
 def add_user_ratings(train: DataFrame, supplied: DataFrame) -> DataFrame:
     """Append a user's supplied ratings; 0 means "not seen" and is dropped, 1-5 kept."""
     kept = supplied.filter(F.col("rating").between(1, 5))
@@ -347,17 +364,17 @@ def fold_in(factors: DataFrame, ratings: DataFrame, reg: float) -> DataFrame:
 
 def score_items(users: DataFrame, factors: DataFrame) -> DataFrame:
     """(user_id, item_id, prediction) of a few users for all items: the inner product of their
-    features. ``users`` must be few: they are broadcast to the items."""
+    features. ``users`` must be few: they are broadcast to the items if their number is proven by the plan."""
     items = factors.select(F.col("id").alias("item_id"), F.col("features").cast("array<double>").alias("v"))
     product = F.aggregate(F.zip_with("features", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    return items.join(bounded_broadcast(users, 1), F.lit(True)).select("user_id", "item_id", product.alias("prediction"))
+    return items.join(bounded_broadcast(users), F.lit(True)).select("user_id", "item_id", product.alias("prediction"))
 
 
 def recommend_new_user(factors: DataFrame, items: DataFrame, supplied: DataFrame, user: int, reg: float, n: int = 50) -> DataFrame:
     """P44 for a user the model does not know: their ``supplied`` ratings (user_id, item_id, rating;
     1 to 5, others are dropped) are folded in and the n best items they have not rated returned."""
     mine = supplied.filter((F.col("user_id") == user) & F.col("rating").between(1, 5))
-    scored = score_items(fold_in(factors, mine, reg), factors)
+    scored = score_items(fold_in(factors, mine, reg).limit(1), factors)  # one user, one row
     return top_scored(items, scored.join(unseen_items(items, mine, user).select("item_id"), "item_id", "left_semi"), n)
 
 
@@ -385,7 +402,7 @@ def top_scored(items: DataFrame, scored: DataFrame, n: int) -> DataFrame:
     # row_number over at most n rows (a top-n result), never over the raw data
     w = Window.orderBy(F.col("prediction").desc(), F.col("item_id").asc())
     ranked = top.withColumn("rank", F.row_number().over(w))
-    return with_names(ranked, items, n).select("rank", "item_id", "name", "prediction").orderBy("rank")
+    return with_names(ranked, items).select("rank", "item_id", "name", "prediction").orderBy("rank")
 
 
 def recommend_unseen(model: ALSModel, items: DataFrame, ratings: DataFrame, user: int,

@@ -224,7 +224,7 @@ def similar_items(ratings: DataFrame, items: DataFrame, x: int, min_score: float
     top = (similarity_to(ratings, x, decimals, exact)
            .filter((F.col("score") > min_score) & (F.col("n_pairs") > min_pairs))
            .orderBy(*order).limit(n))
-    return bounded_sort(with_names(top, items, n).select("item_id", "name", "score", "n_pairs"), n, *order)
+    return bounded_sort(with_names(top, items).select("item_id", "name", "score", "n_pairs"), n, *order)
 
 
 def similar_items_from(sims: DataFrame, items: DataFrame, x: int, min_score: float, min_pairs: int,
@@ -236,7 +236,7 @@ def similar_items_from(sims: DataFrame, items: DataFrame, x: int, min_score: flo
     top = (sims.filter(((F.col("item1") == x) | (F.col("item2") == x))
                        & (F.col("score") > min_score) & (F.col("n_pairs") > min_pairs))
            .select(other.alias("item_id"), "score", "n_pairs").orderBy(*order).limit(n))
-    return bounded_sort(with_names(top, items, n).select("item_id", "name", "score", "n_pairs"), n, *order)
+    return bounded_sort(with_names(top, items).select("item_id", "name", "score", "n_pairs"), n, *order)
 
 
 # ------------------------------------------------------------------ a stored table for lookups
@@ -271,4 +271,4 @@ def similar_items_stored(store: DataFrame, items: DataFrame, x: int, min_score:
     """P24 by one lookup in a stored table."""
     order = (F.col("score").desc(), F.col("n_pairs").desc(), F.col("item_id").asc())
     top = pairs_of(store, x).filter((F.col("score") > min_score) & (F.col("n_pairs") > min_pairs)).orderBy(*order).limit(n)
-    return bounded_sort(with_names(top, items, n).select("item_id", "name", "score", "n_pairs"), n, *order)
+    return bounded_sort(with_names(top, items).select("item_id", "name", "score", "n_pairs"), n, *order)

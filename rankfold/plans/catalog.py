@@ -551,6 +551,16 @@ def q_add_user_ratings(spark, d):
     return recommend.add_user_ratings(old, _supplied(spark, d))
 
 
+@register("add_user_answers", with_ctes(["ratings_unique", "items"],
+          "SELECT user_id, item_id, rating FROM train", _REC_CTES))
+def q_add_user_answers(spark, d):
+    """As ``add_user_ratings``, the answers given as a collection on the driver: one for each item of
+    the sample, which is cut from a pool of ``POOL_N`` items."""
+    old = recommend.with_split(tm.ratings_unique_df(spark, d), "68").filter(F.col("split") == recommend.TRAIN)
+    answers = [(r["item_id"], r["item_id"] % 6) for r in _sample(spark, d).collect()]
+    return recommend.add_user_ratings(old, recommend.supplied_ratings(spark, recommend.next_user_id(tm.ratings_df(spark, d)), answers))
+
+
 @register("user_history", with_ctes(["ratings_unique", "items"],
           f"SELECT r.item_id, i.name, r.rating FROM ratings_unique r JOIN items i ON i.item_id = r.item_id "
           f"WHERE r.user_id = {HISTORY_USER}"))
@@ -998,6 +1008,12 @@ def q_sink_tag_report(spark, d):
     return sinks.read_tag_report(spark, path)
 
 
+@register("sink_tag_report_file", ORACLE["tag_popularity"])
+def q_sink_tag_report_file(spark, d):
+    report = tags.tag_popularity(tm.purchases_df(spark, d), tm.items_df(spark, d), SEP)
+    return sinks.read_tag_report(spark, sinks.write_tag_report_file(report, scratch_path(spark, "tag_report_file")))
+
+
 @register("sink_similarities", ORACLE["item_similarity"])
 def q_sink_similarities(spark, d):
     sims = similarity.item_similarity(tm.ratings_unique_df(spark, d))

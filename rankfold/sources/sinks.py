@@ -1,6 +1,7 @@
 """Writers for reports (K01-K03). Output goes to a folder of part files written in
 parallel; a globally sorted DataFrame produces part files in sort order, so no
-single-task ``coalesce(1)`` is needed."""
+single-task ``coalesce(1)`` is needed. ``write_tag_report_file`` gives the one ranked file for
+reports whose counted rows are within a stated bound."""
 
 from __future__ import annotations
 
@@ -18,6 +19,22 @@ def write_tag_report(report: DataFrame, path: str) -> str:
     return path
 
 
+def write_tag_report_file(report: DataFrame, path: str, max_rows: int = 1_000_000) -> str:
+    """K01 as one file in rank order. ``path`` becomes a folder with a single part file. The rows are
+    counted first; a report of more than ``max_rows`` is refused, since one task would write it
+    (``write_tag_report`` has no such bound). An empty report gives an empty file or none."""
+    rows = report.select("rank", "tag", "n_ratings", "n_items", "ratio").persist()
+    try:
+        n = rows.count()
+        if n > max_rows:
+            raise ValueError(f"{n} rows for one file, more than {max_rows}: use write_tag_report")
+        (rows.repartition(1).sortWithinPartitions("rank")
+         .write.mode("overwrite").option("header", False).csv(path))
+    finally:
+        rows.unpersist()
+    return path
+
+
 def read_tag_report(spark, path: str) -> DataFrame:
     return spark.read.schema(TAG_REPORT_SCHEMA).csv(path)
 

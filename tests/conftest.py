@@ -15,6 +15,8 @@ def spark():
 
     scratch = tempfile.mkdtemp(prefix="rankfold-tests-")
     s = get_session("local[*]", app="rankfold-tests", shuffle_partitions=8,
-                    extra={"spark.checkpoint.dir": f"{scratch}/ckpt", "spark.local.dir": scratch})
+                    extra={"spark.checkpoint.dir": f"{scratch}/ckpt", "spark.local.dir": scratch,
+                           # test_search counts executions; beyond this number the oldest are forgotten
+                           "spark.sql.ui.retainedExecutions": "100000"})
     yield s
     s.stop()

@@ -20,7 +20,8 @@ segment; a segment closes after about ``SEGMENT`` ids.
 Ids come from the ``tokenizers`` library. BPE splits text before every run of spaces or line
 feeds that follows another visible character, so such chunks are encoded once and remembered
 (a bounded memo in each worker process); texts with other white space or a special token's string are
-encoded whole. Both give the library's own ids.
+encoded whole. Both give the library's own ids. A tokenizer file with other settings than those this
+rule holds for (see ``cuts_before_space``) encodes every text whole.
 
 Nulls: a null text is an empty text (only the end id); null ids come first. Repeated rows
 are each written. An empty table gives an empty result. Other columns are ignored.
@@ -28,6 +29,7 @@ are each written. An empty table gives an empty result. Other columns are ignore
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import sys
@@ -121,13 +123,27 @@ class Segment:
         return np.concatenate(parts)[lo - first * self.block:hi - first * self.block]
 
 
+def cuts_before_space(settings: dict) -> bool:
+    """Whether a tokenizer surely cuts a text before each run of spaces or line feeds that follows a
+    visible character, and between a letter and a full stop: plain BPE over the byte-level regex
+    split, with no normalizer, added prefix, truncation, padding, dropout or word affixes."""
+    model, pre = settings.get("model") or {}, settings.get("pre_tokenizer") or {}
+    return (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+            and model.get("type", "BPE") == "BPE"
+            and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))
+            and not any(settings.get(k) for k in ("normalizer", "truncation", "padding")))
+
+
 class Encoder:
-    """Texts to little-endian 32-bit ids, remembering chunks."""
+    """Texts to little-endian 32-bit ids, remembering chunks where the tokenizer's settings allow it."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.memo, self.limit = Tokenizer.from_file(path), {}, MEMO
+        settings = json.loads(self.tokenizer.to_str())
+        self.cuts = cuts_before_space({k: settings.get(k) for k in ("normalizer", "pre_tokenizer", "truncation", "padding")}
+                                      | {"model": {k: v for k, v in settings["model"].items() if k not in ("vocab", "merges")}})
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         space = ("\u0120", "\u010a")  # how byte-level tokens write a space and a line feed
@@ -165,7 +181,7 @@ class Encoder:
 
     def chunks(self, text: str) -> list[str] | None:
         """Cut ``text`` where the library surely cuts it; None if it must be encoded whole."""
-        if OTHER_SPACE.search(text) or any(s in text for s in self.special):
+        if not self.cuts or OTHER_SPACE.search(text) or any(s in text for s in self.special):
             return None
         return CHUNK.findall(text)
 

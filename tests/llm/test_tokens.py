@@ -39,6 +39,37 @@ def test_encoder_equals_the_library():
         assert got == [x.ids for x in e.tokenizer.encode_batch(TEXTS, add_special_tokens=False)]
 
 
+def variants(settings):
+    """Files of the same vocabulary under other settings, and the word tokenizer."""
+    pre = settings["pre_tokenizer"]
+    yield {**settings, "pre_tokenizer": {**pre, "add_prefix_space": True}}
+    yield {**settings, "pre_tokenizer": {**pre, "use_regex": False}}
+    yield {**settings, "normalizer": {"type": "Lowercase"}}
+    yield {**settings, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "Digits", "individual_digits": True}, pre]}}
+    yield {**settings, "truncation": {"direction": "Right", "max_length": 9, "strategy": "LongestFirst", "stride": 0}}
+
+
+def test_other_tokenizer_settings_give_the_library_ids(tmp_path):
+    import json
+
+    import public_tokenizers
+
+    files = [public_tokenizers.path("word_bpe_49k.json")]
+    with open(tokenizer_path()) as f:
+        settings = json.load(f)
+    for i, other in enumerate(variants(settings)):
+        files.append(str(tmp_path / f"{i}.json"))
+        with open(files[-1], "w") as f:
+            json.dump(other, f)
+    for path in files:
+        e = token_pfor.Encoder(path)
+        assert not e.cuts
+        for _ in range(2):
+            got = [np.frombuffer(b, "<u4").tolist() for b in e.encode(TEXTS)]
+            assert got == [x.ids for x in e.tokenizer.encode_batch(TEXTS, add_special_tokens=False)], path
+    assert token_pfor.Encoder(tokenizer_path()).cuts
+
+
 def brute(docs):
     t = token_pfor.Encoder(tokenizer_path()).tokenizer
     out, start = {}, 0

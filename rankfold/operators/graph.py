@@ -85,6 +85,7 @@ def least_connected(degrees: DataFrame, n: int = 10) -> DataFrame:
 # ------------------------------------------------------------------ breadth-first search
 
 ROWS_PER_BUCKET = 4_000_000
+MANY_BUCKETS = 256
 SMALL_FRONTIER = 1000
 
 
@@ -97,7 +98,9 @@ class _Bucketed:
 
     Joining a level's frontier then shuffles only the small side; without buckets each level
     would shuffle the whole graph. There is a bucket for every ``rows_per_bucket`` rows, and for
-    a small graph one for every core. AQE cannot split a skewed bucket, so if a key has more rows
+    a small graph one for every core. A bucket is a file and a task of every pass, so buckets that
+    are asked to be smaller than ``ROWS_PER_BUCKET`` grow once there are ``MANY_BUCKETS`` of them,
+    up to ``ROWS_PER_BUCKET`` rows. AQE cannot split a skewed bucket, so if a key has more rows
     than that (looked for once, and only in a graph with more rows than that), buckets are those
     of (key, salt): such a key gets as many salts as its rows fill buckets, its rows are spread by
     a hash of the other column, and only such keys are repeated on the small side. Other keys
@@ -106,6 +109,7 @@ class _Bucketed:
     def __init__(self, df: DataFrame, total: int, key: str, other: str, name: str, rows_per_bucket: int):
         spark = df.sparkSession
         self.key, self.spark = key, spark
+        rows_per_bucket = max(rows_per_bucket, min(ROWS_PER_BUCKET, -(-total // MANY_BUCKETS)))
         self.buckets = max(1, -(-total // rows_per_bucket), min(spark.sparkContext.defaultParallelism, -(-total // 50_000)))
         self.has_hot = False
         if total > rows_per_bucket:
@@ -131,7 +135,8 @@ class _Bucketed:
         if not self.has_hot:
             return self.df.join(keys.select(self.key), self.key, "left_semi")
         salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
-        salted = self._with_salts(keys.select(self.key)).withColumn("salt", salt).drop("salts")
+        # keys once each: a hot key's repeats would all get its salts, and both grow with its rows
+        salted = self._with_salts(keys.select(self.key).distinct()).withColumn("salt", salt).drop("salts")
         return self.df.join(salted, [self.key, "salt"], "left_semi").drop("salt")
 
     def rows_of(self, keys: list[int]) -> DataFrame:

@@ -113,3 +113,28 @@ def test_two_sides_visit_fewer_nodes_than_one(spark):
     graph.bfs_distances(both, 0, 6)
     one = {p: n for p, n in written().items() if p not in before and p not in two}
     assert sum(two.values()) < sum(one.values()) / 20
+
+
+def test_small_buckets_stay_few_as_the_graph_grows(spark):
+    df = spark.range(20_000).selectExpr("id AS node", "id % 3 AS grp")
+    table = graph._Bucketed(df, 20_000, "grp", "node", "few", 2)
+    try:
+        assert table.buckets <= graph.MANY_BUCKETS and table.has_hot
+        got = table.semi(spark.createDataFrame([(1,)], "grp long")).select("node").collect()
+        assert sorted(r[0] for r in got) == list(range(1, 20_000, 3))
+    finally:
+        table.drop()
+
+
+def test_repeated_keys_get_their_salts_once(spark, monkeypatch):
+    df = spark.range(900).selectExpr("id AS node", "id % 3 AS grp")
+    table = graph._Bucketed(df, 900, "grp", "node", "repeats", 100)
+    salted = []
+    plain = graph._Bucketed._with_salts
+    monkeypatch.setattr(graph._Bucketed, "_with_salts", lambda self, keys: salted.append(keys) or plain(self, keys))
+    try:
+        assert table.has_hot
+        assert table.semi(df.filter("grp < 2").select("grp")).count() == 600
+        assert [k.count() for k in salted] == [2]
+    finally:
+        table.drop()

@@ -951,9 +951,10 @@ def q_src_spend(spark, d):
 
 def _adjacency_lines(entries):
     """Lines ``node n1 n2 ...`` from (node, neighbour), one per node and id range of its
-    neighbours, so no line is unbounded; such a node spans lines."""
-    return (entries.groupBy("node", F.floor(F.col("neighbour") / ADJ_CHUNK).alias("chunk"))
-            .agg(F.array_sort(F.collect_list("neighbour")).alias("members"))
+    neighbours, so no line is unbounded; such a node spans lines. The ids are dealt out before
+    they are collected: nearly all lists are short, and partial lists cost more than ids."""
+    return (entries.withColumn("chunk", F.floor(F.col("neighbour") / ADJ_CHUNK)).repartition("node", "chunk").groupBy("node", "chunk")
+            .agg(F.sort_array(F.collect_list("neighbour")).alias("members"))
             .select(F.concat_ws(" ", F.col("node").cast("string"),
                                 F.array_join(F.col("members").cast("array<string>"), " ")).alias("line")))
 
@@ -975,8 +976,9 @@ LINES_START, LINES_TARGET = 2 * BFS_START, 2 * BFS_TARGET
 def _entries_from_lines(spark, d):
     inc = tm.incidence_df(spark, d)
     part, order = F.col("node") * 2, F.col("grp") * 2 + 1
-    both = inc.select(part.alias("node"), order.alias("neighbour")).unionByName(
-        inc.select(order.alias("node"), part.alias("neighbour")))
+    # both directions from one pass over the incidence
+    both = inc.select(F.inline(F.array(F.struct(part.alias("node"), order.alias("neighbour")),
+                                       F.struct(order.alias("node"), part.alias("neighbour")))))
     path = sinks.write_lines(_adjacency_lines(both), scratch_path(spark, "adjacency_lines"))
     return readers.adjacency_entries(readers.read_adjacency(spark, path))
 

@@ -6,6 +6,7 @@ its declared type fails the read; an empty text field stays an empty text."""
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,17 +73,21 @@ def read_spend(spark: SparkSession, path: str) -> DataFrame:
 
 def read_adjacency(spark: SparkSession, path: str) -> DataFrame:
     """Lines ``node n1 n2 ...`` split on whitespace -> ``(node, neighbours array)``.
-    A node may span several lines; blank lines are dropped."""
-    parts = F.split(F.btrim(F.col("value"), F.lit(" \t\r\f\v")), r"\s+")
-    df = spark.read.text(path).select(parts.alias("p"))
-    node = F.get(F.col("p"), 0).try_cast("long")
-    rest = F.slice(F.col("p"), 2, F.greatest(F.size("p") - 1, F.lit(0))).cast("array<long>")
+    A node may span several lines; blank lines are dropped. White space becomes blanks first, as
+    a split by a regex would compile it for every line."""
+    line = reduce(lambda text, space: F.replace(text, F.lit(space), F.lit(" ")), "\t\r\f\v", F.col("value"))
+    df = spark.read.text(path).select(F.trim(line).alias("line"))
+    node = F.substring_index("line", " ", 1).try_cast("long")
+    parts = F.array_remove(F.split("line", " "), "")
+    rest = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))).cast("array<long>")
     return df.select(node.alias("node"), rest.alias("neighbours")).filter(F.col("node").isNotNull())
 
 
 def adjacency_entries(adjacency: DataFrame) -> DataFrame:
     """One row per listed neighbour: ``(node, neighbour)``."""
-    return adjacency.select("node", F.explode("neighbours").alias("neighbour"))
+    # a plain explode adds a filter on the array's size that parses each line once more
+    entries = adjacency.select("node", F.posexplode_outer("neighbours").alias("pos", "neighbour"))
+    return entries.filter(F.col("pos").isNotNull()).drop("pos")
 
 
 def read_node_names(spark: SparkSession, path: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 from rankfold.operators import graph
+from rankfold.sources import readers
 
 
 def brute(edges, start, target, max_levels=None):
@@ -138,3 +139,12 @@ def test_repeated_keys_get_their_salts_once(spark, monkeypatch):
         assert [k.count() for k in salted] == [2]
     finally:
         table.drop()
+
+
+def test_a_line_is_parsed_once(spark, tmp_path):
+    file = tmp_path / "adjacency"
+    file.write_text("1 2\t3\n 4\f5 \v 6  \n\t\n7\nx 8\n")
+    entries = readers.adjacency_entries(readers.read_adjacency(spark, str(file)))
+    assert sorted(tuple(r) for r in entries.collect()) == [(1, 2), (1, 3), (4, 5), (4, 6)]
+    plan = entries._jdf.queryExecution().executedPlan().toString()
+    assert sum("split(" in x and "FileScan" not in x for x in plan.splitlines()) == 1
